@@ -7,7 +7,7 @@ found first and spread over several tasks.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -50,21 +50,40 @@ def join_on(
     rows_per_task: int = ROWS_PER_TASK,
     hot_share: float = HOT_SHARE,
     right_is_small: bool | None = None,
+    right_is_unique: bool = False,
+    left_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join on ``{left column: right column}``; the right key columns are dropped.
 
-    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. The right side
-    is measured here unless the caller has done so (``right_is_small``).
+    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. What the
+    caller knows already is not measured again: whether the right side is small,
+    that its keys are unique, and the rows per left key (``__rows``).
     """
     names = {column: f"__key_{i}" for i, column in enumerate(on.values())}
-    right = right.withColumnsRenamed(names)
     keys = dict(zip(on.keys(), names.values(), strict=True))
+    right = right.withColumnsRenamed(names).dropna(subset=list(names.values()))
+    if how in ("left_semi", "left_anti"):
+        right = right.select(*names.values())
+        right = right if right_is_unique else right.distinct()
+        right_is_unique = True
     if right_is_small is None:
         right_is_small = fits_broadcast(right, broadcast_rows)
     if right_is_small:
-        joined = left.join(F.broadcast(right), _equal(keys), how)
+        return left.join(F.broadcast(right), _equal(keys), how).drop(*names.values())
+
+    counts = left_counts if left_counts is not None else rows_per_key(left, list(keys))
+    hot_left = hot_keys(counts, rows_per_task, hot_share)
+    if right_is_unique:
+        joined = _spread_join(left, right, keys, how, hot_left)
     else:
-        joined = _spread_join(left, right, keys, how, rows_per_task, hot_share)
+        # Keys that are frequent on the right do exist there, so for them a left
+        # join is an inner join, and both of its sides can be parted.
+        hot_right = hot_keys(rows_per_key(right, list(names.values())), rows_per_task, hot_share)
+        hot_rows = [_pick(df, columns, hot_right, "left_semi") for df, columns in ((left, keys), (right, names.values()))]
+        cold_rows = [_pick(df, columns, hot_right, "left_anti") for df, columns in ((left, keys), (right, names.values()))]
+        joined = _spread_join(*cold_rows, keys, how, hot_left).unionByName(
+            _spread_join(*hot_rows, keys, "inner", hot_left, hot_right)
+        )
     return joined.drop(*names.values())
 
 
@@ -76,47 +95,82 @@ def _equal(keys: Mapping[str, str], null_safe: bool = False) -> Column:
     return reduce(lambda a, b: a & b, pairs)
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int, hot_share: float) -> DataFrame:
-    """Keys that hold too many rows for one task, with the number of tasks each needs.
+def rows_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``__rows`` per key; NULL counts as a key."""
+    return df.groupBy(*(F.col(f"`{key}`") for key in keys)).agg(F.count(F.lit(1)).alias("__rows"))
+
+
+def hot_keys(counts: DataFrame, rows_per_task: int, hot_share: float) -> DataFrame:
+    """Keys that hold too many rows for one task, with the number of tasks each needs (``__parts``).
 
-    NULL counts as a key. The result has at most ``1 / hot_share`` rows.
+    The result has at most ``1 / hot_share`` rows, so it may be broadcast.
     """
-    counts = df.groupBy(*(F.col(f"`{key}`") for key in keys)).agg(F.count(F.lit(1)).alias("__rows"))
     floor = counts.agg(F.greatest(F.lit(rows_per_task), F.sum("__rows") * F.lit(hot_share)).alias("floor"))
     return counts.where(F.col("__rows") > floor.scalar()).withColumn(
         "__parts", F.ceil(F.col("__rows") / F.lit(rows_per_task)).cast("int")
     )
 
 
-def _spread_join(left, right, keys, how, rows_per_task, hot_share) -> DataFrame:
-    hot = hot_keys(left, list(keys), rows_per_task, hot_share)
-    hot = hot.select(
-        *(F.col(f"`{key}`").alias(f"__hot_{i}") for i, key in enumerate(keys)), "__parts"
-    )
-    hot_names = [f"__hot_{i}" for i in range(len(keys))]
-    to_left = _equal(dict(zip(keys.keys(), hot_names, strict=True)), null_safe=True)
-    to_right = _equal(dict(zip(keys.values(), hot_names, strict=True)), null_safe=True)
+def _marked(hot: DataFrame, part: str) -> tuple[DataFrame, list[str]]:
+    """Hot keys under names that no side of a join has."""
+    keys = [c for c in hot.columns if c not in ("__rows", "__parts")]
+    names = [f"__hot_{i}" for i in range(len(keys))]
+    renamed = (F.col(f"`{key}`").alias(name) for key, name in zip(keys, names, strict=True))
+    return hot.select(*renamed, F.col("__parts").alias(part)), names
+
 
+def _pick(df: DataFrame, keys: Iterable[str], hot: DataFrame, how: str) -> DataFrame:
+    """Rows with (``left_semi``) or without (``left_anti``) a hot key."""
+    listed, names = _marked(hot, "__parts")
+    return df.join(F.broadcast(listed), _equal(dict(zip(keys, names, strict=True)), null_safe=True), how)
+
+
+def _parts(df: DataFrame, keys: Iterable[str], hot: DataFrame, part: str) -> DataFrame:
+    """Add the number of parts of the key of each row."""
+    listed, names = _marked(hot, part)
+    found = df.join(F.broadcast(listed), _equal(dict(zip(keys, names, strict=True)), null_safe=True), "left")
+    return found.withColumn(part, F.coalesce(part, F.lit(1))).drop(*names)
+
+
+def _one_part(df: DataFrame, keys: Iterable[str], hot: DataFrame, part: str) -> DataFrame:
+    """Put each row into one part of its key."""
     # The input task number parts exact copies of a row; it is the same on a retry.
-    salt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in left.columns), F.spark_partition_id()),
-                  F.coalesce("__parts", F.lit(1)))
-    salted = (
-        left.join(F.broadcast(hot), to_left, "left")
-        .withColumn("__salt", salt.cast("int"))
-        .drop("__parts", *hot_names)
-    )
-    copies = (
-        right.join(F.broadcast(hot), to_right, "left")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)))
-        .drop("__parts", *hot_names)
-    )
-    match = _equal(keys) & (F.col("__salt") == F.col("__copy"))
-    return salted.join(copies, match, how).drop("__salt", "__copy")
+    row = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns), F.spark_partition_id())
+    return _parts(df, keys, hot, part).withColumn(part, F.pmod(row, F.col(part)).cast("int"))
+
+
+def _all_parts(df: DataFrame, keys: Iterable[str], hot: DataFrame, part: str) -> DataFrame:
+    """Copy each row into all parts of its key."""
+    return _parts(df, keys, hot, part).withColumn(part, F.explode(F.sequence(F.lit(0), F.col(part) - 1)))
+
+
+def _spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Mapping[str, str],
+    how: str,
+    hot_left: DataFrame,
+    hot_right: DataFrame | None = None,
+) -> DataFrame:
+    """Shuffle join in which each hot key is parted into several keys.
+
+    A row goes to one part of a key that is hot on its own side, and is copied to
+    all parts of a key that is hot on the other side: every pair meets just once.
+    """
+    ours, theirs = keys.keys(), keys.values()
+    left = _one_part(left, ours, hot_left, "__left_part")
+    right = _all_parts(right, theirs, hot_left, "__left_copy")
+    match = _equal(keys) & (F.col("__left_part") == F.col("__left_copy"))
+    if hot_right is not None:
+        left = _all_parts(left, ours, hot_right, "__right_copy")
+        right = _one_part(right, theirs, hot_right, "__right_part")
+        match = match & (F.col("__right_part") == F.col("__right_copy"))
+    return left.join(right, match, how).drop("__left_part", "__left_copy", "__right_part", "__right_copy")
 
 
 def unmatched(left: DataFrame, right: DataFrame, on: Mapping[str, str], **limits) -> DataFrame:
     """Rows of ``left`` without a partner in ``right``; a NULL key has none."""
-    return join_on(left, right.select(*on.values()).distinct(), on, "left_anti", **limits)
+    return join_on(left, right, on, "left_anti", **limits)
 
 
 def drop_listed(df: DataFrame, listed: DataFrame, on: Mapping[str, str], **limits) -> DataFrame:

@@ -20,7 +20,7 @@ def _chunked(df: DataFrame, order: Sequence[str | Column], chunks: int | None) -
     runs are cut by range over the whole order, so one large group takes many.
     """
     spark = df.sparkSession
-    chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     place = F.monotonically_increasing_id()
     return stage(
         df.repartitionByRange(chunks, *order)
@@ -90,15 +90,26 @@ def carry_forward(
     )
 
 
+def carry_in_group(df: DataFrame, column: str, partition: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """:func:`carry_forward` for groups whose size has a bound, such as the rows of one page: one shuffle."""
+    so_far = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumn(out, F.last(column, ignorenulls=True).over(so_far))
+
+
 def group_size(df: DataFrame, key: str, out: str, counted: str | None = None, **limits) -> DataFrame:
     """Add the number of rows (or of values of ``counted``) with the same key; NULL for a NULL key.
 
     Counted with map-side aggregation and joined back, so a frequent key costs
-    no more than a rare one.
+    no more than a rare one. The counts are stored: they also tell which keys
+    to spread in the join.
     """
-    rows = F.count(F.col(counted)) if counted else F.count(F.lit(1))
-    sizes = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__of")).agg(rows.alias(out))
-    return joins.join_on(df, sizes, {key: "__of"}, "left", **limits)
+    rows = F.count(F.lit(1))
+    size = F.count(F.col(counted)) if counted else rows
+    counts = stage(df.groupBy(key).agg(rows.alias("__rows"), size.alias("__size")), "sizes")
+    sizes = counts.where(F.col(key).isNotNull()).select(F.col(key).alias("__of"), F.col("__size").alias(out))
+    return joins.join_on(
+        df, sizes, {key: "__of"}, "left", right_is_unique=True, left_counts=counts.select(key, "__rows"), **limits
+    )
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -117,8 +128,7 @@ def keep_curated(df: DataFrame, key: str, curated: DataFrame, on: Sequence[str],
     sized = group_size(df, key, "__n", **limits)
     unique = sized.where(F.coalesce("__n", F.lit(1)) == 1).drop("__n")
     repeated = sized.where(F.col("__n") > 1).drop("__n")
-    chosen = joins.join_on(repeated, curated.select(*on).distinct(), dict(zip(on, on, strict=True)), "left_semi",
-                           **limits)
+    chosen = joins.join_on(repeated, curated, dict(zip(on, on, strict=True)), "left_semi", **limits)
     return unique.unionByName(chosen)
 
 

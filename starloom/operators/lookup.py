@@ -79,7 +79,8 @@ def lookup_roles(
             tables[keys] = code_table(dim, list(keys), value, on_duplicate, **rows)
         codes, small = tables[keys]
         found = joins.join_on(
-            fact, codes.select(*keys, F.col(value).alias("__value")), on, "left", right_is_small=small, **limits
+            fact, codes.select(*keys, F.col(value).alias("__value")), on, "left",
+            right_is_small=small, right_is_unique=on_duplicate != "fanout", **limits
         )
         result = F.col("__value")
         if sentinel is not None:

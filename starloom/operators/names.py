@@ -113,7 +113,7 @@ def _contained(searched: DataFrame, index: DataFrame, limits: dict) -> DataFrame
     own = F.coalesce(_grams(term, _GRAM), F.array(term))
     offered = searched.withColumn("own", F.explode(own))
     # A piece that no name has rules its whole term out.
-    known = joins.join_on(offered, spread, {"own": "piece"}, "left", **limits)
+    known = joins.join_on(offered, spread, {"own": "piece"}, "left", right_is_unique=True, **limits)
     rarest = (
         known.groupBy(*searched.columns)
         .agg(F.min_by("own", F.struct("names", "own")).alias("own"),
@@ -166,7 +166,7 @@ def name_lookup(
     """
     codes = stage(match_names(df, name, dim, dim_name, dim_key, "__found", **options), "codes")
     limits = {k: v for k, v in options.items() if k in ("broadcast_rows", "rows_per_task", "hot_share")}
-    found = joins.join_on(df, codes.withColumnRenamed(name, "__of"), {name: "__of"}, "left", **limits)
+    found = joins.join_on(df, codes.withColumnRenamed(name, "__of"), {name: "__of"}, "left", right_is_unique=True, **limits)
     result = F.col("__found")
     if no_match is not None:
         result = F.coalesce(result, F.lit(no_match).cast(dim.schema[dim_key].dataType))

@@ -84,7 +84,8 @@ def visa_rows(rows: DataFrame, page: str) -> DataFrame:
     rows below it.
     """
     header = F.when(F.col("is_header"), F.get("cells", F.lit(0)))
-    headed = keys.carry_forward(
+    # A group is the rows of one table of one page, so the size of a page bounds it.
+    headed = keys.carry_in_group(
         rows.withColumn("__header", header), "__header", [page, "table_no"], ["row_no"], "visa_group"
     )
     return headed.where(~F.col("is_header")).select(

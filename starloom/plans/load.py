@@ -103,7 +103,7 @@ def load_fact(
         )
     sinks.append_missing(fact.date_dimension(written, "arrival_date"), f"{root}/dates.parquet", "date")
     if options.csv_copies:
-        sinks.export_csv(rows, f"{root}/i94.csv")
+        sinks.export_csv(written, f"{root}/i94.csv")
 
 
 def check_period(extract: DataFrame, year: int, month: int) -> None:

@@ -14,7 +14,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Files of a load are about this large; below parallelism it is no bound.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
+    # Pages can be large: keep Arrow batches small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
