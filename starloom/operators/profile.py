@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 def frequencies(df: DataFrame, column: str, out: str = "n") -> DataFrame:
     """Rows per value, most frequent first, equal counts by value."""
+    if out == column:
+        raise ValueError(f"{out!r} is the counted column")
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(out)).orderBy(F.desc(out), F.asc_nulls_first(column))
 
 
@@ -76,24 +78,26 @@ def approx_distinct_values(df: DataFrame, columns: Sequence[str], error: float =
     return unpivot_row(counted, list(columns), "field", "n")
 
 
-def repeated_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def repeated_rows(df: DataFrame, columns: Sequence[str] | None = None, out: str = "n") -> DataFrame:
     """Groups of rows that agree in ``columns``, with their count, where more than one row agrees."""
     columns = list(columns or df.columns)
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if out in columns:
+        raise ValueError(f"{out!r} is a column of the rows")
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(out)).where(F.col(out) > 1)
 
 
 def surplus_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``rows`` in all and ``surplus`` rows that repeat another one in ``columns``, in one pass."""
-    columns = list(columns or df.columns)
-    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(*(columns or df.columns)).agg(F.count(F.lit(1)).alias("__rows"))
     return groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus")
+        F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)).alias("surplus"),
     )
 
 
 def groups_over_one(df: DataFrame, key: str) -> DataFrame:
     """``groups``: how many values of ``key`` (NULL left out) occur more than once."""
-    return repeated_rows(df.where(F.col(key).isNotNull()), [key]).agg(F.count(F.lit(1)).alias("groups"))
+    return repeated_rows(df.where(F.col(key).isNotNull()), [key], "__rows").agg(F.count(F.lit(1)).alias("groups"))
 
 
 def require_no_duplicates(df: DataFrame, ignore: Sequence[str] = ()) -> None:
