@@ -113,11 +113,13 @@ def group_size(df: DataFrame, key: str, out: str, counted: str | None = None, **
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """One row per key: the first in ``order``, which must be total. NULL counts as a key."""
-    ranks = [F.col(o) if isinstance(o, str) else o for o in order]
-    rank = F.struct(*(r.alias(f"r{i}") for i, r in enumerate(ranks)))
-    row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
-    return df.groupBy(*key).agg(F.min_by(row, rank).alias("__row")).select("__row.*")
+    """One row per key: the first in ``order``, which must be total. NULL counts as a key.
+
+    Spark keeps one row per key and task before the shuffle (window group limit),
+    so a frequent key arrives with a row per task at most.
+    """
+    place = Window.partitionBy(*key).orderBy(*order)
+    return df.withColumn("__place", F.row_number().over(place)).where("__place = 1").drop("__place")
 
 
 def keep_curated(df: DataFrame, key: str, curated: DataFrame, on: Sequence[str], **limits) -> DataFrame:

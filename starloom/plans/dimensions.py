@@ -104,16 +104,10 @@ def split_stacked(rows: DataFrame, stacked: str, skip: int = 2) -> DataFrame:
     other lines give a row each. Rows that do not meet it stay as they are.
     ``line_no`` is the place within the old row.
     """
-    split = lists.zip_explode(
-        rows.where(stacked),
-        {
-            "visa_desc": lists.lines(F.col("visa_desc"), skip=skip),
-            "visa": lists.lines(F.col("visa"), keep_blank=False),
-        },
-        position="line_no",
-    )
-    whole = rows.where(f"NOT coalesce({stacked}, false)").withColumn("line_no", F.lit(0))
-    return whole.unionByName(split)
+    heading = F.coalesce(F.expr(stacked), F.lit(False))
+    descriptions = F.when(heading, lists.lines(F.col("visa_desc"), skip=skip)).otherwise(F.array("visa_desc"))
+    codes = F.when(heading, lists.lines(F.col("visa"), keep_blank=False)).otherwise(F.array("visa"))
+    return lists.zip_explode(rows, {"visa_desc": descriptions, "visa": codes}, position="line_no")
 
 
 def visa_codes(rows: DataFrame) -> DataFrame:

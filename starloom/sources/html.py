@@ -7,12 +7,13 @@ the parser of the standard library, in Arrow batches.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Tasks get the parser itself, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -105,6 +106,11 @@ class _Tables(HTMLParser):
         return [(texts[t] if t < len(texts) else None, t, *rest) for t, *rest in self.found]
 
 
+def _with_tag(pages: DataFrame, key: str, html: str, tags: Iterable[str]) -> DataFrame:
+    """Key and text of the pages that can hold one of the tags; others never reach Python."""
+    return pages.select(key, html).where(F.col(html).rlike(f"(?i)<({'|'.join(sorted(tags))})"))
+
+
 def html_rows(
     pages: DataFrame, key: str, html: str, css_class: str | None = None, caption: tuple[str, str] | None = None
 ) -> DataFrame:
@@ -127,7 +133,7 @@ def html_rows(
             yield pd.DataFrame(rows, columns=columns)
 
     kind = pages.schema[key].dataType.simpleString()
-    return pages.select(key, html).mapInPandas(
+    return _with_tag(pages, key, html, ["table"]).mapInPandas(
         parse, f"`{key}` {kind}, caption string, table_no int, row_no int, cells array<string>, is_header boolean"
     )
 
@@ -153,6 +159,6 @@ def html_elements(
             yield pd.DataFrame(rows, columns=[key, "tag", "element_no", "text"])
 
     kind = pages.schema[key].dataType.simpleString()
-    return pages.select(key, html).mapInPandas(
+    return _with_tag(pages, key, html, wanted).mapInPandas(
         parse, f"`{key}` {kind}, tag string, element_no int, text string"
     )

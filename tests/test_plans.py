@@ -85,3 +85,12 @@ def test_staged_codes_are_small_files(spark):
 def test_conform_adds_no_shuffle(spark):
     raw = table(spark, SMALL, "orders").withColumnRenamed("o_orderkey", "cicid")
     assert "Exchange" not in plan(conform(raw, schema.EXTRACT))
+
+
+def test_keep_first_drops_rows_before_the_shuffle(spark):
+    shown = plan(entry.queries()["keep_first"](spark, SMALL))
+    assert "WindowGroupLimit" in shown.split("Exchange")[1]
+
+
+def test_pages_are_parsed_once(spark):
+    assert plan(entry.queries()["visa_codes"](spark, SMALL)).split("(1)")[0].count("MapInPandas") == 1
