@@ -18,13 +18,12 @@ def _chunked(df: DataFrame, order: Sequence[str | Column], chunks: int | None) -
 
     All rows of a chunk come before all rows of the next one in ``order``. The
     runs are cut by range over the whole order, so one large group takes many.
+    Without ``chunks`` AQE merges neighbouring runs of little data.
     """
-    spark = df.sparkSession
-    chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = df.repartitionByRange(chunks, *order) if chunks else df.repartitionByRange(*order)
     place = F.monotonically_increasing_id()
     return stage(
-        df.repartitionByRange(chunks, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("__chunk", F.shiftright(place, _POSITION_BITS).cast("int"))
         .withColumn("__pos", place.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))),
         "chunks",

@@ -25,6 +25,12 @@ def first_rows(df: DataFrame, k: int, order: Sequence[str]) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def sample_rows(df: DataFrame, k: int, key: Sequence[str], seed: int = 0) -> DataFrame:
+    """``k`` rows picked by a hash of their ``key``: random, but the same in every run of a seed."""
+    parts = F.concat_ws("|", F.lit(str(seed)), *(F.col(f"`{c}`").cast("string") for c in key))
+    return df.orderBy(F.md5(parts), *key).limit(k)
+
+
 def unpivot_row(row: DataFrame, columns: Sequence[str], name: str, value: str) -> DataFrame:
     """Turn a one-row frame into one row per column."""
     return row.unpivot([], list(columns), name, value)

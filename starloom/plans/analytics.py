@@ -109,14 +109,14 @@ def by_state(model: Model) -> DataFrame:
 
 def share_by_purpose(model: Model) -> DataFrame:
     """People and share per purpose."""
-    people = people_by(model.i94, "purpose_id").join(model.purpose, "purpose_id", "left")
-    return with_share(people, "people", "share").select("purpose_id", "purpose_desc", "people", "share")
+    shares = with_share(people_by(model.i94, "purpose_id"), "people", "share")
+    return shares.join(model.purpose, "purpose_id", "left").select("purpose_id", "purpose_desc", "people", "share")
 
 
 def share_by_mode(model: Model) -> DataFrame:
     """People and share per mode of travel."""
-    people = people_by(model.i94, "mode_id").join(model.mode, "mode_id", "left")
-    return with_share(people, "people", "share").select("mode_id", "mode_desc", "people", "share")
+    shares = with_share(people_by(model.i94, "mode_id"), "people", "share")
+    return shares.join(model.mode, "mode_id", "left").select("mode_id", "mode_desc", "people", "share")
 
 
 def age_gender(model: Model, width: int = 10) -> DataFrame:

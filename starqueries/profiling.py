@@ -31,6 +31,13 @@ def first_rows(spark, sf_dir):
     return profile.first_rows(orders, 300, ["o_totalprice", "o_orderkey"])
 
 
+@query("sample_rows", """
+    SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(concat('7|', CAST(o_orderkey AS VARCHAR))) LIMIT 5""")
+def sample_rows(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return profile.sample_rows(orders, 5, ["o_orderkey"], seed=7)
+
+
 @query("filter_sort", _EXTRACT + """
     SELECT CAST(cicid AS BIGINT) AS cicid, visatype, admnum FROM x_extract
     WHERE visatype = '1-URGENT' AND airline IS NOT NULL ORDER BY admnum""")

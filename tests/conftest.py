@@ -1,4 +1,6 @@
+import io
 import sys
+from contextlib import redirect_stdout
 from pathlib import Path
 
 import pytest
@@ -12,6 +14,13 @@ from starloom.session import build_session  # noqa: E402
 SMALL = "/root/testdata/sf0.001"
 
 
+def plan(df) -> str:
+    """The formatted plan of a frame."""
+    with redirect_stdout(io.StringIO()) as out:
+        df.explain("formatted")
+    return out.getvalue()
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     scratch = tmp_path_factory.mktemp("scratch")

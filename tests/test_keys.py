@@ -21,7 +21,7 @@ def skewed():
     return rows
 
 
-@pytest.mark.parametrize("chunks", [1, 7, 40])
+@pytest.mark.parametrize("chunks", [None, 1, 7, 40])
 def test_carry_forward_over_chunks(spark, skewed, chunks):
     frame = spark.createDataFrame(skewed, "g int, i int, v int").repartition(5)
     found = keys.carry_forward(frame, "v", ["g"], ["i"], "last", chunks=chunks)
@@ -38,7 +38,7 @@ def test_carry_in_group_equals_carry_forward(spark, skewed, rows):
         keys.carry_forward(frame, "v", ["g"], ["i"], "last", chunks=9))
 
 
-@pytest.mark.parametrize("chunks", [1, 16])
+@pytest.mark.parametrize("chunks", [None, 1, 16])
 def test_dense_key(spark, skewed, chunks):
     frame = spark.createDataFrame(skewed, "g int, i int, v int").repartition(6)
     found = keys.dense_key(frame, [F.desc("i")], "id", start=2, chunks=chunks)

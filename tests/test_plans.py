@@ -1,9 +1,5 @@
 """Plan shapes: what is read, how it is joined, what stays in the JVM."""
 
-import io
-from contextlib import redirect_stdout
-
-import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -14,24 +10,7 @@ from starloom.plans import analytics
 from starloom.sources.tables import conform
 from starqueries.model import model, staged
 from starqueries.standins import table, view
-from tests.conftest import SMALL
-
-
-def plan(df) -> str:
-    with redirect_stdout(io.StringIO()) as out:
-        df.explain("formatted")
-    return out.getvalue()
-
-
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
-
-
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - {"load_arrivals", "load_model"}))
-def test_no_cross_join_and_no_python(spark, name):
-    shown = plan(entry.queries()[name](spark, SMALL))
-    assert "CartesianProduct" not in shown and "BroadcastNestedLoopJoin" not in shown
-    if name not in ("html_elements", "html_rows", "visa_codes"):
-        assert not any(node in shown for node in PYTHON_NODES)
+from tests.conftest import SMALL, plan
 
 
 def test_fact_reads_only_its_columns(spark):
