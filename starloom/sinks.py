@@ -70,7 +70,8 @@ def register_model(
     """Make model tables known to SQL and return their names; tables that do not exist are left out.
 
     Without ``database`` they become temporary views. With it they become
-    external tables, and partitions that were added since are picked up.
+    external tables (a name that is taken already keeps its table), and
+    partitions that came or went since are noted.
     """
     names = []
     for table in tables:
@@ -84,15 +85,13 @@ def register_model(
             df.createOrReplaceTempView(f"`{name}`")
         else:
             name = f"{database}.{name}"
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
             partitioned = table in schema.PERIOD_TABLES
-            columns = ", ".join(
-                f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema
-            )
             layout = f"PARTITIONED BY ({', '.join(schema.PERIOD)})" if partitioned else ""
-            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout} LOCATION '{path}'")
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {layout} LOCATION '{path}'")
             if partitioned:
-                spark.catalog.recoverPartitions(name)
+                spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+            spark.catalog.refreshTable(name)
         names.append(name)
     return names
 

@@ -1,9 +1,10 @@
 """Load periods as their files arrive in a landing folder.
 
-The file source keeps in its checkpoint which files it has seen. A batch only
-tells which periods got new files; each of them is then rebuilt from all of its
-files and replaced. A period may so arrive in several files and in any order,
-and a batch that is repeated after a failure changes nothing.
+The file source keeps in its checkpoint which files it has seen. A batch tells
+which periods got new files, and notes which file holds which period; each of
+those periods is then rebuilt from all of its files and replaced. A period may
+so arrive in several files and in any order, files of other periods are not
+read again, and a batch that is repeated after a failure changes nothing.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql.types import StructType
 
 from starloom.plans.load import LoadOptions, Staged, load_fact
 
-_PERIOD = ("i94yr", "i94mon")
+_PERIOD = ["i94yr", "i94mon"]
+_NOTES = "file STRING, i94yr INT, i94mon INT"
 
 
 def load_arrivals(
@@ -34,19 +36,31 @@ def load_arrivals(
     """Start a query that loads every period with files not seen yet, then stops.
 
     ``schema`` is that of the files as they arrive; ``staged`` gives the code
-    tables and is asked once per batch.
+    tables and is asked once per batch. Notes on files are kept beside the
+    checkpoint, in ``<checkpoint>-files``.
     """
+    notes = f"{checkpoint.rstrip('/')}-files"
+
     def load(batch: DataFrame, _: int) -> None:
-        # A row per period: bounded by the calendar, not by the data.
-        periods = batch.select(*_PERIOD).distinct()
-        arrived = batch.sparkSession.read.schema(schema).format(fmt).option("recursiveFileLookup", True).load(landing)
-        load_fact(arrived.join(F.broadcast(periods), list(_PERIOD), "left_semi"), staged(), root, options)
+        session = batch.sparkSession
+        periods = [F.col(c).try_cast("double").try_cast("int").alias(c) for c in _PERIOD]
+        # A row per file and period in it: names of files, as Spark lists them itself, and no data.
+        arrived = session.createDataFrame(batch.select("file", *periods).distinct().collect(), _NOTES)
+        arrived.coalesce(1).write.mode("append").parquet(notes)
+        touched = arrived.select(*_PERIOD).distinct()
+        known = session.read.schema(_NOTES).parquet(notes)
+        files = [r["file"] for r in known.join(touched, _PERIOD, "left_semi").select("file").distinct().collect()]
+        rows = session.read.schema(schema).format(fmt).load(files)
+        whole = rows.withColumns({f"__{c}": p for c, p in zip(_PERIOD, periods, strict=True)})
+        wanted = F.broadcast(touched.withColumnsRenamed({c: f"__{c}" for c in _PERIOD}))
+        load_fact(whole.join(wanted, [f"__{c}" for c in _PERIOD], "left_semi"), staged(), root, options)
 
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
         reader.load(landing)
+        .withColumn("file", F.col("_metadata.file_path"))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

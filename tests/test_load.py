@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from starloom import __main__ as command
 from starloom import schema, sinks
 from starloom.operators import quality
 from starloom.plans import analytics, dimensions, fact
@@ -190,6 +191,30 @@ def test_new_partitions_show_after_registering_again(spark, loaded, extract, sta
     assert spark.sql("SELECT count(*) FROM model_db.i94_again").first()[0] == 10
 
 
+def test_sql_with_quoted_names(spark, loaded, rows):
+    spark.sql("CREATE DATABASE IF NOT EXISTS quoted_db")
+    sinks.register_model(spark, loaded, database="quoted_db", suffix="_parquet")
+    spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+    try:
+        found = spark.sql("""
+            WITH people AS (
+                SELECT c.country_name, s.state_name, f.month, round(t.temperature_mean, 1) AS mean_temperature,
+                       sum(CASE WHEN p.purpose_desc = 'Pleasure' THEN count ELSE 0 END) AS tourists, sum(count) AS n
+                FROM "quoted_db"."i94_parquet" f
+                LEFT OUTER JOIN "quoted_db"."countries_parquet" c ON c.country_id = f.res_country_id
+                LEFT OUTER JOIN "quoted_db"."us_states_parquet" s ON s.state_id = f.state_id
+                LEFT OUTER JOIN "quoted_db"."purpose_parquet" p ON p.purpose_id = f.purpose_id
+                LEFT OUTER JOIN "quoted_db"."temperature_parquet" t
+                    ON t.country_id = f.res_country_id AND t.month = f.month
+                WHERE c.country_id = 'DE' AND p.purpose_desc IN ('Business', 'Pleasure') AND f.state_id IN ('FL', 'CA')
+                GROUP BY 1, 2, 3, 4 ORDER BY cast(f.month AS integer))
+            SELECT country_name, state_name, month, mean_temperature, n,
+                   round(cast(tourists AS double) / cast(n AS double) * 100, 0) AS rel_tourists FROM people""")
+        assert rows(found) == [("Germany", "Florida", 4, 9.0, 1, 100.0)]
+    finally:
+        spark.conf.unset("spark.sql.ansi.doubleQuotedIdentifiers")
+
+
 def test_register_leaves_out_missing_tables(spark, tmp_path):
     assert sinks.register_model(spark, str(tmp_path)) == []
 
@@ -222,6 +247,24 @@ def test_arrivals_load_each_period_whole(spark, extract, staged, tmp_path, rows)
     assert rows(model_of(spark, root, "i94").groupBy("month").count()) == [(4, 5), (7, 5)]
 
 
+def test_jobs_from_the_command_line(spark, extract, staged, tmp_path, rows):
+    raw, staging, root = (str(tmp_path / n) for n in ("raw", "staging", "model"))
+    extract.coalesce(1).write.parquet(f"{raw}/one")
+    (part,) = (tmp_path / "raw/one").glob("*.parquet")
+    (tmp_path / "raw/i94_apr16_sub.parquet").write_bytes(part.read_bytes())
+    (tmp_path / "raw/i94_may16_sub.parquet").write_bytes(b"not read")
+    staged.write(staging)
+    period = ["--model", root, "--year", "2016", "--month", "4"]
+    command.main(["load", "--raw", raw, "--staging", staging, *period])
+    command.main(["check", *period])
+    assert model_of(spark, root, "i94").count() == 5
+    assert spark.read.parquet(f"{root}/data_quality.parquet").count() == 2 * 26
+    with pytest.raises(FileNotFoundError):
+        command.main(["load", "--raw", raw, "--staging", staging, "--model", root, "--year", "2016", "--month", "7"])
+    with pytest.raises(quality.QualityGateFailed):
+        command.main(["check", "--model", root, "--year", "2015", "--month", "7"])
+
+
 def test_country_mapping_and_dimension(spark, rows):
     labels = spark.createDataFrame(
         [("111", "FRANCE"), ("112", "GERMANY"), ("148", "germany"), ("700", "INVALID: STATELESS"), ("5", "ATLANTIS"),
