@@ -1,114 +1,150 @@
 """Tables and single elements of HTML pages as rows.
 
-Pages are spread over tasks as they were read; a page is parsed by itself with
-the parser of the standard library, in Arrow batches.
+Pages are spread over tasks as they were read; a page is worked on by itself, in
+Arrow batches. Pages without the wanted tag never leave the JVM.
 """
 
 from __future__ import annotations
 
+import html as entities
+import re
 import sys
 from collections.abc import Iterable, Iterator, Sequence
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Tasks get the parser itself, so executors need no copy of this package.
+# Tasks get these functions themselves, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-class _Elements(HTMLParser):
-    """Collects the text of the wanted elements as ``(tag, class, text)``, in order of their start."""
-
-    def __init__(self, tags):
-        super().__init__(convert_charrefs=True)
-        self.tags, self.found, self.open = tags, [], []
-
-    def handle_starttag(self, tag, attrs):
-        if tag in self.tags:
-            self.open.append(len(self.found))
-            self.found.append([tag, dict(attrs).get("class") or "", []])
-
-    def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.found[self.open[i]][0] == tag:
-                del self.open[i:]
-                return
-
-    def handle_data(self, data):
-        for i in self.open:
-            self.found[i][2].append(data)
-
-
-class _Tables(HTMLParser):
-    """Collects body rows as ``(table, row, cells, bold first cell)``, and the captions of a page."""
-
-    def __init__(self, css_class, caption):
-        super().__init__(convert_charrefs=True)
-        self.css_class, self.caption = css_class, caption
-        self.found, self.captions = [], []
-        self.depth, self.table, self.row = 0, -1, -1
-        self.wanted = self.in_body = self.in_caption = self.bold = False
-        self.cells = None
-
-    def handle_starttag(self, tag, attrs):
-        classes = (dict(attrs).get("class") or "").split()
-        if self.caption and tag == self.caption[0] and self.caption[1] in classes:
-            self.captions.append([])
-            self.in_caption = True
-        if tag == "table":
-            self.depth += 1
-            if self.depth == 1:
-                self.wanted = self.css_class is None or self.css_class in classes
-                self.in_body, self.row = True, -1
-                self.table += self.wanted
-        if self.depth != 1 or not self.wanted:
-            return
-        if tag in ("thead", "tbody", "tfoot"):
-            self.end_row()
-            self.in_body = tag == "tbody"
-        elif tag == "tr":
-            self.end_row()
-            if self.in_body:
-                self.cells, self.bold = [], False
-        elif tag == "td" and self.cells is not None:
-            self.cells.append([])
-        elif tag == "b" and self.cells is not None and len(self.cells) == 1:
-            self.bold = True
-
-    def handle_endtag(self, tag):
-        if self.caption and tag == self.caption[0]:
-            self.in_caption = False
-        if tag == "table" and self.depth:
-            if self.depth == 1:
-                self.end_row()
-            self.depth -= 1
-        elif tag == "tr" and self.depth == 1:
-            self.end_row()
-
-    def handle_data(self, data):
-        if self.in_caption:
-            self.captions[-1].append(data)
-        if self.cells:
-            self.cells[-1].append(data)
-
-    def end_row(self):
-        if self.cells:
-            self.row += 1
-            self.found.append((self.table, self.row, ["".join(c).strip() for c in self.cells], self.bold))
-        self.cells = None
-
-    def rows(self):
-        """``(caption, table, row, cells, header)``; a table has the caption of the same number."""
-        self.end_row()
-        texts = ["".join(c).strip() for c in self.captions]
-        return [(texts[t] if t < len(texts) else None, t, *rest) for t, *rest in self.found]
-
-
-def _with_tag(pages: DataFrame, key: str, html: str, tags: Iterable[str]) -> DataFrame:
-    """Key and text of the pages that can hold one of the tags; others never reach Python."""
-    return pages.select(key, html).where(F.col(html).rlike(f"(?i)<({'|'.join(sorted(tags))})"))
+_MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(script|style)\b.*?(?:</\1\s*>|\Z)"
+    r"|<[!?][^>]*>"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    re.IGNORECASE | re.DOTALL,
+)
+_CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+
+
+def _markup(page: str) -> Iterator[tuple[str, str, bool, str]]:
+    """``(text before, tag, is end, attributes)`` in order; the tag is empty for what is no element."""
+    place = 0
+    for found in _MARKUP.finditer(page):
+        text = page[place:found.start()]
+        place = found.end()
+        yield (
+            entities.unescape(text) if "&" in text else text,
+            (found["tag"] or "").lower(), bool(found["end"]), found["attributes"] or "",
+        )
+    yield entities.unescape(page[place:]), "", False, ""
+
+
+def _has_class(attributes: str, name: str | None) -> bool:
+    if name is None:
+        return True
+    found = _CLASS.search(attributes)
+    return bool(found) and name in next(filter(None, found.groups()), "").split()
+
+
+def _elements(page: str, tags: frozenset, css_class: str | None) -> list[tuple[str, int, str]]:
+    """``(tag, number, text)`` of the wanted elements; one runs to its end tag or the end of the page."""
+    found: list[tuple[str, list]] = []
+    opened: list[int] = []
+    for text, tag, is_end, attributes in _markup(page):
+        for i in opened:
+            found[i][1].append(text)
+        if tag not in tags:
+            continue
+        if not is_end:
+            opened.append(len(found))
+            found.append((tag if _has_class(attributes, css_class) else "", [tag]))
+            continue
+        for i in reversed(range(len(opened))):
+            if found[opened[i]][1][0] == tag:
+                del opened[i:]
+                break
+    number = dict.fromkeys(tags, -1)
+    rows = []
+    for tag, (_, *parts) in found:
+        if tag:
+            number[tag] += 1
+            rows.append((tag, number[tag], "".join(parts).strip()))
+    return rows
+
+
+def _table_rows(page: str, css_class: str | None, caption: tuple[str, str] | None) -> list[tuple]:
+    """``(caption, table, row, cells, header)`` of the body rows of the tables of a class.
+
+    Rows end where the next one starts if they lack an end tag. A table inside
+    of a cell counts as text of the cell.
+    """
+    rows, captions = [], []
+    depth, table, row = 0, -1, -1
+    wanted = in_body = in_caption = bold = False
+    cells: list | None = None
+
+    def end_row():
+        nonlocal row, cells
+        if cells:
+            row += 1
+            rows.append((table, row, ["".join(c).strip() for c in cells], bold))
+        cells = None
+
+    for text, tag, is_end, attributes in _markup(page):
+        if text:
+            if in_caption:
+                captions[-1].append(text)
+            if cells:
+                cells[-1].append(text)
+        if not tag:
+            continue
+        if caption and tag == caption[0]:
+            in_caption = not is_end and _has_class(attributes, caption[1])
+            if in_caption:
+                captions.append([])
+        elif tag == "table":
+            if is_end:
+                if depth == 1:
+                    end_row()
+                depth = max(depth - 1, 0)
+            else:
+                depth += 1
+                if depth == 1:
+                    wanted, in_body, row = _has_class(attributes, css_class), True, -1
+                    table += wanted
+        elif depth == 1 and wanted:
+            if tag == "tr":
+                end_row()
+                if in_body and not is_end:
+                    cells, bold = [], False
+            elif tag in ("thead", "tbody", "tfoot"):
+                end_row()
+                in_body = tag == "tbody" or is_end
+            elif cells is not None and not is_end:
+                if tag == "td":
+                    cells.append([])
+                elif tag == "b" and len(cells) == 1:
+                    bold = True
+    end_row()
+    texts = ["".join(c).strip() for c in captions]
+    return [(texts[t] if t < len(texts) else None, t, *rest) for t, *rest in rows]
+
+
+def _parsed(pages: DataFrame, key: str, html: str, tags: Iterable[str], parse, columns: str) -> DataFrame:
+    """Key and the rows ``parse`` finds in each page that can hold one of the tags."""
+    names = [key, *(column.split()[0] for column in columns.split(", "))]
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(ident, *row) for ident, page in zip(batch[key], batch[html], strict=True) for row in parse(page)]
+            yield pd.DataFrame(found, columns=names)
+
+    kind = pages.schema[key].dataType.simpleString()
+    candidates = pages.select(key, html).where(F.col(html).rlike(f"(?i)<({'|'.join(sorted(tags))})"))
+    return candidates.mapInPandas(rows, f"`{key}` {kind}, {columns}")
 
 
 def html_rows(
@@ -120,21 +156,9 @@ def html_rows(
     A row is a header if its first cell holds bold text; numbers count from 0.
     ``caption`` is (tag, class) of the elements that name the tables of a page.
     """
-    columns = [key, "caption", "table_no", "row_no", "cells", "is_header"]
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for ident, page in zip(batch[key], batch[html], strict=True):
-                parser = _Tables(css_class, caption)
-                parser.feed(page or "")
-                parser.close()
-                rows += [(ident, *row) for row in parser.rows()]
-            yield pd.DataFrame(rows, columns=columns)
-
-    kind = pages.schema[key].dataType.simpleString()
-    return _with_tag(pages, key, html, ["table"]).mapInPandas(
-        parse, f"`{key}` {kind}, caption string, table_no int, row_no int, cells array<string>, is_header boolean"
+    return _parsed(
+        pages, key, html, ["table"], lambda page: _table_rows(page, css_class, caption),
+        "caption string, table_no int, row_no int, cells array<string>, is_header boolean",
     )
 
 
@@ -143,22 +167,7 @@ def html_elements(
 ) -> DataFrame:
     """One row per element with one of ``tags``: key, ``tag``, ``element_no`` (from 0 per page and tag), ``text``."""
     wanted = frozenset(tags)
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for ident, page in zip(batch[key], batch[html], strict=True):
-                parser = _Elements(wanted)
-                parser.feed(page or "")
-                parser.close()
-                count = dict.fromkeys(wanted, 0)
-                for tag, classes, parts in parser.found:
-                    if css_class is None or css_class in classes.split():
-                        rows.append((ident, tag, count[tag], "".join(parts).strip()))
-                        count[tag] += 1
-            yield pd.DataFrame(rows, columns=[key, "tag", "element_no", "text"])
-
-    kind = pages.schema[key].dataType.simpleString()
-    return _with_tag(pages, key, html, wanted).mapInPandas(
-        parse, f"`{key}` {kind}, tag string, element_no int, text string"
+    return _parsed(
+        pages, key, html, wanted, lambda page: _elements(page, wanted, css_class),
+        "tag string, element_no int, text string",
     )

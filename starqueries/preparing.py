@@ -76,8 +76,8 @@ def country_dimension(spark, sf_dir):
         UNION ALL
         SELECT page_id, 'h1', CAST(unnest(range(len(parts))) AS INTEGER), unnest(parts) FROM h1)
     SELECT page_id, tag, element_no,
-           replace(replace(replace(trim(regexp_replace(t, '<[^>]*>', '', 'g')), '&lt;', '<'), '&gt;', '>'),
-                   '&amp;', '&') AS text
+           regexp_replace(replace(replace(replace(trim(regexp_replace(t, '<[^>]*>', '', 'g')), '&lt;', '<'),
+                                          '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g') AS text
     FROM found""")
 def html_list_items(spark, sf_dir):
     return html_elements(table(spark, sf_dir, "pages"), "page_id", "html", ["li", "h1"])

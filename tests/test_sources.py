@@ -131,3 +131,16 @@ def test_html_elements(spark):
     assert [tuple(r) for r in found] == [(1, "h1", 0, "T < U"), (1, "li", 0, "one"), (1, "li", 1, "two"),
                                          (1, "li", 2, "open")]
     assert html.html_elements(pages, "id", "html", ["li"], "z").collect()[0]["text"] == "two"
+
+
+def test_html_odd_markup(spark):
+    page = """<!DOCTYPE html><?x y?><!-- <li>no</li> --><script>if (a<li) "<li>no</li>"</script>
+      <LI title="a > b">1 < 2 &lt; 3 &amp x</LI><style>li{}</style><li>open <b>bold</b><li>next</li>
+      <table class='a grid'><tfoot><tr><td>foot</tr></tfoot><tr><td>x<br/>y<td>z</table>
+      <table class=grid><tbody><tr></tr><tr><td><b>H</b></table><table><tr><td>none</table><h4 class=cap>late"""
+    pages = spark.createDataFrame([(1, page)], "id int, html string")
+    found = html.html_elements(pages, "id", "html", ["li"]).orderBy("element_no").collect()
+    assert [r["text"] for r in found][:1] == ["1 < 2 < 3 & x"] and len(found) == 3
+    assert found[1]["text"].startswith("open bold") and found[2]["text"] == "next"
+    cells = html.html_rows(pages, "id", "html", "grid", ("h4", "cap")).orderBy("table_no", "row_no").collect()
+    assert [tuple(r)[1:] for r in cells] == [("late", 0, 0, ["xy", "z"], False), (None, 1, 0, ["H"], True)]
