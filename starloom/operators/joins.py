@@ -1,8 +1,8 @@
 """Equality joins that hold for any size of either side.
 
 A right side is broadcast only after its rows and bytes were counted. A larger
-right side is joined by shuffle; keys that hold many rows of the left side are
-found first and spread over several tasks.
+right side is joined by shuffle; keys that hold many rows of either side are
+looked for first and, if there are any, spread over several tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import stage
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -20,6 +22,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # HOT_SHARE of all rows, so at most 1 / HOT_SHARE keys can ever qualify.
 ROWS_PER_TASK = 2_000_000
 HOT_SHARE = 1e-5
+SAMPLED = 1_000
 
 
 def text_bytes(df: DataFrame) -> Column:
@@ -71,19 +74,20 @@ def join_on(
     if right_is_small:
         return left.join(F.broadcast(right), _equal(keys), how).drop(*names.values())
 
-    counts = left_counts if left_counts is not None else rows_per_key(left, list(keys))
-    hot_left = hot_keys(counts, rows_per_task, hot_share)
+    hot_left = _find_hot(left, list(keys), rows_per_task, hot_share, left_counts)
     if right_is_unique:
         joined = _spread_join(left, right, keys, how, hot_left)
-    else:
-        # Keys that are frequent on the right do exist there, so for them a left
-        # join is an inner join, and both of its sides can be parted.
-        hot_right = hot_keys(rows_per_key(right, list(names.values())), rows_per_task, hot_share)
-        hot_rows = [_pick(df, columns, hot_right, "left_semi") for df, columns in ((left, keys), (right, names.values()))]
-        cold_rows = [_pick(df, columns, hot_right, "left_anti") for df, columns in ((left, keys), (right, names.values()))]
-        joined = _spread_join(*cold_rows, keys, how, hot_left).unionByName(
-            _spread_join(*hot_rows, keys, "inner", hot_left, hot_right)
-        )
+        return joined.drop(*names.values())
+    hot_right = _find_hot(right, list(names.values()), rows_per_task, hot_share)
+    if hot_right is None:
+        return _spread_join(left, right, keys, how, hot_left).drop(*names.values())
+    # Keys that are frequent on the right do exist there, so for them a left join
+    # is an inner join, and both of its sides can be parted.
+    cold_rows = (_pick(df, columns, hot_right, "left_anti") for df, columns in ((left, keys), (right, names.values())))
+    hot_rows = (_pick(df, columns, hot_right, "left_semi") for df, columns in ((left, keys), (right, names.values())))
+    joined = _spread_join(*cold_rows, keys, how, hot_left).unionByName(
+        _spread_join(*hot_rows, keys, "inner", hot_left, hot_right)
+    )
     return joined.drop(*names.values())
 
 
@@ -111,6 +115,25 @@ def hot_keys(counts: DataFrame, rows_per_task: int, hot_share: float) -> DataFra
     )
 
 
+def _find_hot(
+    df: DataFrame, keys: list[str], rows_per_task: int, hot_share: float, counts: DataFrame | None = None
+) -> DataFrame | None:
+    """The hot keys of ``df`` as a stored table, or None if there are none.
+
+    Unless the rows per key are known they are estimated from a sample in which
+    a hot key has about ``SAMPLED`` rows. What is found only decides how rows
+    are spread; the join is exact for any set of keys, as long as both sides use
+    the same one, which is why it is stored.
+    """
+    if counts is None:
+        fraction = min(1.0, SAMPLED / rows_per_task)
+        sample = df.select(*(F.col(f"`{key}`") for key in keys))
+        counts = rows_per_key(sample.sample(fraction, seed=1) if fraction < 1.0 else sample, keys)
+        counts = counts.withColumn("__rows", F.col("__rows") / F.lit(fraction))
+    hot = stage(hot_keys(counts, rows_per_task, hot_share), "hot")
+    return None if hot.isEmpty() else hot
+
+
 def _marked(hot: DataFrame, part: str) -> tuple[DataFrame, list[str]]:
     """Hot keys under names that no side of a join has."""
     keys = [c for c in hot.columns if c not in ("__rows", "__parts")]
@@ -134,8 +157,11 @@ def _parts(df: DataFrame, keys: Iterable[str], hot: DataFrame, part: str) -> Dat
 
 def _one_part(df: DataFrame, keys: Iterable[str], hot: DataFrame, part: str) -> DataFrame:
     """Put each row into one part of its key."""
-    # The input task number parts exact copies of a row; it is the same on a retry.
-    row = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns), F.spark_partition_id())
+    # Content and input task are the same when a task is retried, unlike the place
+    # of a row within its task; the task number parts exact copies of a row. All
+    # columns are read for this, so select what is needed before a large join.
+    hashable = (F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString())
+    row = F.xxhash64(*hashable, F.spark_partition_id())
     return _parts(df, keys, hot, part).withColumn(part, F.pmod(row, F.col(part)).cast("int"))
 
 
@@ -149,18 +175,20 @@ def _spread_join(
     right: DataFrame,
     keys: Mapping[str, str],
     how: str,
-    hot_left: DataFrame,
+    hot_left: DataFrame | None,
     hot_right: DataFrame | None = None,
 ) -> DataFrame:
-    """Shuffle join in which each hot key is parted into several keys.
+    """Join by shuffle in which each hot key is parted into several keys; a plain join if none is hot.
 
     A row goes to one part of a key that is hot on its own side, and is copied to
     all parts of a key that is hot on the other side: every pair meets just once.
     """
     ours, theirs = keys.keys(), keys.values()
-    left = _one_part(left, ours, hot_left, "__left_part")
-    right = _all_parts(right, theirs, hot_left, "__left_copy")
-    match = _equal(keys) & (F.col("__left_part") == F.col("__left_copy"))
+    match = _equal(keys)
+    if hot_left is not None:
+        left = _one_part(left, ours, hot_left, "__left_part")
+        right = _all_parts(right, theirs, hot_left, "__left_copy")
+        match = match & (F.col("__left_part") == F.col("__left_copy"))
     if hot_right is not None:
         left = _all_parts(left, ours, hot_right, "__right_copy")
         right = _one_part(right, theirs, hot_right, "__right_part")

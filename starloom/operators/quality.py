@@ -9,9 +9,11 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starloom import schema
-from starloom.operators import joins
+from starloom.functions.clean import soft_cast
+from starloom.operators import joins, profile
 
 
 class QualityGateFailed(Exception):
@@ -20,16 +22,19 @@ class QualityGateFailed(Exception):
 
 @dataclass(frozen=True)
 class Dataset:
-    """A dataset and its checks: it has rows; fields hold no NULL; keys are unique; references exist.
+    """A dataset and its checks.
 
-    ``path`` is read as parquet unless ``frame`` is given. ``where`` picks the
-    tested rows, for example one period; partitions it excludes are not read.
-    ``references`` maps a field to ``(dataset frame, key)``.
+    It has rows; the ``not_null`` fields hold no NULL; the ``unique`` fields are
+    unique; no two rows agree in all ``distinct_in`` fields; each of the
+    ``references`` (field, dimension, key) exists. ``path`` is read as parquet
+    unless ``frame`` is given. ``where`` picks the tested rows, for example one
+    period; partitions it excludes are not read.
     """
 
     path: str
     not_null: Sequence[str] = ()
     unique: Sequence[str] = ()
+    distinct_in: Sequence[str] = ()
     where: str | None = None
     references: Sequence[tuple[str, DataFrame, str]] = ()
     frame: DataFrame | None = None
@@ -89,6 +94,13 @@ def _unique_check(df: DataFrame, field: str, year, month, path: str) -> DataFram
     return _report(surplus, "is_unique", F.col("num_recs") == 0, year, month, path)
 
 
+def _duplicate_check(df: DataFrame, fields: Sequence[str], year, month, path: str) -> DataFrame:
+    surplus = profile.surplus_rows(df, fields).select(
+        F.lit(", ".join(fields)).alias("field"), F.col("surplus").alias("num_recs")
+    )
+    return _report(surplus, "no_duplicates", F.col("num_recs") == 0, year, month, path)
+
+
 def _reference_check(df: DataFrame, field: str, dim: DataFrame, key: str, year, month, path: str) -> DataFrame:
     """Rows whose key is missing in the dimension; keys are counted before they are joined."""
     per_key = df.where(F.col(field).isNotNull()).groupBy(field).agg(F.count(F.lit(1)).alias("n"))
@@ -116,6 +128,8 @@ def run_checks(
             continue
         parts.append(_row_and_null_checks(df, dataset.not_null, year, month, dataset.path))
         parts += [_unique_check(df, f, year, month, dataset.path) for f in dataset.unique]
+        if dataset.distinct_in:
+            parts.append(_duplicate_check(df, dataset.distinct_in, year, month, dataset.path))
         parts += [_reference_check(df, f, d, k, year, month, dataset.path) for f, d, k in dataset.references]
     if not parts:
         return spark.createDataFrame([], schema.REPORT)
@@ -151,12 +165,14 @@ def gate(report: DataFrame) -> None:
         raise QualityGateFailed(f"{failed} data quality checks failed")
 
 
-def cast_failures(raw: DataFrame, conformed_types, cast) -> DataFrame:
-    """``field``, ``num_recs``: values that are present in ``raw`` and lost by the cast to the target type."""
+def cast_failures(raw: DataFrame, target: StructType) -> DataFrame:
+    """``field``, ``num_recs``: values present in ``raw`` that the cast to the target types loses, in one pass."""
     types = {f.name: f.dataType for f in raw.schema}
-    targets = [f for f in conformed_types if f.name in types]
+    fields = [f for f in target if f.name in types]
     counted = raw.agg(*(
-        F.count_if(F.col(f.name).isNotNull() & cast(F.col(f.name), types[f.name], f.dataType).isNull()).alias(f.name)
-        for f in targets
+        F.count_if(
+            F.col(f.name).isNotNull() & soft_cast(F.col(f.name), types[f.name], f.dataType).isNull()
+        ).alias(f.name)
+        for f in fields
     ))
-    return counted.unpivot([], [f.name for f in targets], "field", "num_recs")
+    return profile.unpivot_row(counted, [f.name for f in fields], "field", "num_recs")

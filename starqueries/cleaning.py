@@ -25,7 +25,7 @@ def conform_extract(spark, sf_dir):
 @query("cast_failures", _EXTRACT + """
     SELECT 'i94bir' AS field, count(*) FILTER (WHERE TRY_CAST(i94bir AS DOUBLE) IS NULL) AS num_recs FROM x_extract""")
 def cast_failures(spark, sf_dir):
-    lost = quality.cast_failures(view(spark, sf_dir, "x_extract"), schema.EXTRACT, clean.soft_cast)
+    lost = quality.cast_failures(view(spark, sf_dir, "x_extract"), schema.EXTRACT)
     return lost.where("num_recs > 0")
 
 

@@ -232,6 +232,9 @@ _REPORT_SQL = _EXTRACT + " UNION ALL ".join([
     _report_row("lineitem", "fk_exists", "l_orderkey",
                 "count(*) FILTER (WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'))",
                 "bool_or(l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'))"),
+    _report_row("documents", "has_rows", None, "count(*)", "count(*) = 0"),
+    _report_row("documents", "no_duplicates", "text", "count(*) - count(DISTINCT text)",
+                "count(*) > count(DISTINCT text)"),
     """
     SELECT '1998', '4', 'absent', 'has_rows', 'failed', NULL, NULL""",
 ])
@@ -243,6 +246,7 @@ def _suite(spark, sf_dir):
         quality.Dataset("x_extract", ["gender", "cicid"], ["cicid"], frame=view(spark, sf_dir, "x_extract")),
         quality.Dataset("lineitem", unique=["l_orderkey"], references=[("l_orderkey", finished, "o_orderkey")],
                         frame=table(spark, sf_dir, "lineitem")),
+        quality.Dataset("documents", distinct_in=["text"], frame=table(spark, sf_dir, "documents")),
         quality.Dataset("absent"),
     ]
 

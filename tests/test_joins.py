@@ -145,3 +145,21 @@ def test_left_merge_fans_out(spark, rows):
     names = spark.createDataFrame([("AO", "Angola")], "id string, name string")
     assert rows(joins.left_merge(codes, names, {"iso": "id"}), "code", "name") == [
         (1, "Angola"), (2, "Angola"), (3, None)]
+
+
+def test_spread_join_of_rows_with_maps(spark):
+    left = spark.range(20).selectExpr("id % 2 AS k", "map('a', id) AS m", "id AS n")
+    right = spark.range(2).selectExpr("id AS k", "id * 10 AS v")
+    found = joins.join_on(left, right, {"k": "k"}, right_is_unique=True, **TINY)
+    assert sorted((r["n"], r["v"], r["m"]["a"]) for r in found.collect()) == [(i, i % 2 * 10, i) for i in range(20)]
+
+
+def test_hot_keys_are_found_in_a_sample(spark):
+    left = spark.range(0, 30000, 1, 6).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k", "id AS n")
+    hot = joins._find_hot(left, ["k"], 2500, 1e-3)
+    assert [r["k"] for r in hot.collect()] == [-1] and hot.first()["__parts"] in (4, 5)
+    assert joins._find_hot(left.where("k >= 0"), ["k"], 2500, 1e-3) is None
+    right = spark.range(-1, 30000, 1, 3).selectExpr("id AS k", "id * 2 AS v")
+    found = joins.join_on(left, right, {"k": "k"}, broadcast_rows=0, rows_per_task=2500, hot_share=1e-3,
+                          right_is_unique=True)
+    assert found.count() == 30000 and found.where("v = 2 * k").count() == 30000

@@ -74,8 +74,18 @@ def test_distinct_values_count_null(sample, rows):
 def test_duplicates(spark, sample, rows):
     assert rows(profile.repeated_rows(sample, out="times")) == [("a", 1, 2)]
     assert tuple(profile.surplus_rows(sample).first()) == (5, 1)
+    assert tuple(profile.surplus_rows(sample.limit(0)).first()) == (0, 0)
     assert profile.groups_over_one(sample, "s").first()[0] == 1
     with pytest.raises(ValueError, match="1 duplicate"):
         profile.require_no_duplicates(sample)
     profile.require_no_duplicates(spark.range(5))
     profile.require_no_duplicates(spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), ignore=["id"])
+
+
+@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0, "rows_per_task": 4, "hot_share": 0.001}])
+def test_surplus_of_many_copies(spark, limits):
+    frame = spark.range(60).selectExpr("CASE WHEN id % 3 = 0 THEN 'copy' ELSE concat('t', id % 50) END AS text",
+                                       "CASE WHEN id % 2 = 0 THEN 'x' END AS lang")
+    rows = [tuple(r) for r in frame.collect()]
+    found = profile.surplus_rows(frame.repartition(5), **limits).first()
+    assert tuple(found) == (60, 60 - len(set(rows)))

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom import schema, sinks
-from starloom.functions.clean import soft_cast
 from starloom.operators import quality
 
 
@@ -34,6 +33,14 @@ def test_rows_nulls_unique_references(spark, people):
     assert {(r["year"], r["month"], r["path"]) for r in report.collect()} == {("2016", "4", "people")}
 
 
+def test_no_duplicates(spark, people):
+    twice = people.unionByName(people.where("id = 1"))
+    datasets = [quality.Dataset(n, distinct_in=fields, frame=twice)
+                for n, fields in (("a", ["id", "name", "ref"]), ("b", ["ref"]))]
+    report = quality.run_checks(spark, datasets, 2016, 4).where("test = 'no_duplicates'")
+    assert results(report) == [("no_duplicates", "id, name, ref", "failed", "1"), ("no_duplicates", "ref", "failed", "2")]
+
+
 def test_one_pass_equals_single_counts(spark, people):
     report = quality.run_checks(spark, [quality.Dataset("p", people.columns, frame=people)], 1, 1)
     for row in report.where("test = 'has_nulls'").collect():
@@ -68,5 +75,5 @@ def test_report_is_stored_before_the_gate_closes(spark, tmp_path, people):
 
 def test_cast_failures(spark):
     raw = spark.sql("SELECT 'x' AS cicid, '5.0' AS i94yr, CAST(NULL AS STRING) AS i94mon")
-    found = quality.cast_failures(raw, schema.EXTRACT, soft_cast)
+    found = quality.cast_failures(raw, schema.EXTRACT)
     assert {r["field"]: r["num_recs"] for r in found.collect()} == {"cicid": 1, "i94yr": 0, "i94mon": 0}
