@@ -43,8 +43,14 @@ def read_period(spark: SparkSession, root: str, year: int, month: int) -> DataFr
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
-    """A small table written out in code."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small table written out in code; made in the JVM, without Python rows."""
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = (
+        F.struct(*(F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, schema, strict=True)))
+        for row in rows
+    )
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
 def conform(df: DataFrame, schema: StructType, strict: bool = False) -> DataFrame:

@@ -144,3 +144,10 @@ def test_html_odd_markup(spark):
     assert found[1]["text"].startswith("open bold") and found[2]["text"] == "next"
     cells = html.html_rows(pages, "id", "html", "grid", ("h4", "cap")).orderBy("table_no", "row_no").collect()
     assert [tuple(r)[1:] for r in cells] == [("late", 0, 0, ["xy", "z"], False), (None, 1, 0, ["H"], True)]
+
+
+def test_literal_table(spark, rows):
+    found = tables.literal_table(spark, [*schema.MODE_ROWS, (None, "none")], schema.MODE)
+    assert rows(found)[:4] == list(schema.MODE_ROWS) and rows(found)[4] == (None, "none")
+    assert [f.dataType for f in found.schema] == [f.dataType for f in schema.MODE]
+    assert tables.literal_table(spark, [], schema.MODE).count() == 0
