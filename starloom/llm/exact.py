@@ -18,6 +18,8 @@ from starloom.session import stage
 # There is a salt for so many rows of the table, so a piece holds about as many rows at most.
 ROWS_PER_PIECE = 50_000
 LEAST_SALTS = 64
+# Splitters are samples of the first characters, so the driver never holds whole texts; the sort compares all of them.
+HEAD = 64
 
 
 def _sorted_pieces(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str], salts: int | None) -> DataFrame:
@@ -28,10 +30,11 @@ def _sorted_pieces(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[
         F.col(id_col).alias("_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).cast("int").alias("_salt"),
+        F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, HEAD).alias("_head"),
         *([F.struct(*[F.col(c) for c in carry]).alias("_row")] if carry else []),
     )
-    neighbours = Window.partitionBy("_text", "_salt").orderBy(F.col("_id").desc_nulls_last())
-    return keyed.repartitionByRange("_text", "_salt").withColumn("_first", F.row_number().over(neighbours) == 1).select(
+    neighbours = Window.partitionBy("_head", "_salt", "_text").orderBy(F.col("_id").desc_nulls_last())
+    return keyed.repartitionByRange("_head", "_salt").withColumn("_first", F.row_number().over(neighbours) == 1).select(
         "_id", "_salt", F.sha2("_text", 256).alias("_sha"), "_first", *(["_row"] if carry else []))
 
 

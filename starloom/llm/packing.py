@@ -49,7 +49,7 @@ class _Words:
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.units: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -65,21 +65,21 @@ class _Words:
             else:
                 self.units.update((u, self._encode(u).tobytes()) for u in some)
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: set[bytes]) -> None:
         if len(self.words) > _KEPT_WORDS:
             self.words.clear()
             self.units.clear()
         new = [w for w in words if w not in self.words]
-        plain = {w: m for w in new if (m := _PLAIN.fullmatch(w))}
+        plain = {w: m for w in new if (m := _PLAIN.fullmatch(w.decode()))}
         self._learn_units({m[1].lower() for m in plain.values()} | {m[2] for m in plain.values() if m[2]})
         for word in new:
             if m := plain.get(word):
                 self.words[word] = self.units[m[1].lower()] + (self.units[m[2]] if m[2] else b"")
             else:
-                self.words[word] = self._encode(word).tobytes()
+                self.words[word] = self._encode(word.decode()).tobytes()
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
-        split = [t.split() for t in texts]
+        split = [t.encode().split() for t in texts]  # bytes are split at ASCII white space only
         self.learn(set().union(*split))
         for words in split:
             yield b"".join(map(self.words.__getitem__, words))
@@ -201,8 +201,8 @@ def _add(open_bins: dict, rooms: list[int], room: int, found: tuple) -> None:
     open_bins[room].append(found)
 
 
-def _slots(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int, int]]:
-    """For each length, runs of places: (length, number of the first, of the last, first sequence, offset, each)."""
+def _slots(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
+    """For each length, runs of places: (length, number of the first, of the last, first sequence, offset)."""
     taken: dict[int, int] = {}
     rows, sequence = [], 0
     for pattern, count in patterns:
