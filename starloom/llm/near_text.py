@@ -6,9 +6,10 @@ with another symbol left out: these 40 keys bring together all pairs within dist
 with a similarity of exactly 0.75 is missed with a probability of 1.5 in a million, a more similar one more rarely.
 
 What comes together is not spelt out as pairs. In each bucket the text that meets most others is the hub, and every
-member is compared with the hub. Buckets whose members then lie in one component are done. In the others, pairs from
-different components go through a second signature (256 symbols of 8 bits) in blocks of bounded size, and the pairs
-within its distance threshold are compared. Every comparison that counts is one of full sets.
+member is compared with the hub. Hubs whose members then lie in one component are done. Among the members of the
+others, pairs from different components go through a second signature (256 symbols of 8 bits) in blocks of bounded
+size, and the pairs within its distance threshold are compared, unless links found before have joined them. Every
+comparison that counts is one of full sets.
 """
 
 from __future__ import annotations
@@ -76,26 +77,27 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("a", "b", "text_a", "text_b").mapInPandas(_check, "a long, b long").distinct()
 
 
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of one group (key, lo, hi) from different components, near in size and in the second signature."""
+def _complete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches, cut so that no group (hub, lo, hi) is parted; groups are of bounded size."""
     rest = None
     for batch in batches:
         batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        group = batch[["key", "lo", "hi"]].to_numpy()
-        last = np.flatnonzero((group != group[-1]).any(axis=1)) if len(group) else np.empty(0, dtype=int)
-        cut = last[-1] + 1 if len(last) else 0  # the last group may go on in the next batch
+        group = batch[["hub", "lo", "hi"]].to_numpy()
+        other = np.flatnonzero((group != group[-1]).any(axis=1)) if len(group) else np.empty(0, dtype=int)
+        cut = other[-1] + 1 if len(other) else 0
         rest = batch.iloc[cut:]
         if cut:
-            yield _pairs_in(batch.iloc[:cut])
+            yield batch.iloc[:cut].reset_index(drop=True)
     if rest is not None and len(rest):
-        yield _pairs_in(rest)
+        yield rest.reset_index(drop=True)
 
 
-def _pairs_in(rows: pd.DataFrame) -> pd.DataFrame:
-    group = rows[["key", "lo", "hi"]].to_numpy()
-    node, n, component, block = (rows[c].to_numpy() for c in ("node", "n", "component", "block"))
+def _near_rows(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of one group from different components, near in size and in the second signature: i, j, shared."""
+    group = rows[["hub", "lo", "hi"]].to_numpy()
+    n, component, block = (rows[c].to_numpy() for c in ("n", "component", "block"))
     second = np.frombuffer(b"".join(rows["second"]), dtype=np.uint8).reshape(len(rows), SECOND)
-    found, at, shift = [], np.arange(len(rows)), 1
+    found, at, shift = [np.empty((3, 0), dtype=np.int64)], np.arange(len(rows)), 1
     while True:
         at = at[at + shift < len(rows)]
         at = at[(group[at] == group[at + shift]).all(axis=1)]
@@ -105,12 +107,50 @@ def _pairs_in(rows: pd.DataFrame) -> pd.DataFrame:
         near = (component[i] != component[j]) & (100 * np.minimum(n[i], n[j]) >= SHARE * np.maximum(n[i], n[j]))
         near &= (group[i, 1] == group[i, 2]) | (block[i] != block[j])
         i, j = i[near], j[near]
-        near = (second[i] == second[j]).sum(axis=1) >= SECOND_SHARED
-        i, j = i[near], j[near]
-        found.append(np.stack([np.maximum(node[i], node[j]), np.minimum(node[i], node[j])], axis=1))
+        shared = (second[i] == second[j]).sum(axis=1)
+        near = shared >= SECOND_SHARED
+        found.append(np.stack([i[near], j[near], shared[near]]))
         shift += 1
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), dtype=np.int64)
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+    i, j, shared = np.concatenate(found, axis=1)
+    return i, j, shared
+
+
+def _with_candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in _complete(batches):
+        i, j, _ = _near_rows(rows)
+        yield rows.iloc[np.union1d(i, j)]
+
+
+def _links_between(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links that join different components, the likeliest tried first; pairs that are joined by then are passed over."""
+    for rows in _complete(batches):
+        i, j, shared = _near_rows(rows)
+        order = np.argsort(-shared, kind="stable")
+        node, component, text = (rows[c].to_numpy() for c in ("node", "component", "text"))
+        parent: dict[int, int] = {}
+        sets: dict[int, frozenset] = {}
+
+        def root(c: int) -> int:
+            while (up := parent.get(c, c)) != c:
+                parent[c] = parent.get(up, up)
+                c = up
+            return c
+
+        def hashes(row: int) -> frozenset:
+            if node[row] not in sets:
+                sets[node[row]] = frozenset(shingle_set(text[row], WIDTH).tolist())
+            return sets[node[row]]
+
+        found = []
+        for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):
+            one, other = root(component[a]), root(component[b])
+            if one != other:
+                x, y = hashes(a), hashes(b)
+                both = len(x & y)
+                if 100 * both >= SHARE * (len(x) + len(y) - both):
+                    parent[max(one, other)] = min(one, other)
+                    found.append((node[a], node[b]))
+        yield pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
 
 def _bucketed(sets: DataFrame) -> DataFrame:
@@ -122,38 +162,50 @@ def _bucketed(sets: DataFrame) -> DataFrame:
     return stage(keyed.join(size, "key"), "buckets")
 
 
-def _hub_pairs(buckets: DataFrame) -> DataFrame:
-    """Each member of a bucket with the bucket's hub, the member that meets most others over all its keys."""
+def _hubs(buckets: DataFrame) -> DataFrame:
+    """A row (hub, hub_n, node, n) for each member of a bucket; the hub meets most others over all its keys."""
     degree = buckets.groupBy("node").agg(F.sum("size").alias("degree"))
     hub = buckets.join(degree, "node").groupBy("key").agg(
         F.max(F.struct("degree", (-F.col("node")).alias("minus"), "n")).alias("hub"))
-    return (
-        buckets.join(hub, "key")
-        .select(F.greatest("node", -F.col("hub.minus")).alias("a"), F.least("node", -F.col("hub.minus")).alias("b"),
-                F.least("n", "hub.n").alias("less"), F.greatest("n", "hub.n").alias("more"))
-        .where(f"a != b AND 100 * less >= {SHARE} * more").select("a", "b").distinct()
-    )
+    return stage(buckets.join(hub, "key").select(
+        (-F.col("hub.minus")).alias("hub"), F.col("hub.n").alias("hub_n"), "node", "n").distinct(), "hubs")
+
+
+def _hub_pairs(hubs: DataFrame) -> DataFrame:
+    """Each member with its hub, unless their sizes alone rule a link out."""
+    return hubs.where(
+        f"hub != node AND 100 * least(n, hub_n) >= {SHARE} * greatest(n, hub_n)"
+    ).select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
 
 
-def _open_pairs(buckets: DataFrame, components: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs from different components that share a bucket and lie within the second signature's threshold."""
-    named = buckets.join(components.withColumnRenamed("component", "_c"), "node", "left").select(
-        "key", "node", "n", "size", F.coalesce("_c", "node").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("_least"), F.max("component").alias("_most"))
-    still = stage(named.join(mixed.where("_least != _most").select("key"), "key"), "open")
-    second = stage(
-        still.select("node").distinct().join(texts, "node").mapInPandas(_second, "node long, second binary"), "second")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("node"), blocks).cast("long")
+GROUP = "hub long, lo long, hi long, block long, node long, n long, component long, second binary"
+
+
+def _open_links(hubs: DataFrame, components: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between members of one hub that lie in different components so far.
+
+    Texts that share a bucket share its hub. The members of a hub are dealt out in pairs of blocks; only rows that
+    are near some other row of theirs in the second signature go on and are compared in full.
+    """
+    named = hubs.join(components.withColumnRenamed("component", "_c"), "node", "left").select(
+        "hub", "node", "n", F.coalesce("_c", "node").alias("component"))
+    mixed = named.groupBy("hub").agg(
+        F.min("component").alias("_least"), F.max("component").alias("_most"),
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("_least != _most").select("hub", "blocks")
+    still = stage(named.join(mixed, "hub"), "open")
+    second = still.select("node").distinct().join(texts, "node").mapInPandas(_second, "node long, second binary")
     dealt = (
-        still.join(second, "node").withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", F.least("block", "other").cast("long").alias("lo"),
+        still.join(stage(second, "second"), "node")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("hub", F.least("block", "other").cast("long").alias("lo"),
                 F.greatest("block", "other").cast("long").alias("hi"), "block", "node", "n", "component", "second")
     )
+    groups = ("hub", "lo", "hi")
+    near = stage(dealt.repartition(*groups).sortWithinPartitions(*groups).mapInPandas(_with_candidates, GROUP), "near")
     return (
-        dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-        .mapInPandas(_blocks, "a long, b long").distinct()
+        near.join(texts, "node").repartition(*groups).sortWithinPartitions(*groups)
+        .select(*near.columns, "text").mapInPandas(_links_between, "a long, b long")
     )
 
 
@@ -176,11 +228,9 @@ def near_text_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     texts = named.select(F.col("doc_id").alias("node"), "text").where("node IS NOT NULL AND text IS NOT NULL")
 
     buckets = _bucketed(sets)
-    hubs = stage(_hub_pairs(buckets), "hubs")
-    links = stage(linked_pairs(hubs, texts), "linked")
-    components = connected_components(links)
-    rest = _open_pairs(buckets, components, texts).join(hubs, ["a", "b"], "left_anti")
-    more = stage(linked_pairs(rest, texts), "linked")
+    hubs = _hubs(buckets)
+    links = stage(linked_pairs(_hub_pairs(hubs), texts), "linked")
+    more = stage(_open_links(hubs, connected_components(links), texts), "linked")
     # A document with several texts ties its sets together.
     same = whole.join(sets.select("set_id", "node"), "set_id").where("doc_id != node").select(
         F.col("doc_id").alias("a"), F.col("node").alias("b"))
