@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.batches import bound_batches
 from starloom.llm.components import connected_components
 from starloom.llm.shingles import minimum_hashes, set_digest, shingle_set
 from starloom.session import stage
@@ -218,6 +219,7 @@ def near_text_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     before anything is compared. Rows with one identifier count as one document: it is linked if any of its texts is.
     A NULL identifier is linked with nothing and kept. An empty table gives an empty result; other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stage(
         named.mapInPandas(_signatures, "doc_id long, n_shingles long, set_id binary, symbols array<smallint>"),

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from starloom.llm.batches import bound_batches
 from starloom.session import stage
 
 CAPACITY = 2048
@@ -32,8 +33,9 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 ROWS_PER_PART = 20_000
 
 # A word of plain Latin letters and the signs behind it are two units of the tokenizer, whatever stands around them.
+_SIGNS = b"!#$%&()*,.:;?-"
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*,.:;?-]*)")
-_KEPT_WORDS = 400_000  # words that a worker remembers; only the speed depends on it
+_KEPT_WORDS, _KEPT_UNITS = 400_000, 700_000  # that a worker remembers; only the speed depends on them
 
 
 class _Words:
@@ -52,7 +54,8 @@ class _Words:
         self.words: dict[bytes, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]  # without places in the text
+        return np.array(found.ids, dtype="<u4")
 
     def _learn_units(self, units: set[str]) -> None:
         new = [u for u in units if u not in self.units]
@@ -68,15 +71,22 @@ class _Words:
     def learn(self, words: set[bytes]) -> None:
         if len(self.words) > _KEPT_WORDS:
             self.words.clear()
+        if len(self.units) > _KEPT_UNITS:
             self.units.clear()
-        new = [w for w in words if w not in self.words]
-        plain = {w: m for w in new if (m := _PLAIN.fullmatch(w.decode()))}
-        self._learn_units({m[1].lower() for m in plain.values()} | {m[2] for m in plain.values() if m[2]})
-        for word in new:
-            if m := plain.get(word):
-                self.words[word] = self.units[m[1].lower()] + (self.units[m[2]] if m[2] else b"")
+        plain, others = {}, []
+        for word in words - self.words.keys():
+            stem = word.rstrip(_SIGNS)
+            if stem.isalpha():  # letters of ASCII only
+                plain[word] = stem.lower().decode(), word[len(stem):].decode()
+            elif m := _PLAIN.fullmatch(word.decode()):
+                plain[word] = m[1].lower(), m[2]
             else:
-                self.words[word] = self._encode(word.decode()).tobytes()
+                others.append(word)
+        self._learn_units({u for pair in plain.values() for u in pair if u})
+        for word, (stem, signs) in plain.items():
+            self.words[word] = self.units[stem] + self.units[signs] if signs else self.units[stem]
+        for word in others:
+            self.words[word] = self._encode(word.decode()).tobytes()
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         split = [t.encode().split() for t in texts]  # bytes are split at ASCII white space only
@@ -126,6 +136,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY,
                  capacity: int = CAPACITY) -> DataFrame:
     """A row per piece: ``doc_id, piece, start, length, ids_crc32``; NULL texts count as empty (one separator)."""
+    bound_batches(docs.sparkSession)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return named.mapInPandas(lambda batches: _pieces(batches, path, capacity), PIECES)
 

@@ -19,6 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.batches import bound_batches
 from starloom.llm.labelled import SAMPLE_ROWS, labelled_sample
 from starloom.llm.shingles import word_hashes
 from starloom.session import stage
@@ -141,6 +142,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", i
     without words. Rows that repeat are scored as often as they come, an empty table gives an empty result, and
     other columns than identifier and text are never looked at.
     """
+    bound_batches(docs.sparkSession)
     statistics = stage(text_statistics(docs, id_col, text_col), "statistics")
     model = fit_rules(statistics, labels, label, rows)
     return statistics.select("doc_id", model.score().alias("score")).withColumn(

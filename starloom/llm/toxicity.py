@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.batches import bound_batches
 from starloom.llm.labelled import SAMPLE_ROWS, labelled_sample
 from starloom.session import stage
 
@@ -102,6 +103,7 @@ def _sample_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id",
                  text_col: str = "text", rows: int = SAMPLE_ROWS) -> OrdinalModel:
     """Fit to at most ``rows`` labelled documents, whole texts; with a single label no word has any weight."""
+    bound_batches(docs.sparkSession)
     sample = labelled_sample(labels, label, rows)
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = stage(named.join(F.broadcast(sample), "doc_id").select("label", "text")
@@ -153,5 +155,6 @@ def toxicity_scores(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id"
                 "doc_id": batch["doc_id"].astype("Int64"), "p_toxic": steps[:, 0], "severity": steps.sum(axis=1),
                 "grade": each.argmax(axis=1).astype("int32"), "toxic": steps[:, 0] >= 0.5})
 
+    bound_batches(docs.sparkSession)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return named.mapInPandas(score, SCORES)
