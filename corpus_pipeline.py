@@ -9,9 +9,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm.exact import drop_exact
+from starloom.llm.near_text import drop_near
+from starloom.llm.packing import pack_documents
+from starloom.llm.quality import fit_rules, keep_good
+from starloom.llm.registry import table
+from starloom.llm.toxicity import drop_toxic, fit_toxicity
 from starloom.session import stage
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # toxicity and quality are fitted, tokens come from a tokenizer
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are graded as toxic go."""
+    return drop_toxic(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a quality score below one half go."""
+    return keep_good(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +34,18 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact(docs)
 
 
-STAGES = [("exact dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest identifier."""
+    return drop_near(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, as pieces placed in sequences."""
+    return pack_documents(docs)
+
+
+STAGES = [("toxicity", toxicity), ("quality", quality), ("exact dedup", exact_dedup), ("near dedup", near_dedup),
+          ("packing", packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

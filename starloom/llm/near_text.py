@@ -249,3 +249,9 @@ def _several(same: DataFrame, sets: DataFrame) -> DataFrame:
     ends = same.select("a").groupBy("a").count().where("count > 1").select("a").unionByName(
         same.join(sets.select(F.col("node").alias("a")), "a", "left_semi").select("a")).distinct()
     return same.join(ends, "a", "left_semi").distinct()
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose identifier is the smallest of its component."""
+    kept = near_text_components(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.quality import quality_scores
+from starloom.llm.quality import fit_rules, quality_scores
 from starloom.llm.registry import query, table
 
 
@@ -16,6 +16,6 @@ def held_out() -> Column:
 
 @query("op2_quality_rules")
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    learn = table(spark, folder, "labels").where(~held_out())
-    scores = quality_scores(table(spark, folder, "documents"), learn)
-    return scores.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    docs = table(spark, folder, "documents")
+    model = fit_rules(docs, table(spark, folder, "labels").where(~held_out()))
+    return quality_scores(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")

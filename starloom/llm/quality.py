@@ -12,12 +12,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.batches import bound_batches
 from starloom.llm.labelled import SAMPLE_ROWS, labelled_sample
@@ -57,19 +58,20 @@ def _statistics(text: str | None) -> list[float]:
     ]
 
 
-def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _append(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = np.array([_statistics(t) for t in batch["text"]], dtype=float).reshape(len(batch), len(STATISTICS))
-        out = pd.DataFrame(found, columns=list(STATISTICS))
-        out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        yield out
+        rows = batch.schema.get_field_index("_row")
+        found = np.array([_statistics(t) for t in batch.column("_text").to_pylist()], dtype=float)
+        found = found.reshape(batch.num_rows, len(STATISTICS))
+        yield pa.RecordBatch.from_arrays([batch.column(rows), *[pa.array(c) for c in found.T]], ["_row", *STATISTICS])
 
 
-def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and the statistics of each whole text; all are 0 for a text without words."""
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return named.mapInPandas(_rows, "doc_id long, " + ", ".join(f"{s} double" for s in STATISTICS))
+def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows as a struct ``_row``, and the statistics of each whole text; all are 0 for a text without words."""
+    bound_batches(docs.sparkSession)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text"))
+    schema = T.StructType([rows.schema["_row"], *[T.StructField(s, T.DoubleType()) for s in STATISTICS]])
+    return rows.mapInArrow(_append, schema)
 
 
 Rule = tuple[tuple[str, str, float], ...]  # (statistic, "<=" or ">", threshold), all of which hold
@@ -113,12 +115,15 @@ def tree_paths(description: str) -> list[Rule]:
     return list(rules)
 
 
-def fit_rules(statistics: DataFrame, labels: DataFrame, label: str = "quality",
-              rows: int = SAMPLE_ROWS) -> RuleModel:
-    """Fit to at most ``rows`` labelled documents; without both labels the score is their constant share (or 0.5)."""
+def fit_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
+              text_col: str = "text", rows: int = SAMPLE_ROWS) -> RuleModel:
+    """Fit to at most ``rows`` labelled documents; without both labels the score is their constant share (or 0.5).
+
+    ``labels`` holds ``doc_id`` and a label of 0 or 1; leave rows out of it that are not to be learnt from.
+    """
     sample = labelled_sample(labels, label, rows)
-    known = stage(statistics.join(F.broadcast(sample), "doc_id").withColumn("label", F.col("label").cast("double")),
-                  "known")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
+    known = stage(with_statistics(texts).select(F.col("_row.label").cast("double").alias("label"), *STATISTICS), "known")
     share = known.agg(F.avg("label"), F.count("*")).first()
     if share[0] is None or share[0] in (0.0, 1.0):
         n, ones = share[1], (share[0] or 0.0) * share[1]
@@ -127,6 +132,8 @@ def fit_rules(statistics: DataFrame, labels: DataFrame, label: str = "quality",
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, featureSubsetStrategy="onethird", seed=7,
                                     minInstancesPerNode=3).fit(vectors.select("features", "label"))
     rules = tree_paths(forest.toDebugString)
+    if not rules:
+        return RuleModel(float(np.log(share[0] / (1 - share[0]))), ())
     met = known.select("label", F.array(*[condition(r).cast("double") for r in rules]).alias("met"))
     weighed = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, maxIter=100, standardization=False).fit(
         met.select("label", array_to_vector("met").alias("features")))
@@ -134,16 +141,17 @@ def fit_rules(statistics: DataFrame, labels: DataFrame, label: str = "quality",
         (r, float(w)) for r, w in zip(rules, weighed.coefficients.toArray(), strict=True) if w))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
-                   text_col: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
-    """A row per document: ``doc_id, score, predicted``, learnt from ``labels`` (doc_id and ``label`` of 0 or 1).
+def quality_scores(docs: DataFrame, model: RuleModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row per document: ``doc_id, score, predicted``.
 
-    Labels for learning are those passed; leave held-out ones out. NULL and empty texts get the score of a text
-    without words. Rows that repeat are scored as often as they come, an empty table gives an empty result, and
-    other columns than identifier and text are never looked at.
+    NULL and empty texts get the score of a text without words. Rows that repeat are scored as often as they come, an
+    empty table gives an empty result, and other columns than identifier and text are never looked at.
     """
-    bound_batches(docs.sparkSession)
-    statistics = stage(text_statistics(docs, id_col, text_col), "statistics")
-    model = fit_rules(statistics, labels, label, rows)
-    return statistics.select("doc_id", model.score().alias("score")).withColumn(
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return with_statistics(named).select(F.col("_row.doc_id").alias("doc_id"), model.score().alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep_good(docs: DataFrame, model: RuleModel, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose score is at least 0.5."""
+    return with_statistics(docs, text_col).where(model.score() >= 0.5).select("_row.*")

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -158,3 +159,15 @@ def toxicity_scores(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id"
     bound_batches(docs.sparkSession)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return named.mapInPandas(score, SCORES)
+
+
+def drop_toxic(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, for which a grade above 0 is not likelier than not."""
+    bound_batches(docs.sparkSession)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            toxic = [bool(model.steps(t)[0] >= 0.5) for t in batch.column(text_col).to_pylist()]
+            yield batch.filter(pa.array([not t for t in toxic], type=pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
