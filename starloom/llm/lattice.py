@@ -31,10 +31,10 @@ from starloom.session import stage
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 LONGEST = 24  # bytes of a piece
-ROUNDS = 3
+ROUNDS = 2
 CLASSES = 6  # the largest ones; the others are one more
 OWN = 0.9
-FREQUENT = 100_000  # words whose numbers go to every task; all others meet their numbers in a join
+FREQUENT = 500_000  # a word with one in so many tokens is frequent, so there are no more; other words meet in a join
 FLUSH = 400_000  # distinct words that a task counts before it hands them on
 _FLOOR = 1e-3  # of an expected count, so that no piece becomes impossible
 _U = np.uint64
@@ -366,10 +366,10 @@ def _corpus(named: DataFrame, words: DataFrame, many: int) -> Corpus:
 
 def _document_scores(named: DataFrame, scored: DataFrame, corpus: Corpus, many: int) -> DataFrame:
     """Sums over the words of each document: frequent words in the task, the others by a join."""
-    top = scored.orderBy(F.col("n").desc(), "word").limit(FREQUENT).toPandas()
+    top = scored.where(F.col("n") >= max(2, corpus.tokens // FREQUENT)).toPandas()
     near = {w: i for i, w in enumerate(top["word"])}
     values = np.column_stack([top["n"].to_numpy() > 0, top["base"], np.array(top["scores"].tolist()).reshape(len(top), many)])
-    shared = named.sparkSession.sparkContext.broadcast((near, values.astype(float)))  # a bounded number of words
+    shared = named.sparkSession.sparkContext.broadcast((near, values.astype(float)))  # FREQUENT at most
     end = np.concatenate([[corpus.ends > 0], [float(corpus.base(np.array(corpus.ends)))], corpus.end()])
 
     def partly(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
