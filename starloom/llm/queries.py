@@ -1,4 +1,14 @@
 """All queries of the subpackage."""
 
-from starloom.llm import q_exact, q_lattice, q_main_text, q_near_text, q_packing, q_quality, q_toxicity, q_vectors  # noqa: F401
+from starloom.llm import (  # noqa: F401
+    q_exact,
+    q_lattice,
+    q_main_text,
+    q_near_text,
+    q_packing,
+    q_quality,
+    q_rollup,
+    q_toxicity,
+    q_vectors,
+)
 from starloom.llm.registry import QUERIES, SQL  # noqa: F401
