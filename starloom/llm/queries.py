@@ -6,6 +6,7 @@ from starloom.llm import (  # noqa: F401
     q_main_text,
     q_near_text,
     q_packing,
+    q_pieces,
     q_quality,
     q_rollup,
     q_toxicity,
