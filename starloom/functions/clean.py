@@ -35,14 +35,26 @@ def fill_defaults(df: DataFrame, defaults: Mapping) -> DataFrame:
 def soft_cast(value: Column, source: DataType, target: DataType) -> Column:
     """Cast that gives NULL instead of an error, in any ANSI setting.
 
-    Whole numbers are read through double, so that ``5.0`` as number or as text
-    becomes 5. Doubles with a whole value become text without ``.0``.
+    Text such as ``5.0`` becomes the whole number 5; text that is a whole number
+    already, and decimals, are read without the detour through double, which
+    would lose digits. Doubles with a whole value become text without ``.0``.
     """
     if source == target:
         return value
     if isinstance(target, IntegralType) and not isinstance(source, IntegralType):
-        return value.try_cast(DoubleType()).try_cast(target)
+        direct = value.try_cast(target)
+        return F.coalesce(direct, value.try_cast(DoubleType()).try_cast(target)) if isinstance(source, StringType) else direct
     if isinstance(target, StringType) and isinstance(source, DoubleType):
         whole = value.try_cast("bigint")
         return F.when(whole.cast("double") == value, whole.cast("string")).otherwise(value.cast("string"))
     return value.try_cast(target)
+
+
+def exact_cast(value: Column, source: DataType, target: DataType) -> Column:
+    """``value`` in another type where that changes nothing, else NULL: 5.0 becomes 5, and 5.7 no whole number."""
+    if source == target:
+        return value
+    cast = value.try_cast(target)
+    if isinstance(source, StringType) or isinstance(target, StringType):
+        return cast
+    return F.when(cast.try_cast(source) == value, cast)

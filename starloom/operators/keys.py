@@ -11,6 +11,7 @@ from starloom.operators import joins
 from starloom.session import stage
 
 _POSITION_BITS = 33
+_IDS = 1 << 31
 
 
 def _chunked(df: DataFrame, order: Sequence[str | Column], chunks: int | None) -> DataFrame:
@@ -136,10 +137,14 @@ def keep_curated(df: DataFrame, key: str, curated: DataFrame, on: Sequence[str],
 def period_key(year: Column, month: Column, ident: Column) -> Column:
     """64-bit key that holds period and 32-bit source id, so it never clashes across periods.
 
-    The same source row gets the same key in every load.
+    The same source row gets the same key in every load. An id beyond 32 bits
+    (signed) has no key of its own: the job fails rather than mix two rows up.
     """
     period = year.cast("bigint") * 12 + month.cast("bigint")
-    return F.shiftleft(period, 32).bitwiseOR(ident.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
+    wide = ident.cast("bigint")
+    fits = wide.between(-_IDS, _IDS - 1) | wide.isNull()
+    return F.when(fits, F.shiftleft(period, 32).bitwiseOR(wide.bitwiseAND(F.lit(2 * _IDS - 1)))).otherwise(
+        F.raise_error(F.concat(F.lit("id does not fit the key: "), wide.cast("string"))))
 
 
 def stable_key(*columns: str | Column) -> Column:

@@ -60,10 +60,16 @@ def concat_frames(frames: Sequence[DataFrame]) -> DataFrame:
     return result
 
 
-def with_unknown_row(df: DataFrame, values: dict) -> DataFrame:
-    """``df`` plus one row of ``values``; other columns are NULL in it."""
+def with_unknown_row(df: DataFrame, values: dict, key: str | None = None) -> DataFrame:
+    """``df`` plus one row of ``values``; other columns are NULL in it.
+
+    With ``key`` the row is added only if ``df`` has no row with that key, so the
+    key stays unique; ``df`` is then read twice.
+    """
     spark = df.sparkSession
     row = spark.range(1).select(
         *(F.lit(values.get(field.name)).cast(field.dataType).alias(field.name) for field in df.schema)
     )
+    if key is not None:
+        row = row.join(df.where(F.col(key) == F.lit(values[key])).select(key).limit(1), key, "left_anti").select(*df.columns)
     return row.unionByName(df)

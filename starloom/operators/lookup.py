@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.clean import exact_cast
 from starloom.operators import joins
 
 MAP_ROWS = 10_000
@@ -95,16 +96,19 @@ def map_lookup(
     """Lookup through a map literal, without a join.
 
     Only for lists of codes: a table of more than ``MAP_ROWS`` rows is looked up
-    with a join instead.
+    with a join instead. Either way a key matches if it has the same value in the
+    type of the codes; one that changes in that type (5.7 as a whole number) or
+    does not fit it matches nothing.
     """
     codes, _ = code_table(dim, [dim_key], value)
     rows = codes.limit(MAP_ROWS + 1).collect()
-    if not rows or len(rows) > MAP_ROWS:
-        return lookup(fact, dim, {fact_key: dim_key}, value, out, sentinel)
     types = codes.schema
+    key = exact_cast(F.col(fact_key), fact.schema[fact_key].dataType, types[dim_key].dataType)
+    if not rows or len(rows) > MAP_ROWS:
+        found = lookup(fact.withColumn("__key", key), dim, {"__key": dim_key}, value, out, sentinel)
+        return found.drop("__key")
     entries = [F.lit(part).cast(types[name].dataType)
                for row in rows for part, name in ((row[dim_key], dim_key), (row[value], value))]
-    key = F.col(fact_key).cast(types[dim_key].dataType)
     result = F.try_element_at(F.create_map(*entries), key)
     if sentinel is not None:
         result = F.coalesce(result, F.lit(sentinel).cast(types[value].dataType))

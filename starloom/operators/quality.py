@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from starloom import schema
 from starloom.functions.clean import soft_cast
 from starloom.operators import joins, profile
+from starloom.sinks import is_missing
 
 
 class QualityGateFailed(Exception):
@@ -45,7 +46,9 @@ class Dataset:
         else:
             try:
                 df = spark.read.parquet(self.path)
-            except AnalysisException:
+            except AnalysisException as error:
+                if not is_missing(error):
+                    raise
                 return None
         return df.where(self.where) if self.where else df
 
@@ -87,7 +90,8 @@ def _row_and_null_checks(df: DataFrame, fields: Sequence[str], year, month, path
 
 
 def _unique_check(df: DataFrame, field: str, year, month, path: str) -> DataFrame:
-    groups = df.groupBy(field).agg(F.count(F.lit(1)).alias("n"))
+    # A NULL is no key: ``has_nulls`` counts it.
+    groups = df.where(F.col(field).isNotNull()).groupBy(field).agg(F.count(F.lit(1)).alias("n"))
     surplus = groups.agg(
         F.lit(field).alias("field"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("num_recs")
     )

@@ -29,7 +29,7 @@ def state_dimension(texts: DataFrame, marker: str = schema.LABEL_STATES, unknown
     """States from label texts, with the row that unknown codes point at."""
     states = parse_label_block(texts, marker, "state_id", "state_name")
     states = states.groupBy("state_id").agg(F.max_by("state_name", "source").alias("state_name"))
-    return lists.with_unknown_row(states, schema.UNKNOWN_STATE_ROW) if unknown else states
+    return lists.with_unknown_row(states, schema.UNKNOWN_STATE_ROW, "state_id") if unknown else states
 
 
 def country_mapping(
@@ -151,8 +151,8 @@ def visa_pages(pages: DataFrame, key: str, markup: str) -> DataFrame:
 
 def trailing_years(df: DataFrame, column: str, years: int) -> DataFrame:
     """Rows of the last ``years`` calendar years, counted back from the newest row."""
-    newest = df.agg(F.year(F.max(column)).alias("newest"))
-    return df.where(F.year(column) > newest.scalar() - F.lit(years))
+    first = df.agg(F.make_date(F.year(F.max(column)) - F.lit(years - 1), F.lit(1), F.lit(1)).alias("first"))
+    return df.where(F.col(column) >= first.scalar())  # a plain comparison, which reaches the file statistics
 
 
 def climatology(

@@ -14,6 +14,9 @@ from starloom.plans import dimensions, fact
 from starloom.sources.tables import conform, in_period, read_delimited
 
 
+LITERAL_PERIODS = 1_500
+
+
 class OtherPeriods(ValueError):
     """An extract holds rows of a period that is not the one being loaded."""
 
@@ -93,17 +96,32 @@ def load_fact(
     )
     path = f"{root}/i94.parquet"
     sinks.load_period(rows, path, mode=options.mode, rebalance=period is None)
-    if period is not None:
-        written = sinks.read_model_table(spark, root, "i94").where(in_period(*period))
+    stored = sinks.read_model_table(spark, root, "i94")
+    if period is not None and options.mode == "replace":
+        written = stored.where(in_period(*period))
     else:
-        # A row per period that occurs, so the broadcast side is a few hundred rows at most.
-        periods = typed.select(F.col("i94yr").alias("year"), F.col("i94mon").alias("month")).distinct()
-        written = sinks.read_model_table(spark, root, "i94").join(
-            F.broadcast(periods), list(schema.PERIOD), "left_semi"
-        )
+        written = _of_periods(stored, typed.select(F.col("i94yr").alias("year"), F.col("i94mon").alias("month")))
     sinks.append_missing(fact.date_dimension(written, "arrival_date"), f"{root}/dates.parquet", "date")
     if options.csv_copies:
         sinks.export_csv(written, f"{root}/i94.csv")
+        sinks.export_csv(sinks.read_model_table(spark, root, "dates"), f"{root}/dates.csv")
+
+
+def _of_periods(stored: DataFrame, periods: DataFrame) -> DataFrame:
+    """Rows of the periods that occur, those without a year or month included.
+
+    The periods become literals, so that only their partitions are read. Beyond
+    ``LITERAL_PERIODS`` (more than the months of a century) they are joined.
+    """
+    periods = periods.distinct()
+    found = periods.limit(LITERAL_PERIODS + 1).collect()
+    if len(found) > LITERAL_PERIODS:
+        same = stored["year"].eqNullSafe(periods["year"]) & stored["month"].eqNullSafe(periods["month"])
+        return stored.join(periods, same, "left_semi")
+    wanted = F.lit(False)
+    for row in found:
+        wanted = wanted | (F.col("year").eqNullSafe(F.lit(row["year"])) & F.col("month").eqNullSafe(F.lit(row["month"])))
+    return stored.where(wanted)
 
 
 def check_period(extract: DataFrame, year: int, month: int) -> None:
@@ -116,13 +134,15 @@ def check_period(extract: DataFrame, year: int, month: int) -> None:
 
 
 def check_quality(
-    spark: SparkSession, root: str, year: int, month: int, on_missing: str = "fail"
+    spark: SparkSession, root: str, year: int, month: int, on_missing: str = "fail", csv_copies: bool = False
 ) -> DataFrame:
-    """Check the model for one period, store the report, then raise if a check failed."""
+    """Check the model for one period, store the report (and a delimited copy), then raise if a check failed."""
     report = quality.run_checks(
         spark, quality.model_datasets(root, year, month), year, month, on_missing=on_missing
     )
     stored = quality.store_report(report, f"{root}/data_quality.parquet")
+    if csv_copies:
+        sinks.export_csv(stored, f"{root}/data_quality.csv")
     quality.gate(stored)
     return stored
 
@@ -144,6 +164,6 @@ def run_period(
         check_period(conform(extract, schema.EXTRACT), year, month)
     load_fact(extract, staged, root, options, (year, month))
     load_dimensions(spark, staged, root, options.csv_copies)
-    report = check_quality(spark, root, year, month)
+    report = check_quality(spark, root, year, month, csv_copies=options.csv_copies)
     sinks.register_model(spark, root)
     return report

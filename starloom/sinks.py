@@ -48,12 +48,19 @@ def load_period(
     writer.parquet(path)
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether the error says that there is no such table, or no file in it; any other one must not pass for that."""
+    return (error.getCondition() or "").split(".")[0] in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def append_missing(df: DataFrame, path: str, key: str, periods: Sequence[str] = schema.PERIOD) -> None:
     """Append the rows whose ``key`` is not stored yet; running it again adds nothing."""
     spark = df.sparkSession
     try:
         stored = spark.read.schema(df.schema).parquet(path).select(key)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         new = df
     else:
         new = joins.unmatched(df, stored, {key: key})
@@ -78,7 +85,9 @@ def register_model(
         path = f"{root}/{table}.parquet"
         try:
             df = read_model_table(spark, root, table)
-        except AnalysisException:
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
             continue
         name = f"{table}{suffix}"
         if database is None:

@@ -6,7 +6,6 @@ Arrow batches. Pages without the wanted tag never leave the JVM.
 
 from __future__ import annotations
 
-import html as entities
 import re
 import sys
 from collections.abc import Iterable, Iterator, Sequence
@@ -16,32 +15,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.sources.markup import scan
+
 # Tasks get these functions themselves, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style)\b.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.IGNORECASE | re.DOTALL,
-)
 _CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
 
-def _markup(page: str) -> Iterator[tuple[str, str, bool, str]]:
-    """``(text before, tag, is end, attributes)`` in order; the tag is empty for what is no element."""
-    place = 0
-    for found in _MARKUP.finditer(page):
-        text = page[place:found.start()]
-        place = found.end()
-        yield (
-            entities.unescape(text) if "&" in text else text,
-            (found["tag"] or "").lower(), bool(found["end"]), found["attributes"] or "",
-        )
-    yield entities.unescape(page[place:]), "", False, ""
-
-
 def _has_class(attributes: str, name: str | None) -> bool:
     if name is None:
         return True
@@ -49,29 +30,68 @@ def _has_class(attributes: str, name: str | None) -> bool:
     return bool(found) and name in next(filter(None, found.groups()), "").split()
 
 
+# Start tags that end an open element of these kinds, if no element of the second kind was opened since.
+_CLOSES = {
+    "li": (("li",), ("ul", "ol")), "p": (("p",), ()), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
+    "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("table",)), "th": (("td", "th"), ("table",)),
+    "option": (("option",), ("select",)),
+    **dict.fromkeys(("h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "div", "table", "dl", "blockquote", "pre", "form",
+                     "section", "article", "header", "footer"), (("p",), ())),
+}
+_BOUNDS = frozenset(bound for _, bounds in _CLOSES.values() for bound in bounds)
+_DEPTH = 512  # elements that are open at once; what is deeper counts as text of the last of them
+
+
 def _elements(page: str, tags: frozenset, css_class: str | None) -> list[tuple[str, int, str]]:
-    """``(tag, number, text)`` of the wanted elements; one runs to its end tag or the end of the page."""
-    found: list[tuple[str, list]] = []
-    opened: list[int] = []
-    for text, tag, is_end, attributes in _markup(page):
-        for i in opened:
-            found[i][1].append(text)
-        if tag not in tags:
-            continue
-        if not is_end:
-            opened.append(len(found))
-            found.append((tag if _has_class(attributes, css_class) else "", [tag]))
+    """``(tag, number, text)`` of the wanted elements.
+
+    One runs to its end tag, to a start tag that ends it, to the end of an element
+    around it, or to the end of the page. The text of a page is kept once: an
+    element notes where its own begins and ends.
+    """
+    parts: list[str] = []
+    length = 0
+    found: list[list] = []  # tag or nothing, begin, end
+    opened: list[tuple[str, int]] = []  # wanted elements and those that bound them
+
+    now = dict.fromkeys(tags | _BOUNDS, 0)  # how many of each are open
+
+    def close(at: int) -> None:
+        for name, i in opened[at:]:
+            now[name] -= 1
+            if i >= 0:
+                found[i][2] = length
+        del opened[at:]
+
+    for text, tag, is_end, attributes in scan(page):
+        parts.append(text)
+        length += len(text)
+        if is_end:
+            if now.get(tag):
+                at = next((i for i in reversed(range(len(opened))) if opened[i][0] == tag))
+                close(at)
             continue
-        for i in reversed(range(len(opened))):
-            if found[opened[i]][1][0] == tag:
-                del opened[i:]
-                break
+        if tag in _CLOSES:
+            ends, bounds = _CLOSES[tag]
+            for i in reversed(range(len(opened))) if any(now.get(e) for e in ends) else ():
+                if opened[i][0] in ends:
+                    close(i)
+                    break
+                if opened[i][0] in bounds:
+                    break
+        if tag in now and len(opened) < _DEPTH:
+            now[tag] += 1
+            opened.append((tag, len(found) if tag in tags else -1))
+        if tag in tags:
+            found.append([tag if _has_class(attributes, css_class) else "", length, length])
+    close(0)
+    whole = "".join(parts)
     number = dict.fromkeys(tags, -1)
     rows = []
-    for tag, (_, *parts) in found:
+    for tag, begin, end in found:
         if tag:
             number[tag] += 1
-            rows.append((tag, number[tag], "".join(parts).strip()))
+            rows.append((tag, number[tag], whole[begin:end].strip()))
     return rows
 
 
@@ -93,7 +113,7 @@ def _table_rows(page: str, css_class: str | None, caption: tuple[str, str] | Non
             rows.append((table, row, ["".join(c).strip() for c in cells], bold))
         cells = None
 
-    for text, tag, is_end, attributes in _markup(page):
+    for text, tag, is_end, attributes in scan(page):
         if text:
             if in_caption:
                 captions[-1].append(text)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -22,6 +22,12 @@ _PERIOD = ["i94yr", "i94mon"]
 _NOTES = "file STRING, i94yr INT, i94mon INT"
 
 
+def _same(left: DataFrame, right: DataFrame, prefix: str = "") -> Column:
+    """Rows of one period; one without a year or month is a period as well, so no row is lost."""
+    year, month = (left[f"{prefix}{c}"].eqNullSafe(right[f"{prefix}{c}"]) for c in _PERIOD)
+    return year & month
+
+
 def load_arrivals(
     spark: SparkSession,
     landing: str,
@@ -37,8 +43,11 @@ def load_arrivals(
 
     ``schema`` is that of the files as they arrive; ``staged`` gives the code
     tables and is asked once per batch. Notes on files are kept beside the
-    checkpoint, in ``<checkpoint>-files``.
+    checkpoint, in ``<checkpoint>-files``. Each period is written anew as a whole,
+    so ``options`` must not say ``append``.
     """
+    if options.mode != "replace":
+        raise ValueError("arrivals replace the periods they touch")
     notes = f"{checkpoint.rstrip('/')}-files"
 
     def load(batch: DataFrame, _: int) -> None:
@@ -49,11 +58,12 @@ def load_arrivals(
         arrived.coalesce(1).write.mode("append").parquet(notes)
         touched = arrived.select(*_PERIOD).distinct()
         known = session.read.schema(_NOTES).parquet(notes)
-        files = [r["file"] for r in known.join(touched, _PERIOD, "left_semi").select("file").distinct().collect()]
+        files = [r["file"] for r in known.join(touched, _same(known, touched), "left_semi").select("file").distinct().collect()]
         rows = session.read.schema(schema).format(fmt).load(files)
         whole = rows.withColumns({f"__{c}": p for c, p in zip(_PERIOD, periods, strict=True)})
         wanted = F.broadcast(touched.withColumnsRenamed({c: f"__{c}" for c in _PERIOD}))
-        load_fact(whole.join(wanted, [f"__{c}" for c in _PERIOD], "left_semi"), staged(), root, options)
+        same = _same(whole, wanted, "__")
+        load_fact(whole.join(wanted, same, "left_semi").drop(*[f"__{c}" for c in _PERIOD]), staged(), root, options)
 
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", True)
     if files_per_batch:

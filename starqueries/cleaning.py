@@ -122,10 +122,10 @@ def string_normalise(spark, sf_dir):
 
 
 @query("regex_replace", """
-    SELECT doc_id, CAST(length(regexp_replace(text, 'e.t', 'SAINT', 'gs')) AS INTEGER) AS n FROM documents""")
+    SELECT doc_id, md5(regexp_replace(text, 'e.t', 'SAINT', 'gs')) AS digest FROM documents""")
 def regex_replace(spark, sf_dir):
     replaced = text.replace_chain(F.col("text"), [("(?s)e.t", "SAINT")], regex=True)
-    return table(spark, sf_dir, "documents").select("doc_id", F.length(replaced).alias("n"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(replaced.cast("binary")).alias("digest"))
 
 
 @query("exclude_patterns", """

@@ -140,3 +140,15 @@ def match_part_names(spark, sf_dir):
     words = parts.select(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("word"))
     known = parts.select("p_name", F.col("p_name").alias("found"))
     return names.match_names(words, "word", known, "p_name", "found", "found", passes=1)
+
+
+@query("map_lookup_large", """
+    SELECT l_orderkey, l_linenumber, coalesce(o_orderpriority, 'none') AS priority FROM lineitem
+    LEFT JOIN orders ON o_orderkey = CASE WHEN l_linenumber = 2 THEN l_orderkey + 0.5 ELSE l_orderkey END""")
+def map_lookup_large(spark, sf_dir):
+    """Any number of codes, with keys that are no whole number and so match none."""
+    keyed = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        (F.col("l_orderkey") + F.when(F.col("l_linenumber") == 2, 0.5).otherwise(0.0)).alias("key"))
+    found = map_lookup(keyed, table(spark, sf_dir, "orders"), "key", "o_orderkey", "o_orderpriority", "priority", "none")
+    return found.drop("key")

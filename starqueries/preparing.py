@@ -34,9 +34,10 @@ def label_block_parse(spark, sf_dir):
 
 
 @query("state_dimension", """
-    SELECT 'zz' AS state_id, 'other block' AS state_name UNION ALL SELECT '99', 'Unknown State'""")
+    SELECT DISTINCT concat('S', c_custkey % 50) AS state_id, concat('State ', c_custkey % 50) AS state_name FROM customer
+    UNION ALL SELECT '99', 'All Other Codes'""")
 def state_dimension(spark, sf_dir):
-    """The second block of all label texts, merged into one dimension."""
+    """The second block of all label texts, merged into one dimension; they name code 99 themselves."""
     return dimensions.state_dimension(view(spark, sf_dir, "x_labels"))
 
 

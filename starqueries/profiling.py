@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starloom import schema
 from starloom.operators import keys, lists, profile, quality
 from starloom.session import scratch_path
 from starqueries.model import fact_sql, model
 from starqueries.registry import query
-from starqueries.standins import ctes, table, view
+from starqueries.standins import TABLES, ctes, table, view
 
 _EXTRACT = f"WITH {ctes('x_extract')} "
 _NULLABLE = ("i94mode", "i94addr", "depdate", "i94visa", "visapost", "occup", "entdepd", "entdepu", "gender",
@@ -48,9 +49,9 @@ def filter_sort(spark, sf_dir):
 
 
 @query("null_profile", _EXTRACT + " UNION ALL ".join(
-    f"SELECT '{c}' AS field, count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM x_extract" for c in _NULLABLE))
+    f"SELECT '{c}' AS field, count(*) FILTER (WHERE \"{c}\" IS NULL) AS nulls FROM x_extract" for c in schema.EXTRACT.names))
 def null_profile(spark, sf_dir):
-    return profile.null_counts(view(spark, sf_dir, "x_extract"), _NULLABLE)
+    return profile.null_counts(view(spark, sf_dir, "x_extract"), schema.EXTRACT.names)
 
 
 @query("describe_numeric", " UNION ALL ".join(
@@ -200,7 +201,7 @@ def _report_row(path, test, field, count, failed):
            CAST({count} AS VARCHAR) AS num_recs FROM {path}"""
 
 
-_CORE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+_CORE = TABLES
 
 
 @query("dq_has_rows", " UNION ALL ".join(
@@ -259,11 +260,21 @@ def dq_report(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("dq_gate", f"SELECT count(*) AS failed FROM ({_REPORT_SQL}) WHERE result = 'failed'")
+@query("dq_gate", f"""
+    SELECT count(*) FILTER (WHERE result = 'failed') AS failed, count(*) AS stored,
+           count(*) FILTER (WHERE result = 'failed') > 0 AS raised FROM ({_REPORT_SQL})""")
 def dq_gate(spark, sf_dir):
-    """Failed checks, which is what the gate decides on."""
-    report = quality.run_checks(spark, _suite(spark, sf_dir), 1998, 4)
-    return report.agg(F.count_if(F.col("result") == "failed").alias("failed"))
+    """The gate: the report is stored first, then the failed checks raise."""
+    path = scratch_path(spark, "report")
+    report = quality.store_report(quality.run_checks(spark, _suite(spark, sf_dir), 1998, 4), path)
+    raised = False
+    try:
+        quality.gate(report)
+    except quality.QualityGateFailed:
+        raised = True
+    return spark.read.parquet(path).agg(
+        F.count_if(F.col("result") == "failed").alias("failed"), F.count(F.lit(1)).alias("stored"),
+        F.lit(raised).alias("raised"))
 
 
 @query("dq_model_keys", fact_sql() + " SELECT count(*) AS num_recs, 0 AS nulls, 0 AS surplus FROM fact")

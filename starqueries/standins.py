@@ -105,7 +105,9 @@ VIEWS = {
                       <Q>, 'seg', <Q>, '=', <TAB>, <Q>, '  ', c_mktsegment, ' ', <Q>, <NL>,
                       'no pair here', <NL>, <Q>, 'a', <Q>, ' = b = c', <NL>,
                       <TAB>, <Q>, CAST(c_custkey AS STRING), <Q>, ' = ', <Q>, c_name, ' again', <Q>, <NL>,
-                      ';', <NL>, 'value i94addrl', <NL>, <Q>, 'zz', <Q>, '=', <Q>, 'other block', <Q>, ';') AS text
+                      ';', <NL>, 'value i94addrl', <NL>, <Q>, 'S', CAST(c_custkey % 50 AS STRING), <Q>, '=',
+                      <Q>, 'State ', CAST(c_custkey % 50 AS STRING), <Q>, <NL>, <Q>, '99', <Q>, '=', <Q>,
+                      'All Other Codes', <Q>, ';') AS text
         FROM {customer}""",
     # A page per part: a captioned table with two groups, several codes in a
     # cell, a cell without a code, and one row of stacked lists.

@@ -85,6 +85,8 @@ def test_soft_cast_in_any_mode(spark, column, ansi):
         to_int = lambda source: lambda x: clean.soft_cast(x, source, T.IntegerType())
         assert column([5.7, -5.7, 1e12, None], "double", to_int(T.DoubleType())) == [5, -5, None, None]
         assert column(["5.0", "x", " 7 ", None], "string", to_int(T.StringType())) == [5, None, 7, None]
+        to_long = lambda x: clean.soft_cast(x, T.StringType(), T.LongType())
+        assert column(["9007199254740993", "7.0"], "string", to_long) == [9007199254740993, 7]
         to_text = lambda x: clean.soft_cast(x, T.DoubleType(), T.StringType())
         assert column([582.0, 20160422.0, 0.5, None], "double", to_text) == ["582", "20160422", "0.5", None]
     finally:

@@ -128,6 +128,17 @@ def test_map_lookup_equals_lookup(dims, rows):
         lookup(fact, dim, {"code": "i"}, "iso", "c", "99"), "tag", "c")
 
 
+@pytest.mark.parametrize("codes", [20, 10_001])
+def test_map_lookup_changes_no_key_on_either_side_of_its_limit(spark, rows, codes):
+    fact = spark.createDataFrame([(5.7,), (5.0,), (1e300,), (None,)], "k double")
+    dim = spark.range(codes).selectExpr("CAST(id AS INT) AS i", "concat('N', id) AS name")
+    found = map_lookup(fact, dim, "k", "i", "name", "c", "none")
+    assert found.columns == ["k", "c"]
+    assert rows(found) == sorted([(5.7, "none"), (5.0, "N5"), (1e300, "none"), (None, "none")], key=repr)
+    words = spark.createDataFrame([("5",), ("5.7",), ("x",)], "k string")
+    assert rows(map_lookup(words, dim, "k", "i", "name", "c", "none")) == [("5", "N5"), ("5.7", "none"), ("x", "none")]
+
+
 def test_map_lookup_of_an_empty_table(dims, rows):
     fact, dim = dims
     assert {r[1] for r in rows(map_lookup(fact, dim.where("i < 0"), "code", "i", "iso", "c", "99"), "tag", "c")} == {

@@ -85,6 +85,13 @@ def test_period_key_is_unique_and_stable(spark):
     assert first >> 32 == 2016 * 12 + 4 and first & 0xFFFFFFFF == 7
 
 
+@pytest.mark.parametrize("ident", [1 << 31, 5 + (1 << 32), -(1 << 31) - 1])
+def test_period_key_refuses_an_id_that_does_not_fit(spark, ident):
+    frame = spark.createDataFrame([(2016, 4, ident)], "y int, m int, i long")
+    with pytest.raises(Exception, match="does not fit"):
+        frame.select(keys.period_key(F.col("y"), F.col("m"), F.col("i"))).collect()
+
+
 def test_load_row_id_repeats_between_loads(spark):
     ids = [{r[0] for r in spark.range(4).select(keys.load_row_id()).collect()} for _ in range(2)]
     assert ids[0] == ids[1]

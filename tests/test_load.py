@@ -1,5 +1,6 @@
 """The monthly load on five printed rows: fact, reload, quality, catalog, arrivals."""
 
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -10,9 +11,10 @@ from starloom import __main__ as command
 from starloom import schema, sinks
 from starloom.operators import quality
 from starloom.plans import analytics, dimensions, fact
-from starloom.plans.load import LoadOptions, OtherPeriods, Staged, load_fact, run_period
+from starloom.plans.load import LoadOptions, OtherPeriods, Staged, _of_periods, load_fact, run_period
 from starloom.sources.tables import conform
 from starloom.streaming.arrivals import load_arrivals
+from tests.conftest import plan
 
 NAMES = ("cicid", "i94yr", "i94mon", "i94cit", "i94res", "i94port", "arrdate", "i94mode", "i94addr", "depdate", "i94bir",
          "i94visa", "count", "dtadfile", "visapost", "biryear", "dtaddto", "gender", "airline", "admnum", "fltno",
@@ -156,6 +158,8 @@ def test_csv_copies_and_staging_files(spark, extract, staged, tmp_path, rows):
     assert rows(read.visa_categories) == rows(staged.visa_categories)
     run_period(spark, extract, read, root, 2016, 4, LoadOptions(csv_copies=True))
     assert spark.read.csv(f"{root}/i94.csv", sep=";", header=True).count() == 5
+    assert spark.read.csv(f"{root}/dates.csv", sep=";", header=True).count() == 5
+    assert spark.read.csv(f"{root}/data_quality.csv", sep=";", header=True).count() == 26
     assert rows(spark.read.csv(f"{root}/mode.csv", sep=";", header=True)) == [
         ("1", "Air"), ("2", "Sea"), ("3", "Land"), ("9", "Not reported")]
 
@@ -247,6 +251,37 @@ def test_arrivals_load_each_period_whole(spark, extract, staged, tmp_path, rows)
     assert rows(model_of(spark, root, "i94").groupBy("month").count()) == [(4, 5), (7, 5)]
 
 
+def test_arrivals_keep_rows_without_a_readable_period(spark, extract, staged, tmp_path):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "model")
+    extract.withColumn("i94mon", F.when(F.col("cicid") > 2000000, F.col("i94mon"))).write.parquet(landing)
+
+    def start(options=LoadOptions()):
+        return load_arrivals(spark, landing, extract.schema, lambda: staged, root, str(tmp_path / "c"), options)
+
+    with pytest.raises(ValueError, match="replace"):
+        start(LoadOptions(mode="append"))
+    start().awaitTermination()
+    loaded = model_of(spark, root, "i94")
+    assert loaded.count() == 5 and loaded.where("month IS NULL").count() == 2
+    assert model_of(spark, root, "dates").count() == loaded.select("arrival_date").distinct().count()
+
+
+def test_append_of_a_month_stores_the_dates_of_other_months(spark, extract, staged, tmp_path):
+    root = str(tmp_path / "m")
+    mixed = extract.withColumn("i94mon", F.when(F.col("cicid") > 2000000, 4.0).otherwise(5.0))
+    load_fact(mixed, staged, root, LoadOptions(mode="append"), (2016, 4))
+    assert model_of(spark, root, "dates").count() == model_of(spark, root, "i94").select("arrival_date").distinct().count()
+
+
+def test_dates_are_read_from_the_touched_partitions_only(spark, extract, staged, tmp_path):
+    root = str(tmp_path / "m")
+    load_fact(extract, staged, root)
+    load_fact(extract.withColumn("i94mon", F.lit(5.0)), staged, root)
+    touched = _of_periods(model_of(spark, root, "i94"), spark.createDataFrame([(2016, 5)], "year int, month int"))
+    assert len(touched.inputFiles()) < len(model_of(spark, root, "i94").inputFiles()) or "PartitionFilters: [" in plan(touched)
+    assert touched.count() == 5
+
+
 def test_jobs_from_the_command_line(spark, extract, staged, tmp_path, rows):
     raw, staging, root = (str(tmp_path / n) for n in ("raw", "staging", "model"))
     extract.coalesce(1).write.parquet(f"{raw}/one")
@@ -317,3 +352,12 @@ def test_state_dimension(spark, rows):
     texts = spark.createDataFrame([("f", "value i94addrl\n'AL'='ALABAMA'\n;")], "source string, text string")
     assert rows(dimensions.state_dimension(texts)) == [("99", "Unknown State"), ("AL", "ALABAMA")]
     assert rows(dimensions.state_dimension(texts, unknown=False)) == [("AL", "ALABAMA")]
+
+
+def test_state_dimension_with_a_label_for_99(spark, extract, staged, rows):
+    texts = spark.createDataFrame(
+        [("f", "value i94addrl\n'HI'='HAWAII'\n'99'='All Other Codes'\n;")], "source string, text string")
+    states = dimensions.state_dimension(texts)
+    assert rows(states) == [("99", "All Other Codes"), ("HI", "HAWAII")]
+    built = build(extract, dataclasses.replace(staged, us_states=states))
+    assert rows(built.groupBy("state_id").count()) == [("99", 4), ("HI", 1)]

@@ -33,6 +33,19 @@ def test_rows_nulls_unique_references(spark, people):
     assert {(r["year"], r["month"], r["path"]) for r in report.collect()} == {("2016", "4", "people")}
 
 
+def test_null_is_no_key(spark):
+    frame = spark.createDataFrame([(1,), (1,), (None,), (None,), (None,)], "k int")
+    report = quality.run_checks(spark, [quality.Dataset("a", ["k"], ["k"], frame=frame)], 1, 1)
+    assert ("is_unique", "k", "failed", "1") in results(report) and ("has_nulls", "k", "failed", "3") in results(report)
+
+
+def test_only_a_missing_path_counts_as_missing(spark, tmp_path):
+    (tmp_path / "bad.parquet").mkdir()
+    (tmp_path / "bad.parquet" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        quality.run_checks(spark, [quality.Dataset(str(tmp_path / "bad.parquet"))], 1, 1).collect()
+
+
 def test_no_duplicates(spark, people):
     twice = people.unionByName(people.where("id = 1"))
     datasets = [quality.Dataset(n, distinct_in=fields, frame=twice)

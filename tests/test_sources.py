@@ -1,6 +1,7 @@
 """Readers and parsers on files and texts."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,6 +134,22 @@ def test_html_elements(spark):
     assert html.html_elements(pages, "id", "html", ["li"], "z").collect()[0]["text"] == "two"
 
 
+def test_html_open_items_end_where_the_next_begins(spark):
+    page = "<ul><li>a<li>b<ul><li>c</ul>d<li>e</ul><p>f<p>g<h1>h</h1><table><tr><td>x<td>y<tr><td>z</table>"
+    pages = spark.createDataFrame([(1, page)], "id int, html string")
+    found = html.html_elements(pages, "id", "html", ["li", "p", "td"]).orderBy("tag", "element_no").collect()
+    assert [r["text"] for r in found] == ["a", "bcd", "c", "e", "f", "g", "x", "y", "z"]
+
+
+@pytest.mark.parametrize("page", [
+    "<li>x" * 200_000, '<li a="' * 140_000, '<li><a b=">" ' * 70_000 + '<a b="', "<" * 1_000_000, "<ul><li>" * 120_000])
+def test_html_of_a_hostile_page_takes_linear_time(page):
+    started = time.process_time()
+    html._elements(page, frozenset(["li"]), None)
+    html._table_rows(page, None, ("h4", None))
+    assert time.process_time() - started < 12
+
+
 def test_html_odd_markup(spark):
     page = """<!DOCTYPE html><?x y?><!-- <li>no</li> --><script>if (a<li) "<li>no</li>"</script>
       <LI title="a > b">1 < 2 &lt; 3 &amp x</LI><style>li{}</style><li>open <b>bold</b><li>next</li>
