@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.batches import bound_batches
 from starloom.session import stage
+from starloom.sources.markup import scan
 
 LEAST_PAGES, LEAST_SHARE = 4, 0.05  # of a host, from which on a subtree belongs to the template
 
@@ -78,39 +79,9 @@ def _marked(tag: str, named: dict[str, str]) -> bool:
 
 
 _DEPTH = 512  # elements below this depth count as part of the last one above it
-_RAW = {t: re.compile(f"</{t}(?=[\\s/>])", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe")}
-_NAME = re.compile(r"[A-Za-z][^\s/>]*")
-_SIGN = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
-class _Tags:
-    """Ends of tags, found forwards: a ``>`` in a quoted value is part of it, unless the quote is never closed."""
-
-    def __init__(self, page: str):
-        self.page, self.last, self.unquoted_until = page, page.rfind(">"), 0
-
-    def end(self, begin: int) -> int:
-        """Place of the ``>`` of the tag that begins there, -1 if there is none."""
-        if begin > self.last:
-            return -1
-        at = begin
-        while begin >= self.unquoted_until:
-            found = _SIGN.search(self.page, at)
-            if found is None:
-                self.unquoted_until = len(self.page)
-            elif found[0] == ">":
-                return found.start()
-            elif self.page[begin:found.start()][-64:].rstrip()[-1:] != "=":
-                at = found.end()
-            else:
-                closed = self.page.find(found[0], found.end())
-                if closed < 0:
-                    self.unquoted_until = len(self.page)  # every tag up to here would run into the same quote
-                at = closed + 1
-        return self.page.find(">", begin)
-
-
 class _Walker:
     """Goes through a page and keeps the stack of open elements, with the end tags that may be left out put in."""
 
@@ -155,45 +126,20 @@ class _Walker:
     def text(self, data: str) -> None: ...
 
     def run(self, page: str) -> None:
-        at, tags = 0, _Tags(page)
-        while at < len(page):
-            begin = page.find("<", at)
-            if begin < 0:
-                begin = len(page)
-            if begin > at:
-                self.text(entities.unescape(page[at:begin]))
-            at = self._markup(page, begin, tags) if begin < len(page) else begin
+        for before, tag, is_end, attributes in scan(page):
+            if before:
+                self.text(before)
+            if not tag:
+                continue
+            if is_end:
+                if tag != "p" or self.open_tags.get("p"):
+                    self._end({tag}, set() if tag in _BLOCK else {"article", "main", "body", "td", "li"})
+                continue
+            pairs = reversed(_ATTRIBUTE.findall(attributes)) if attributes else ()  # of repeated ones the first counts
+            self._start(tag, {k.lower(): entities.unescape(v.strip("\"'")) for k, v in pairs})
         while self.stack:
             self._pop()
 
-    def _markup(self, page: str, begin: int, tags: _Tags) -> int:
-        """Handle what begins with ``<`` there; the place after it."""
-        after = page[begin + 1:begin + 2]
-        if page.startswith("<!--", begin):
-            end = page.find("-->", begin + 4)
-            return len(page) if end < 0 else end + 3
-        if after in ("!", "?"):
-            end = page.find(">", begin)
-            return len(page) if end < 0 else end + 1
-        name = _NAME.match(page, begin + 2 if after == "/" else begin + 1)
-        end = tags.end(begin) if name else -1
-        if end < 0:
-            self.text("<")
-            return begin + 1
-        tag = name[0][:end - name.start()].lower()
-        if after == "/":
-            if tag != "p" or self.open_tags.get("p"):
-                self._end({tag}, set() if tag in _BLOCK else {"article", "main", "body", "td", "li"})
-            return end + 1
-        rest = page[min(end, name.end()):end]
-        attrs = {k.lower(): entities.unescape(v.strip("\"'")) for k, v in reversed(_ATTRIBUTE.findall(rest))} if rest else {}
-        self._start(tag, attrs)
-        if tag in _RAW:
-            closed = _RAW[tag].search(page, end)
-            self._end({tag}, set())
-            return len(page) if closed is None else closed.start()
-        return end + 1
-
 
 class _Census(_Walker):
     """Hash of each element, its text length and share of links, and where the content elements are."""
