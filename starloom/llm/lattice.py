@@ -7,8 +7,8 @@ cut the word. One more path takes a known word as a whole, by its count.
 
 A corpus mixes languages, so the weights are fitted for each class of documents (a column, by default ``lang``, with
 a bounded number of values; without it there is one class). In class k, with c of N training tokens and V distinct
-ones, a word has the probability (c + V * q) / (N + V), where q is nine tenths the lattice of the class and one tenth
-the whole corpus, counts and lattices together. A document is its words and one end, and its probability is summed
+ones, a word has the probability (c - d + (d * V + 1) * q) / (N + 1), where d = 0.75 is taken off each known word for
+new ones, and q is nine tenths the lattice of the class and one tenth the whole corpus, counts and lattices together. A document is its words and one end, and its probability is summed
 over the classes as well: which class it belongs to is not looked at when it is scored.
 """
 
@@ -33,7 +33,7 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 LONGEST = 24  # bytes of a piece
 ROUNDS = 2
 CLASSES = 6  # the largest ones; the others are one more
-OWN = 0.9
+OWN, DISCOUNT = 0.9, 0.75
 FREQUENT = 500_000  # a word with one in so many tokens is frequent, so there are no more; other words meet in a join
 FLUSH = 400_000  # distinct words that a task counts before it hands them on
 _FLOOR = 1e-3  # of an expected count, so that no piece becomes impossible
@@ -91,24 +91,23 @@ class Pieces:
 def read_pieces(path: str) -> Pieces:
     """The pieces of a vocabulary file; weights fall with the rank that its scores give them."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    start, further, bare = {}, {}, 1e-6
+    start, further = {}, {}
     for i in range(model.get_piece_size()):
         if model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
             continue
         weight, name = 1 / (100.0 + max(0.0, -model.get_score(i))), model.id_to_piece(i)
         if model.is_byte(i):
             further.setdefault(bytes([int(name[3:5], 16)]), 1e-7)
-        elif name == "▁":
-            bare = weight
         elif name.startswith("▁"):
-            start[name[1:].encode()] = weight
+            start[name[1:].encode()] = weight  # the mark alone is the bare beginning
         else:
             further[name.encode()] = weight
     for b in range(256):
         further.setdefault(bytes([b]), 1e-7)
+    start.pop(b"", None)
     strings = sorted({s for s in (*start, *further) if len(s) <= LONGEST})
     return normalised(strings, np.array([start.get(s, 0.0) for s in strings]),
-                      np.array([further.get(s, 0.0) for s in strings]), bare, sum(further.values()) / 2)
+                      np.array([further.get(s, 0.0) for s in strings]), sum(start.values()) / 3, sum(further.values()) / 3)
 
 
 def normalised(strings: list[bytes], first: np.ndarray, further: np.ndarray, bare: float, stop: float) -> Pieces:
@@ -285,18 +284,18 @@ class Corpus:
     def end(self) -> np.ndarray:
         """log10 probability of an end in each class."""
         share = (self.ends + 0.5) / (self.tokens + 1)
-        own = np.maximum(self.class_distinct, 1)
-        return np.log10((self.class_ends + own * share) / (self.class_tokens + own))
+        own = DISCOUNT * self.class_distinct + 1
+        return np.log10((np.maximum(self.class_ends - DISCOUNT, 0) + own * share) / (self.class_tokens + 1))
 
     def words(self, counts: np.ndarray, lattices: np.ndarray) -> np.ndarray:
         """log10 probability of words (rows) in each class from counts and probabilities of the lattices."""
         share = (self.ends + 0.5) / (self.tokens + 1)
         lattices = lattices * (1 - share)
-        weight = max(self.distinct, 1)
-        whole = (counts.sum(axis=1) + weight * (lattices @ self.shares())) / (self.tokens + weight)
-        own = np.maximum(self.class_distinct, 1)
+        known = np.maximum(counts.sum(axis=1) - DISCOUNT, 0)
+        whole = (known + (DISCOUNT * self.distinct + 1) * (lattices @ self.shares())) / (self.tokens + 1)
+        own = DISCOUNT * self.class_distinct + 1
         q = OWN * lattices + (1 - OWN) * whole[:, None]
-        return np.log10(np.maximum((counts + own * q) / (self.class_tokens + own), 1e-300))
+        return np.log10(np.maximum((np.maximum(counts - DISCOUNT, 0) + own * q) / (self.class_tokens + 1), 1e-300))
 
 
 def _classes(named: DataFrame, class_col: str | None, classes: int) -> list:

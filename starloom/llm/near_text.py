@@ -239,9 +239,9 @@ def near_text_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     components = connected_components(links.unionByName(more).unionByName(_several(same, sets)))
 
     of_set = sets.join(components, "node", "left").select("set_id", F.coalesce("component", "node").alias("_of_set"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_of_set", "doc_id"))
     return signed.join(of_set, "set_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("_of_set", "doc_id").alias("component_id"),
-        F.coalesce("_of_set", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+        "doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def _several(same: DataFrame, sets: DataFrame) -> DataFrame:
