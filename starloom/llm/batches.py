@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import SparkSession
 
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 8 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:

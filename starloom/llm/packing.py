@@ -35,7 +35,7 @@ ROWS_PER_PART = 20_000
 # A word of plain Latin letters and the signs behind it are two units of the tokenizer, whatever stands around them.
 _SIGNS = b"!#$%&()*,.:;?-"
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*,.:;?-]*)")
-_KEPT_WORDS, _KEPT_UNITS = 400_000, 700_000  # that a worker remembers; only the speed depends on them
+_KEPT_WORDS, _KEPT_UNITS = 250_000, 450_000  # that a worker remembers; only the speed depends on them
 
 
 class _Words:
@@ -68,13 +68,16 @@ class _Words:
             else:
                 self.units.update((u, self._encode(u).tobytes()) for u in some)
 
-    def learn(self, words: set[bytes]) -> None:
+    def forget(self) -> None:
         if len(self.words) > _KEPT_WORDS:
             self.words.clear()
         if len(self.units) > _KEPT_UNITS:
             self.units.clear()
+
+    def learn(self, words: set[bytes]) -> None:
+        """Ids of words that are not remembered."""
         plain, others = {}, []
-        for word in words - self.words.keys():
+        for word in words:
             stem = word.rstrip(_SIGNS)
             if stem.isalpha():  # letters of ASCII only
                 plain[word] = stem.lower().decode(), word[len(stem):].decode()
@@ -90,7 +93,9 @@ class _Words:
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         split = [t.encode().split() for t in texts]  # bytes are split at ASCII white space only
-        self.learn(set().union(*split))
+        self.forget()
+        known = self.words
+        self.learn({w for words in split for w in words if w not in known})
         for words in split:
             yield b"".join(map(self.words.__getitem__, words))
 

@@ -27,6 +27,7 @@ from starloom.session import stage
 VOCABULARY_WORDS = 2_000
 LEAST_DOCUMENTS, LEAST_Z = 4, 2.5  # of the sample that hold a feature, and how sure its side must be
 GRADE_STEPS = (2, 4)  # a toxic document with more marked words than this is one grade higher
+PORTION = 50  # documents that are spelt out at a time
 ROUNDS, RATE, RIDGE = 400, 0.1, 2e-4
 BEGINNINGS = (4, 5, 7)
 _WORD = re.compile(r"\w+")
@@ -96,9 +97,11 @@ def fit_ordinal(rows: list[list[int]], grades: np.ndarray, words: int, steps: in
 
 def _sample_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        words = [_words(t) for t in batch["text"]]
-        yield pd.DataFrame({"label": batch["label"], "words": [sorted(w) for w in words],
-                            "features": [sorted(_features(w)) for w in words]})
+        for at in range(0, len(batch), PORTION):  # the features of a text take many times its size
+            part = batch.iloc[at:at + PORTION]
+            words = [_words(t) for t in part["text"]]
+            yield pd.DataFrame({"label": part["label"], "words": [sorted(w) for w in words],
+                                "features": [sorted(_features(w)) for w in words]})
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id",
@@ -125,11 +128,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
 
     def place_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({
-                "label": batch["label"], "found": [sorted(place[f] for f in fs if f in place) for fs in batch["features"]],
-                "marks": [sum(bool(marked & _features({w})) for w in ws) for ws in batch["words"]]})
+            found, marks = [], []
+            for words in batch["words"]:
+                found.append(sorted(place[f] for f in _features(set(words)) if f in place))
+                marks.append(sum(w in marked or any(w[:n] + "*" in marked for n in BEGINNINGS) for w in words))
+            yield pd.DataFrame({"label": batch["label"], "found": found, "marks": marks})
 
-    taken = known.mapInPandas(place_of, "label int, found array<int>, marks int").collect()  # the bounded sample
+    taken = known.select("label", "words").mapInPandas(place_of, "label int, found array<int>, marks int").collect()  # the bounded sample
     found = [r["found"] for r in taken]
     marks = np.array([r["marks"] for r in taken])
     toxic = np.array([r["label"] for r in taken])
