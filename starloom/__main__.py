@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import previous_period
 from starloom.plans.load import LoadOptions, Staged, check_quality, run_period
-from starloom.session import build_session
+from starloom.session import build_session, clear_scratch
 from starloom.sources.files import list_files, period_files
 
 
@@ -44,6 +44,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     options = arguments(argv)
     spark = build_session(f"starloom {options.job}")
     year, month = (options.year, options.month) if options.year and options.month else last_month(spark)
+    try:
+        run(spark, options, year, month)
+    finally:
+        clear_scratch(spark)
+
+
+def run(spark: SparkSession, options: argparse.Namespace, year: int, month: int) -> None:
     if options.job == "check":
         check_quality(spark, options.model, year, month)
         return

@@ -17,12 +17,14 @@ from starloom.session import stage
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+SURELY_LARGE = 16
 
 # A key is spread when it holds more than ROWS_PER_TASK rows and more than
 # HOT_SHARE of all rows, so at most 1 / HOT_SHARE keys can ever qualify.
 ROWS_PER_TASK = 2_000_000
 HOT_SHARE = 1e-5
 SAMPLED = 1_000
+ROW_BYTES = 32
 
 
 def text_bytes(df: DataFrame) -> Column:
@@ -36,9 +38,17 @@ def is_small(rows: int, size: int, broadcast_rows: int = BROADCAST_ROWS) -> bool
     return rows <= broadcast_rows and size <= BROADCAST_BYTES
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Size of ``df`` as the optimizer estimates it, from file sizes and without a job; joins are overestimated."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` was counted to be small enough for a broadcast; one aggregate, one row back."""
-    if broadcast_rows <= 0:
+    """Whether ``df`` was counted to be small enough for a broadcast; one aggregate, one row back.
+
+    What the optimizer takes for several times too large is not read to be counted.
+    """
+    if broadcast_rows <= 0 or planned_bytes(df) > SURELY_LARGE * BROADCAST_BYTES:
         return False
     row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(text_bytes(df)).alias("size")).first()
     return is_small(row["rows"], row["size"] or 0, broadcast_rows)
@@ -126,6 +136,8 @@ def _find_hot(
     the same one, which is why it is stored.
     """
     if counts is None:
+        if planned_bytes(df) < rows_per_task * ROW_BYTES:  # too little in all to be too much for a task
+            return None
         fraction = min(1.0, SAMPLED / rows_per_task)
         sample = df.select(*(F.col(f"`{key}`") for key in keys))
         counts = rows_per_key(sample.sample(fraction, seed=1) if fraction < 1.0 else sample, keys)

@@ -128,10 +128,10 @@ def keep_curated(df: DataFrame, key: str, curated: DataFrame, on: Sequence[str],
     A repeated key without a curated row disappears. Rows with a NULL key stay.
     """
     sized = group_size(df, key, "__n", **limits)
-    unique = sized.where(F.coalesce("__n", F.lit(1)) == 1).drop("__n")
-    repeated = sized.where(F.col("__n") > 1).drop("__n")
-    chosen = joins.join_on(repeated, curated, dict(zip(on, on, strict=True)), "left_semi", **limits)
-    return unique.unionByName(chosen)
+    chosen = curated.select(*on).distinct().withColumn("__chosen", F.lit(True))
+    # One join with a mark and one filter, so that what lies above is computed once.
+    marked = joins.join_on(sized, chosen, dict(zip(on, on, strict=True)), "left", right_is_unique=True, **limits)
+    return marked.where((F.coalesce("__n", F.lit(1)) == 1) | F.col("__chosen")).drop("__n", "__chosen")
 
 
 def period_key(year: Column, month: Column, ident: Column) -> Column:

@@ -75,11 +75,12 @@ def match_names(
 
 
 def _pieces_fit(index: DataFrame, max_distance: int, limits: dict) -> bool:
-    """Whether all pieces and shortened forms of the names are few enough for a broadcast."""
-    length = F.length("__name")
-    forms = {0: F.lit(0), 1: length, 2: length * length}[max_distance]
-    pieces = index.agg(F.sum(length * F.lit(_GRAM) + forms + F.lit(2)).alias("n")).first()["n"] or 0
-    return pieces <= limits.get("broadcast_rows", joins.BROADCAST_ROWS)
+    """Whether all pieces and shortened forms of the names, each with its name, are few and short enough for a broadcast."""
+    length = F.length("__name").cast("double")
+    pieces = length * F.lit(_GRAM) + {0: F.lit(0), 1: length, 2: length * length}[max_distance] + F.lit(2)
+    width = F.octet_length("__name") * F.lit(1 if max_distance == 0 else 2) + F.lit(16)
+    found = index.agg(F.sum(pieces).alias("rows"), F.sum(pieces * width).alias("bytes")).first()
+    return joins.is_small(found["rows"] or 0, found["bytes"] or 0, limits.get("broadcast_rows", joins.BROADCAST_ROWS))
 
 
 def _equal(searched: DataFrame, index: DataFrame, limits: dict) -> DataFrame:
@@ -109,9 +110,12 @@ def _contained(searched: DataFrame, index: DataFrame, limits: dict) -> DataFrame
         "*", F.explode(F.concat(*(F.coalesce(_grams(name, n), F.array().cast("array<string>"))
                                   for n in range(1, _GRAM + 1)))).alias("piece")
     )
-    spread = pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("names"))
     own = F.coalesce(_grams(term, _GRAM), F.array(term))
     offered = searched.withColumn("own", F.explode(own))
+    # Only pieces that some term offers are kept, once, for their count and for the join.
+    wanted = offered.select(F.col("own").alias("__wanted")).distinct()
+    pieces = stage(pieces.join(wanted, F.col("piece") == F.col("__wanted"), "left_semi"), "pieces")
+    spread = pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("names"))
     # A piece that no name has rules its whole term out.
     known = joins.join_on(offered, spread, {"own": "piece"}, "left", right_is_unique=True, **limits)
     rarest = (

@@ -22,6 +22,9 @@ SETTINGS = {
 }
 
 
+_WRITTEN: list[str] = []
+
+
 def build_session(app: str = "starloom", master: str | None = None, **conf: str) -> SparkSession:
     """Session with this package's settings; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -51,7 +54,17 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the scratch tables this process has written; call it when nothing reads them any more."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

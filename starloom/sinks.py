@@ -12,13 +12,13 @@ from starloom.operators import joins
 
 
 def write_full(df: DataFrame, path: str, one_file: bool = False) -> None:
-    """Replace a parquet table. ``one_file`` is for dimensions of a few rows."""
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").parquet(path)
+    """Replace a parquet table. ``one_file`` gathers a small table into one file, and a large one into even files."""
+    (df.hint("rebalance") if one_file else df).write.mode("overwrite").parquet(path)
 
 
 def export_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
-    """Replace a ``;`` separated export with a header."""
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").csv(path, sep=";", header=True)
+    """Replace a ``;`` separated export with a header; ``one_file`` as in :func:`write_full`."""
+    (df.hint("rebalance") if one_file else df).write.mode("overwrite").csv(path, sep=";", header=True)
 
 
 def load_period(

@@ -174,3 +174,17 @@ def test_hot_keys_are_found_in_a_sample(spark):
     found = joins.join_on(left, right, {"k": "k"}, broadcast_rows=0, rows_per_task=2500, hot_share=1e-3,
                           right_is_unique=True)
     assert found.count() == 30000 and found.where("v = 2 * k").count() == 30000
+
+
+def test_a_side_that_is_surely_large_is_not_read_to_be_counted(spark, monkeypatch, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "big"))
+    big = spark.read.parquet(str(tmp_path / "big"))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 10)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("measured", "jobs before the action")
+    try:
+        joined = joins.left_merge(spark.range(10).withColumnRenamed("id", "k"), big, {"k": "id"})
+        assert len(tracker.getJobIdsForGroup("measured")) == 0
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert joined.count() == 10

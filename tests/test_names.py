@@ -2,6 +2,7 @@
 
 import pytest
 
+from starloom.operators import names
 from starloom.operators.names import match_names, name_lookup
 
 COUNTRIES = [("DE", "Germany"), ("AT", "Austria"), ("AU", "Australia"), ("KN", "Saint Kitts and Nevis"),
@@ -80,3 +81,13 @@ def test_bad_options(spark):
         match_names(frame, "n", frame, "n", "n", "c", passes=4)
     with pytest.raises(ValueError):
         match_names(frame, "n", frame, "n", "n", "c", max_distance=3)
+
+
+def test_long_names_are_not_broadcast(spark):
+    index = spark.range(50).selectExpr("concat(repeat('ab', 2500), id) AS __name", "id AS __code")
+    assert not names._pieces_fit(index, 0, {})
+    short = spark.range(50).selectExpr("concat('name ', id) AS __name", "id AS __code")
+    assert names._pieces_fit(short, 1, {})
+    searched = spark.createDataFrame([("bab7",), ("none",)], "n string")
+    found = match_names(searched, "n", index, "__name", "__code", "c", passes=1)
+    assert [tuple(r) for r in found.collect()] == [("bab7", 7)]
