@@ -8,8 +8,9 @@ cut the word. One more path takes a known word as a whole, by its count.
 A corpus mixes languages, so the weights are fitted for each class of documents (a column, by default ``lang``, with
 a bounded number of values; without it there is one class). In class k, with c of N training tokens and V distinct
 ones, a word has the probability (c - d + (d * V + 1) * q) / (N + 1), where d = 0.75 is taken off each known word for
-new ones, and q is nine tenths the lattice of the class and one tenth the whole corpus, counts and lattices together. A document is its words and one end, and its probability is summed
-over the classes as well: which class it belongs to is not looked at when it is scored.
+new ones, and q is nine tenths the lattice of the class and one tenth the whole corpus, counts and lattices together.
+A document is its words and one end, and its probability is summed over the classes as well: which class it belongs
+to is not looked at when it is scored.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from starloom.llm.registry import query, table
 
 def held_out() -> Column:
     """Rows that are never learnt from."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 @query("op2_quality_rules")

@@ -88,7 +88,8 @@ class Rollup:
     def ledger(self) -> DataFrame:
         """The newest entry of each document and tokenizer, live or not."""
         newest = Window.partitionBy("doc_id", "tokenizer").orderBy(F.col("version").desc())
-        return self._committed("ledger", self.LEDGER).withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+        entries = self._committed("ledger", self.LEDGER)
+        return entries.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
 
     def totals(self) -> DataFrame:
         """``source, lang, tokenizer, documents, tokens``; keys without a document are left out."""
@@ -107,17 +108,19 @@ class Rollup:
         """
         if "~" in batch or "/" in batch:
             raise ValueError("a batch name holds neither ~ nor /")
-        done = self.commits()
+        done = self.commits()  # one writer at a time applies batches
         if batch in {name for name, _ in done}:
             return False
         attempt, number = uuid.uuid4().hex, len(done)
         order = [F.col(c).desc_nulls_last() for c in ("seq", "op", "tokens", "source", "lang")]
         last = Window.partitionBy("doc_id", "tokenizer").orderBy(*order)
-        wanted = events.where("doc_id IS NOT NULL AND op IN ('insert', 'delete', 'revise')").withColumn(
-            "tokenizer", F.coalesce("tokenizer", F.lit(""))).withColumn("_n", F.row_number().over(last)).where("_n = 1").select(
+        named = events.where("doc_id IS NOT NULL AND op IN ('insert', 'delete', 'revise')").withColumn(
+            "tokenizer", F.coalesce("tokenizer", F.lit("")))
+        wanted = named.withColumn("_n", F.row_number().over(last)).where("_n = 1").select(
             "doc_id", "tokenizer", F.col("source").alias("_source"), F.col("lang").alias("_lang"),
             F.coalesce("tokens", F.lit(0)).alias("_tokens"), (F.col("op") != "delete").alias("_live"))
-        old = self.ledger().where("live").select("doc_id", "tokenizer", "source", "lang", "tokens", F.lit(True).alias("_had"))
+        old = self.ledger().where("live").select(
+            "doc_id", "tokenizer", "source", "lang", "tokens", F.lit(True).alias("_had"))
         both = wanted.join(old, ["doc_id", "tokenizer"], "left").where("_live OR _had")
         both.select("doc_id", "tokenizer", F.col("_source").alias("source"), F.col("_lang").alias("lang"),
                     F.col("_tokens").alias("tokens"), F.col("_live").alias("live"),

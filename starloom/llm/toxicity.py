@@ -2,9 +2,10 @@
 
 The grades are 0 (not toxic) to 3. A label only says toxic or not, so the grade of a toxic document is taken from how
 many different words of it are marked by the labels themselves: up to two, up to four, more. The model has one weight
-for each feature of a bounded vocabulary, a word or the first letters of one (endings vary), and one threshold for each step between grades, in order:
-P(grade > k) = 1 / (1 + exp(threshold[k] - weights . words)). All steps share the weights, so a word that makes one
-grade likelier does so for all. The expected severity is the sum of the three probabilities.
+for each feature of a bounded vocabulary, a word or the first letters of one (endings vary), and one threshold for
+each step between grades, in order: P(grade > k) = 1 / (1 + exp(threshold[k] - weights . words)). All steps share the
+weights, so a word that makes one grade likelier does so for all. The expected severity is the sum of the three
+probabilities.
 """
 
 from __future__ import annotations
