@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.components import connected_components
+from starloom.llm.labelled import hash_sample
 from starloom.session import stage
 
 LEAST_COSINE = 0.95
-SAMPLE_VECTORS = 20_000  # that the centres are fitted to; all vectors are assigned
+SAMPLE_VECTORS = 20_000  # the centres are fitted to about so many; all vectors are assigned
 PER_CELL, MOST_CELLS = 500, 2_048
 BLOCK = 512
 REACH = 4.0
@@ -61,7 +62,9 @@ def fit_centres(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray
     return centres
 
 
-def visited_cells(units: np.ndarray, centres: np.ndarray, cosine: float, reach: float | None) -> tuple[np.ndarray, np.ndarray]:
+def visited_cells(
+    units: np.ndarray, centres: np.ndarray, cosine: float, reach: float | None
+) -> tuple[np.ndarray, np.ndarray]:
     """Home of each vector, and a mask of the cells it visits."""
     near = units @ centres.T
     home = near.argmax(axis=1)
@@ -144,7 +147,7 @@ def near_vector_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: st
         clean.where((F.length("vector") == usual["n"]) & F.col("vec_id").isNotNull())
         .groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight")), "classes")
     count = classes.count()
-    sample = classes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE_VECTORS).select("vector").toPandas()["vector"]
+    sample = hash_sample(classes, "node", count, SAMPLE_VECTORS).select("vector").toPandas()["vector"]
     if count:
         partial = _partials(classes, _matrix(sample), count, cosine, per_cell, reach)
     else:
@@ -187,7 +190,8 @@ def _partials(classes: DataFrame, sample: np.ndarray, count: int, cosine: float,
     own = F.pmod(F.xxhash64("node"), F.when(F.col("guest"), F.col("guests")).otherwise(F.col("homes"))).cast("int")
     cut = cut.withColumn("own", own)
     # Blocks of guests are numbered after those of the cell's own vectors.
-    at_home = cut.where("NOT guest").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("homes") + F.col("guests") - 1)))
+    at_home = cut.where("NOT guest").withColumn(
+        "with", F.explode(F.sequence(F.lit(0), F.col("homes") + F.col("guests") - 1)))
     guests = cut.where("guest").withColumn("own", F.col("own") + F.col("homes")).withColumn(
         "with", F.explode(F.sequence(F.lit(0), F.col("homes") - 1)))
     dealt = at_home.unionByName(guests).select(

@@ -117,7 +117,7 @@ def tree_paths(description: str) -> list[Rule]:
 
 def fit_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
               text_col: str = "text", rows: int = SAMPLE_ROWS) -> RuleModel:
-    """Fit to at most ``rows`` labelled documents; without both labels the score is their constant share (or 0.5).
+    """Fit to about ``rows`` labelled documents; without both labels the score is their constant share (or 0.5).
 
     ``labels`` holds ``doc_id`` and a label of 0 or 1; leave rows out of it that are not to be learnt from.
     """

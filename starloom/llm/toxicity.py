@@ -107,7 +107,7 @@ def _sample_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id",
                  text_col: str = "text", rows: int = SAMPLE_ROWS) -> OrdinalModel:
-    """Fit to at most ``rows`` labelled documents, whole texts; with a single label no word has any weight."""
+    """Fit to about ``rows`` labelled documents, whole texts; with a single label no word has any weight."""
     bound_batches(docs.sparkSession)
     sample = labelled_sample(labels, label, rows)
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
