@@ -1,12 +1,16 @@
 """Main text of web pages: subtrees that recur across the pages of a host are taken out, the article is kept.
 
 A first pass hashes every element of a page, bottom-up, with its tag, classes, text and children. Spark counts for
-each host on how many pages a hash occurs; those on many pages are the site's template. A second pass deletes these
+each host on how many different pages a hash occurs; those on many pages are the site's template. A second pass deletes these
 subtrees, and what its tag, role or class marks as no part of an article, and joins the blocks of what is left. Both
 passes go through a page once, forwards, with a stack of open elements.
 
 If a page has an ``article`` (or ``main``), the text is taken from it. Inside of it a recurring subtree goes only if
 it consists of links for the most part: prose that copies of an article share is not a template.
+
+Copies of a page, under one address or several, count as one page. The page, its body, what holds its content and
+what makes up nearly all of its text are never a template, nor are they evidence of one: what lies inside such an
+element (or in the content) is counted once for all pages that hold the same one.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from starloom.session import stage
 from starloom.sources.markup import scan
 
 LEAST_PAGES, LEAST_SHARE = 4, 0.05  # of a host, from which on a subtree belongs to the template
+NEARLY_ALL = 0.9  # of the text of a page (or of its content)
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -58,6 +63,8 @@ class _Open:
     inside: bool = False  # the content element
     text: int = 0
     linked: int = 0
+    kept: int = 0  # text outside of what is marked
+    holds: bool = False  # the content element, somewhere below
 
 
 def _marked(tag: str, named: dict[str, str]) -> bool:
@@ -141,13 +148,28 @@ class _Walker:
             self._pop()
 
 
+@dataclass
+class _Counted:
+    """An element that has ended; ``last`` is the number of the last element in it."""
+    tag: str
+    hashed: int
+    text: int
+    linked: int
+    kept: int
+    inside: bool
+    holds: bool
+    last: int
+
+
 class _Census(_Walker):
     """Hash of each element, its text length and share of links, and where the content elements are."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.elements: dict[int, tuple[int, int, int, bool]] = {}  # hash, text, text in links, inside the content
+        self.elements: dict[int, _Counted] = {}
         self.content = False
+        self.kept = self.kept_inside = 0
+        self.whole, self.contents = hashlib.blake2b(digest_size=8), hashlib.blake2b(digest_size=8)
 
     def opened(self, element: _Open, attrs: dict[str, str]) -> None:
         element.hashed = hashlib.blake2b(digest_size=8)
@@ -158,27 +180,73 @@ class _Census(_Walker):
 
     def text(self, data: str) -> None:
         words = " ".join(data.split())
-        if words and self.stack:
-            top = self.stack[-1]
-            top.hashed.update(words.encode("utf-8", "surrogatepass"))
+        if not words:
+            return
+        top = self.stack[-1] if self.stack else None
+        (top.hashed if top else self.whole).update(words.encode("utf-8", "surrogatepass"))
+        if not (top and top.dropped):
+            self.kept += len(words)
+            if top and top.inside:
+                self.kept_inside += len(words)
+        if top:
             top.text += len(words)
+            top.kept += 0 if top.dropped else len(words)
             if any(self.open_tags.get(t) for t in ("a", "button")):
                 top.linked += len(words)
 
     def ended(self, element: _Open) -> None:
         digest = element.hashed.digest()
-        self.elements[element.number] = (
-            int.from_bytes(digest, "little", signed=True), element.text, element.linked, element.inside)
+        self.elements[element.number] = _Counted(
+            element.tag, int.from_bytes(digest, "little", signed=True), element.text, element.linked, element.kept,
+            element.inside, element.holds, self.count - 1)
+        if element.inside and not (self.stack and self.stack[-1].inside):
+            self.contents.update(digest)
         if self.stack:
             up = self.stack[-1]
             up.hashed.update(digest)
             up.text += element.text
             up.linked += element.linked
+            up.kept += element.kept
+            up.holds |= element.inside or element.holds
+        else:
+            self.whole.update(digest)
+
+    def core(self) -> int | None:
+        """Number of the innermost element with nearly all text of the page, if most of it is no links."""
+        large = (n for n, e in self.elements.items()
+                 if e.kept and e.kept >= NEARLY_ALL * self.kept and 2 * e.linked < e.text)
+        return max(large, default=None)
+
+    def _may_recur(self, e: _Counted) -> bool:
+        if not e.text or e.tag in ("html", "body", "main"):
+            return False
+        if e.inside:
+            return 2 * e.linked >= e.text and e.kept < NEARLY_ALL * self.kept_inside
+        if e.holds:
+            return False
+        return self.content or 2 * e.linked >= e.text or not e.kept or e.kept < NEARLY_ALL * self.kept
 
     def candidates(self) -> dict[int, int]:
         """Number and hash of the elements with text that may belong to a template."""
-        return {n: h for n, (h, text, linked, inside) in self.elements.items()
-                if text and (not inside or 2 * linked >= text)}
+        return {n: e.hashed for n, e in self.elements.items() if self._may_recur(e)}
+
+    def counted(self) -> tuple[int, list[int], int, list[int]]:
+        """Hash of the page and the candidates' hashes outside of its core, hash of the core and those inside.
+
+        The core are the content elements, or else the element with nearly all text.
+        """
+        page = int.from_bytes(self.whole.digest(), "little", signed=True)
+        found, core = self.candidates(), None if self.content else self.core()
+        if self.content:
+            unit = int.from_bytes(self.contents.digest(), "little", signed=True)
+            inner = {n for n in found if self.elements[n].inside}
+        elif core is not None:
+            unit, last = self.elements[core].hashed, self.elements[core].last
+            inner = {n for n in found if core < n <= last}
+        else:
+            unit, inner = page, set()
+        around = {h for n, h in found.items() if n not in inner}
+        return page, sorted(around), unit, sorted({found[n] for n in inner} - around)
 
 
 class _Extract(_Walker):
@@ -219,11 +287,11 @@ class _Extract(_Walker):
             self.parts.append(data)
 
 
-def template_candidates(html: str | None) -> list[int]:
-    """The distinct hashes of a page's elements that a template could hold."""
+def template_candidates(html: str | None) -> tuple[int, list[int], int, list[int]]:
+    """The distinct hashes of a page's elements that a template could hold; see ``_Census.counted``."""
     walker = _Census()
     walker.run(html or "")
-    return sorted(set(walker.candidates().values()))
+    return walker.counted()
 
 
 def page_text(html: str | None, template: set[int]) -> str:
@@ -239,8 +307,8 @@ def page_text(html: str | None, template: set[int]) -> str:
 
 def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"host": batch["host"], "key": batch["key"],
-                            "hashes": [template_candidates(h) for h in batch["html"]]})
+        found = pd.DataFrame([template_candidates(h) for h in batch["html"]], columns=["page", "hashes", "core", "within"])
+        yield found.assign(host=batch["host"].to_numpy(), key=batch["key"].to_numpy())
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -256,7 +324,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     NULL and empty pages give an empty text. Pages without a readable host in their address form one host. Repeated
     rows give repeated results, an empty table an empty one; other columns are ignored. A subtree belongs to the
-    template of a host if it is on at least ``LEAST_PAGES`` pages and ``LEAST_SHARE`` of the host's pages.
+    template of a host if it is on at least ``LEAST_PAGES`` different pages and ``LEAST_SHARE`` of the host's.
     """
     bound_batches(pages.sparkSession)
     named = pages.select(
@@ -264,11 +332,14 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.lower(F.coalesce(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1), F.lit(""))).alias("host"),
     ).withColumn("key", F.xxhash64("page_id", "url", "html"))
     hashed = stage(named.where("html IS NOT NULL").select("host", "key", "html").mapInPandas(
-        _hashes, "host string, key long, hashes array<long>"), "hashes")
-    each = hashed.select("host", "key", F.explode("hashes").alias("hash"))
-    of_host = hashed.groupBy("host").agg(F.count("*").alias("pages"))
-    recurring = each.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES).join(
-        of_host, "host").where(F.col("n") >= LEAST_SHARE * F.col("pages")).select("host", "hash")
+        _hashes, "page long, hashes array<long>, core long, within array<long>, host string, key long"), "hashes")
+    each = hashed.select("host", "key", F.explode(F.concat(
+        F.transform("hashes", lambda h: F.struct(h.alias("hash"), F.col("page").alias("unit"))),
+        F.transform("within", lambda h: F.struct(h.alias("hash"), F.col("core").alias("unit"))))).alias("e"),
+    ).select("host", "key", "e.hash", "e.unit")
+    of_host = hashed.groupBy("host").agg(F.count_distinct("page").alias("pages"))
+    recurring = each.groupBy("host", "hash").agg(F.count_distinct("unit").alias("n")).where(
+        F.col("n") >= LEAST_PAGES).join(of_host, "host").where(F.col("n") >= LEAST_SHARE * F.col("pages")).select("host", "hash")
     template = each.join(recurring, ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("template"))
     return named.join(template, "key", "left").select("page_id", "url", "html", "template").mapInPandas(
         _texts, "page_id long, url string, text string, n_chars long")

@@ -131,6 +131,23 @@ def test_main_text_deletes_what_recurs_on_a_host(spark):
     assert main_texts(frame.limit(0)).count() == 0
 
 
+def test_main_text_of_copies_and_mirrors(spark):
+    article = "<div class=w><article><h1>Shared</h1><p>One story of many words</article></div>"
+    links = "<main><ul><li><a href=/1>One long link</a><li><a href=/2>Another long link</a></ul></main>"
+    plain = "<div class=c><p>Plain prose without any content element, long enough to matter</p><p>Its end of it</p></div>"
+    rows = [(i, "http://a.example/1", f"<html><body>{article}</body></html>") for i in range(5)]  # stored again
+    rows += [(10 + i, f"http://b.example/{i}", f"<html><body>{article}<p>Chrome {i}</p></body></html>") for i in range(6)]
+    rows += [(20 + i, f"http://c.example/{i}", f"<html><body>{links}<p>Chrome {i}</p></body></html>") for i in range(6)]
+    rows += [(30 + i, f"http://d.example/{i}", f"<html><body>{plain}</body></html>") for i in range(6)]  # mirrors
+    rows += [(40 + i, f"http://e.example/{i}", f"<html><body>{plain}<i>{i}</i></body></html>") for i in range(6)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    prose = "Plain prose without any content element, long enough to matter\nIts end of it"
+    wanted = {0: "Shared\nOne story of many words", 1: "Shared\nOne story of many words",
+              2: "One long link\nAnother long link", 3: prose}
+    for r in main_texts(frame).collect():
+        assert r.text == wanted.get(r.page_id // 10, f"{prose}\n{r.page_id % 10}"), r
+
+
 def test_main_text_of_one_page():
     page = """<body><header><h1>Site</h1></header><div class="cookie-notice">c</div><main><article><header><h1>T &lt;1&gt;</h1>
     </header><p>one\n two<p>three<ul><li>a<li>b</ul><!-- <p>no --><div class="comments"><p>bad</div><table><tr><td>x<td>y
