@@ -163,16 +163,56 @@ def _by_length(words: list[bytes]) -> Iterator[np.ndarray]:
             yield same[at:at + step]
 
 
-def word_scores(words: list[bytes], pieces: Pieces) -> np.ndarray:
-    """Natural logarithm of the lattice probability of each word, summed over all its segmentations."""
-    out = np.empty(len(words))
+def class_scores(words: list[bytes], fitted: list[Pieces]) -> np.ndarray:
+    """Natural logarithm of the lattice probability of words (rows) under weights of the same pieces (columns).
+
+    The pieces in a word are looked up once for all weights; the recursion then goes over those that are there.
+    """
+    out = np.empty((len(words), len(fitted)))
+    further = np.column_stack([p.further for p in fitted])
+    start = np.logaddexp(np.column_stack([p.first for p in fitted]), np.array([p.bare for p in fitted]) + further)
+    stop = np.array([p.stop for p in fitted])
     for at in _by_length(words):
-        n = len(words[at[0]])
-        raw = np.frombuffer(b"".join(words[i] for i in at), dtype=np.uint8).reshape(len(at), n)
-        out[at] = _lattice(raw, pieces).forward[:, n] + pieces.stop
+        rows, n = len(at), len(words[at[0]])
+        codes = _BYTE[np.frombuffer(b"".join(words[i] for i in at), dtype=np.uint8).reshape(rows, n)]
+        forward = np.full((n + 1, rows, len(fitted)), -np.inf)
+        forward[0] = 0.0
+        for done in range(0, n, 1 << 15):
+            width = min(n - done, 1 << 15)
+            grid = np.full((width, rows, min(LONGEST, n)), -1, dtype=np.int32)  # pieces by their end
+            for length in range(1, grid.shape[2] + 1):
+                begin = max(0, done + 1 - length)
+                if begin + length <= done + width:
+                    found = fitted[0].find(codes[:, begin:done + width], length)
+                    grid[begin + length - 1 - done:, :, length - 1] = found.T
+            end, row, size = np.nonzero(grid >= 0)
+            number, begin = grid[end, row, size], done + end - size
+            weight = np.where((begin == 0)[:, None], start[number], further[number])
+            cuts = np.searchsorted(end, np.arange(width + 1))
+            for j in range(width):
+                part = slice(cuts[j], cuts[j + 1])
+                r = row[part]
+                if not len(r):
+                    continue
+                new = np.empty(len(r), dtype=bool)
+                new[0] = True
+                np.not_equal(r[1:], r[:-1], out=new[1:])
+                heads = np.flatnonzero(new)
+                x = forward[begin[part], r] + weight[part]
+                top = np.maximum.reduceat(x, heads, axis=0)
+                top = np.where(np.isneginf(top), 0.0, top)
+                x -= top[np.cumsum(new) - 1]
+                with np.errstate(divide="ignore"):
+                    forward[done + j + 1, r[heads]] = top + np.log(np.add.reduceat(np.exp(x), heads, axis=0))
+        out[at] = forward[n] + stop
     return out
 
 
+def word_scores(words: list[bytes], pieces: Pieces) -> np.ndarray:
+    """Natural logarithm of the lattice probability of each word, summed over all its segmentations."""
+    return class_scores(words, [pieces])[:, 0]
+
+
 def expected_counts(words: list[bytes], pieces: Pieces) -> tuple[np.ndarray, np.ndarray, float]:
     """How often each piece is expected as first and as further piece over the words, and bare beginnings."""
     size = len(pieces.strings)
@@ -340,11 +380,7 @@ def lattice_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def score_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for portion in _words_in_portions(batches):
             word, counts = portion["word"].to_numpy(), portion[counted].to_numpy()
-            lattices, most = np.zeros(counts.shape), counts.argmax(axis=1)
-            # A known word's count outweighs the lattice by far: the one of its commonest class is added to it.
-            for k in range(many):
-                own = np.flatnonzero((counts.sum(axis=1) == 0) | (most == k))
-                lattices[own, k] = np.exp(word_scores(list(word[own]), fitted[k]))
+            lattices = np.exp(class_scores(list(word), fitted))
             yield pd.DataFrame({"word": word, "n": portion["n"], "base": corpus.base(portion["n"].to_numpy()),
                                 "scores": list(corpus.words(counts, lattices))})
 

@@ -191,6 +191,68 @@ def test_lattice_scores_base_and_odd_rows(spark):
     assert lattice.lattice_scores(documents(spark, rows).limit(0)).count() == 0
 
 
+def _lattice_wanted(rows, fitted, log10):
+    """Score of each (doc_id, text, lang) by the documented formula, with plain sums; ``log10`` of words by class."""
+    names = [n for n, _ in sorted(Counter(l for i, _, l in rows if not _held(i)).items(), key=lambda c: (-c[1], c[0]))]
+    many = len(names) + 1
+    counts, ends = [Counter() for _ in range(many)], [0] * many
+    for i, t, lang in rows:
+        if not _held(i):
+            counts[names.index(lang)].update(words(t))
+            ends[names.index(lang)] += 1
+    share = (sum(ends) + .5) / (sum(ends) + sum(sum(c.values()) for c in counts) + 1)
+    prior = [(e + .5) / (sum(ends) + .5 * many) for e in ends]
+    tokens = [sum(c.values()) + e for c, e in zip(counts, ends, strict=True)]
+    distinct = [len(c) + (e > 0) for c, e in zip(counts, ends, strict=True)]
+    everywhere = sum(counts, Counter())
+
+    def word(w, k):
+        lattices = [math.exp(log10(w, p) * math.log(10)) * (1 - share) for p in fitted]
+        whole = (max(everywhere[w] - .75, 0) + (.75 * (len(everywhere) + 1) + 1) * sum(
+            p * x for p, x in zip(prior, lattices, strict=True))) / (sum(tokens) + 1)
+        q = .9 * lattices[k] + .1 * whole
+        return math.log10((max(counts[k][w] - .75, 0) + (.75 * distinct[k] + 1) * q) / (tokens[k] + 1))
+
+    def document(t, k):
+        end = (max(ends[k] - .75, 0) + (.75 * distinct[k] + 1) * share) / (tokens[k] + 1)
+        return math.log10(prior[k]) + math.log10(end) + sum(word(w, k) for w in words(t))
+
+    return {i: math.log10(sum(10 ** document(t, k) for k in range(many))) for i, t, _ in rows}
+
+
+def _held(i):
+    return zlib.crc32(str(i).encode()) % 5 == 1
+
+
+def test_lattice_scores_of_words_that_classes_share(spark, monkeypatch):
+    fits = []
+    fit = lattice.fit_pieces
+    monkeypatch.setattr(lattice, "fit_pieces", lambda *a: fits.append(fit(*a)) or fits[-1])
+    texts = {"de": ["der hund bellt laut", "das haus paris", "ein hund"], "fr": ["le chien", "la maison paris paris", "un garage"]}
+    rows = [(10 * j + 2 * k + n, t, lang) for j in range(4) for k, (lang, ts) in enumerate(texts.items())
+            for n, t in enumerate(ts[j % 3].split(" : "))] + [(101, "garage hund unbekannt", "de"), (102, "le hund garage", "fr")]
+    assert len({_held(i) for i, _, _ in rows}) == 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.score for r in lattice.lattice_scores(frame).collect()}
+    wanted = _lattice_wanted(rows, fits[0], lambda w, p: _plain(w.encode(), p) / math.log(10))
+    assert found == pytest.approx(wanted, abs=1e-6)
+
+
+def _plain(word, pieces):
+    """The forward recursion, a word and a place at a time."""
+    number = {s: i for i, s in enumerate(pieces.strings)}
+    forward = [0.0]
+    for j in range(1, len(word) + 1):
+        terms = []
+        for n in range(1, min(lattice.LONGEST, j) + 1):
+            if (i := number.get(word[j - n:j])) is not None:
+                terms.append(forward[j - n] + (pieces.further[i] if n < j else np.logaddexp(
+                    pieces.first[i], pieces.bare + pieces.further[i])))
+        top = max(terms)
+        forward.append(top + math.log(sum(math.exp(t - top) for t in terms)))
+    return forward[-1] + pieces.stop
+
+
 def test_lattice_beats_the_base_on_held_out_documents(spark):
     found = [r for r in entry.queries()["op10_lattice_likelihood"](spark, "/root/testdata/sf0.1").collect() if r.held_out]
     assert sum(r.score for r in found) > sum(r.base_score for r in found)
