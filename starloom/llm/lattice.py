@@ -329,14 +329,20 @@ class Corpus:
         return np.log10((np.maximum(self.class_ends - DISCOUNT, 0) + own * share) / (self.class_tokens + 1))
 
     def words(self, counts: np.ndarray, lattices: np.ndarray) -> np.ndarray:
-        """log10 probability of words (rows) in each class from counts and probabilities of the lattices."""
+        """log10 probability of words (rows) in each class from counts and logarithms of the lattices.
+
+        All of it is a sum of logarithms, so a word may be as long and as unlikely as it is.
+        """
         share = (self.ends + 0.5) / (self.tokens + 1)
-        lattices = lattices * (1 - share)
-        known = np.maximum(counts.sum(axis=1) - DISCOUNT, 0)
-        whole = (known + (DISCOUNT * self.distinct + 1) * (lattices @ self.shares())) / (self.tokens + 1)
-        own = DISCOUNT * self.class_distinct + 1
-        q = OWN * lattices + (1 - OWN) * whole[:, None]
-        return np.log10(np.maximum((np.maximum(counts - DISCOUNT, 0) + own * q) / (self.class_tokens + 1), 1e-300))
+        lattices = lattices + np.log(1 - share)
+        with np.errstate(divide="ignore"):
+            known = np.log(np.maximum(counts.sum(axis=1) - DISCOUNT, 0))
+            mine = np.log(np.maximum(counts - DISCOUNT, 0))
+        everywhere = np.logaddexp(known, np.log(DISCOUNT * self.distinct + 1) + _log_sum(lattices + np.log(self.shares())))
+        whole = everywhere - np.log(self.tokens + 1)
+        q = np.logaddexp(np.log(OWN) + lattices, np.log(1 - OWN) + whole[:, None])
+        own = np.log(DISCOUNT * self.class_distinct + 1)
+        return (np.logaddexp(mine, own + q) - np.log(self.class_tokens + 1)) / np.log(10)
 
 
 def _classes(named: DataFrame, class_col: str | None, classes: int) -> list:
@@ -380,7 +386,7 @@ def lattice_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def score_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for portion in _words_in_portions(batches):
             word, counts = portion["word"].to_numpy(), portion[counted].to_numpy()
-            lattices = np.exp(class_scores(list(word), fitted))
+            lattices = class_scores(list(word), fitted)
             yield pd.DataFrame({"word": word, "n": portion["n"], "base": corpus.base(portion["n"].to_numpy()),
                                 "scores": list(corpus.words(counts, lattices))})
 

@@ -253,6 +253,33 @@ def _plain(word, pieces):
     return forward[-1] + pieces.stop
 
 
+def test_lattice_scores_of_a_very_long_word(spark, monkeypatch):
+    fits = []
+    fit = lattice.fit_pieces
+    monkeypatch.setattr(lattice, "fit_pieces", lambda *a: fits.append(fit(*a)) or fits[-1])
+    held = next(i for i in range(100) if _held(i))
+    word = "".join(chr(97 + k * k * 7919 % 26) for k in range(5000))
+    rows = [(i, "some words to learn from", "en") for i in range(8) if not _held(i)]
+    frame = spark.createDataFrame([*rows, (held, word, "en")], "doc_id long, text string, lang string")
+    found = next(r.score for r in lattice.lattice_scores(frame).collect() if r.held_out)
+    n, distinct, ends = 6 * len(rows), 6, len(rows)
+    n0, share, prior = 0, (ends + .5) / (n + 1), np.array([ends + .5, .5]) / (ends + 1)
+    logs = np.array([_plain(word.encode(), p) for p in fits[0]]) + math.log(1 - share)
+    whole = math.log(.75 * distinct + 1) + np.logaddexp(*(logs + np.log(prior))) - math.log(n + 1)
+    q = np.logaddexp(math.log(.9) + logs, math.log(.1) + whole)
+    own = np.array([.75 * distinct + 1, 1.0])
+    end = (np.array([ends - .75, 0]) + own * share) / np.array([n + 1, n0 + 1])
+    each = np.log(prior) + np.log(end) + np.log(own) + q - np.log([n + 1, n0 + 1])
+    assert found < -1000
+    assert found == pytest.approx(np.logaddexp(*each) / math.log(10), rel=1e-9)
+
+
+def test_class_scores_of_a_word_in_several_portions():
+    pieces = lattice.read_pieces(lattice.VOCABULARY)
+    word = bytes(97 + k * k * 7919 % 26 for k in range(40_000))
+    assert lattice.class_scores([word], [pieces, pieces])[0].tolist() == pytest.approx([_plain(word, pieces)] * 2)
+
+
 def test_lattice_beats_the_base_on_held_out_documents(spark):
     found = [r for r in entry.queries()["op10_lattice_likelihood"](spark, "/root/testdata/sf0.1").collect() if r.held_out]
     assert sum(r.score for r in found) > sum(r.base_score for r in found)
