@@ -6,7 +6,8 @@ x with home h and another centre c, y within the angle d of x can only be nearer
 sin(d)|h - c|; as y lies in no special direction, the bound used is ``REACH`` deviations of tan(d)|h - c|/sqrt(dims),
 and the full bound with ``reach=None``. Identical vectors are one class that is compared once. A cell is cut into
 blocks of bounded size and each pair of blocks is a matrix product; it gives the number of links of each vector and,
-for each vector, the smallest one it is connected to, never the pairs themselves.
+for each vector, the smallest one it is connected to, never the pairs themselves. Vectors of each length have cells of
+their own.
 """
 
 from __future__ import annotations
@@ -105,7 +106,7 @@ def _connected(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
 
 
 def _compare(batches: Iterator[pd.DataFrame], cosine: float) -> Iterator[pd.DataFrame]:
-    for group in _groups(batches, ["cell", "one", "other"]):
+    for group in _groups(batches, ["size", "cell", "one", "other"]):
         group = group.sort_values(["node", "side"], kind="stable")
         side, node, weight = (group[c].to_numpy() for c in ("side", "node", "weight"))
         units = _matrix(group["vector"])
@@ -131,25 +132,20 @@ def near_vector_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: st
     """A row per vector: ``vec_id, n_links, component_id, kept``.
 
     Vectors are linked if their cosine in double precision is at least ``cosine``. One that is NULL, empty, zero or
-    holds a NULL or a number that is not finite is linked with nothing, and so is one whose length is not the most
-    frequent length, or whose identifier is NULL. ``n_links`` counts other rows, repeated ones too. The smallest
+    holds a NULL or a number that is not finite is linked with nothing, and so is one whose
+    identifier is NULL. Only vectors of equal length can be linked. ``n_links`` counts other rows, repeated ones too. The smallest
     identifier of a component is kept; rows that share an identifier count as one member. An empty table gives an
     empty result; other columns are ignored.
     """
     named = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector"))
     clean = stage(named.mapInPandas(_clean, "vec_id long, vector binary"), "vectors")
-    usual = clean.where("vector IS NOT NULL").groupBy(F.length("vector").alias("n")).count().orderBy(
-        F.col("count").desc(), "n").first()
-    if usual is None:
-        return clean.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                            F.lit(True).alias("kept"))
     classes = stage(
-        clean.where((F.length("vector") == usual["n"]) & F.col("vec_id").isNotNull())
+        clean.where("vector IS NOT NULL AND vec_id IS NOT NULL")
         .groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight")), "classes")
     count = classes.count()
     sample = hash_sample(classes, "node", count, SAMPLE_VECTORS).select("vector").toPandas()["vector"]
     if count:
-        partial = _partials(classes, _matrix(sample), count, cosine, per_cell, reach)
+        partial = _partials(classes, sample, count, cosine, per_cell, reach)
     else:
         partial = clean.sparkSession.createDataFrame([], "node long, links long, least long")
     partial = stage(partial, "links")
@@ -165,28 +161,36 @@ def near_vector_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: st
                         component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
 
 
-def _partials(classes: DataFrame, sample: np.ndarray, count: int, cosine: float, per_cell: int,
+def _partials(classes: DataFrame, sample: pd.Series, count: int, cosine: float, per_cell: int,
               reach: float | None) -> DataFrame:
     """A row for each vector and pair of blocks in which it has links."""
-    centres = fit_centres(sample, int(min(MOST_CELLS, max(1, -(-count // per_cell)))))
+    # Centres for each length in the sample, in proportion; a length that is too rare for it is one cell.
+    cells, centres = min(MOST_CELLS, max(1, -(-count // per_cell))), {}
+    for size, own in sample.groupby(sample.map(len)):
+        centres[size] = fit_centres(_matrix(own), -(-cells * len(own) // len(sample)))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            home, visits = visited_cells(_matrix(batch["vector"]), centres, cosine, reach)
-            row, cell = np.nonzero(visits)
-            row, cell = np.concatenate([np.arange(len(batch)), row]), np.concatenate([home, cell])
-            out = batch.iloc[row].assign(cell=cell.astype("int32"), guest=np.arange(len(row)) >= len(batch))
-            yield out[["cell", "guest", "node", "weight", "vector"]]
+            for size, own in batch.groupby(batch["vector"].map(len)):
+                if size in centres:
+                    home, visits = visited_cells(_matrix(own["vector"]), centres[size], cosine, reach)
+                else:
+                    home, visits = np.zeros(len(own), dtype=np.int64), np.zeros((len(own), 1), dtype=bool)
+                row, cell = np.nonzero(visits)
+                row, cell = np.concatenate([np.arange(len(own)), row]), np.concatenate([home, cell])
+                out = own.iloc[row].assign(size=size, cell=cell.astype("int32"), guest=np.arange(len(row)) >= len(own))
+                yield out[["size", "cell", "guest", "node", "weight", "vector"]]
 
     placed = stage(classes.mapInPandas(
-        assign, "cell int, guest boolean, node long, weight long, vector binary"), "cells")
-    # Two rows per cell at most; the number of cells is bounded.
-    blocks = placed.groupBy("cell").agg(
+        assign, "size int, cell int, guest boolean, node long, weight long, vector binary"), "cells")
+    # A row per cell; their number is bounded but for the rare lengths, of which any input has few (n lengths take n^2 / 2
+    # numbers).
+    blocks = placed.groupBy("size", "cell").agg(
         F.ceil(F.sum(F.when(~F.col("guest"), 1).otherwise(0)) / BLOCK).cast("int").alias("homes"),
         F.ceil(F.sum(F.when(F.col("guest"), 1).otherwise(0)) / BLOCK).cast("int").alias("guests"))
-    cut = placed.join(F.broadcast(blocks), "cell").where("homes > 0")
+    cut = placed.join(F.broadcast(blocks), ["size", "cell"]).where("homes > 0")
     own = F.pmod(F.xxhash64("node"), F.when(F.col("guest"), F.col("guests")).otherwise(F.col("homes"))).cast("int")
     cut = cut.withColumn("own", own)
     # Blocks of guests are numbered after those of the cell's own vectors.
@@ -195,8 +199,8 @@ def _partials(classes: DataFrame, sample: np.ndarray, count: int, cosine: float,
     guests = cut.where("guest").withColumn("own", F.col("own") + F.col("homes")).withColumn(
         "with", F.explode(F.sequence(F.lit(0), F.col("homes") - 1)))
     dealt = at_home.unionByName(guests).select(
-        "cell", F.least("own", "with").alias("one"), F.greatest("own", "with").alias("other"),
+        "size", "cell", F.least("own", "with").alias("one"), F.greatest("own", "with").alias("other"),
         F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"), "node", "weight", "vector")
     return (
-        dealt.repartition("cell", "one", "other").sortWithinPartitions("cell", "one", "other")
+        dealt.repartition("size", "cell", "one", "other").sortWithinPartitions("size", "cell", "one", "other")
         .mapInPandas(lambda batches: _compare(batches, cosine), "node long, links long, least long"))

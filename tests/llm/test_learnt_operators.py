@@ -107,6 +107,26 @@ def test_vectors_against_brute_force(spark, monkeypatch, block, per_cell):
     assert [tuple(r) for r in near_vectors.near_vector_links(frame.where("vec_id = 500")).collect()] == [(500, 0, 500, True)]
 
 
+@pytest.mark.parametrize("sampled", [20_000, 40])
+def test_vectors_of_several_lengths(spark, monkeypatch, sampled):
+    monkeypatch.setattr(near_vectors, "SAMPLE_VECTORS", sampled)
+    r, rows = np.random.default_rng(6), []
+    for size, many in ((16, 60), (8, 40), (5, 3)):
+        base = r.normal(size=(20, size))
+        rows += [(1000 * size + i, (base[i % 20] * (1 + i // 20) + r.normal(size=size) * 0.05).tolist()) for i in range(many)]
+    rows += [(9000 + i, [1.0, 2.0, float(i // 2)]) for i in range(4)]
+    good = {i: np.array(v) for i, v in rows}
+    linked = [(i, j) for i in good for j in good if i < j and len(good[i]) == len(good[j])
+              and good[i] @ good[j] / np.linalg.norm(good[i]) / np.linalg.norm(good[j]) >= 0.95]
+    name, n = components(good, linked), dict.fromkeys(good, 0)
+    for pair in linked:
+        for i in pair:
+            n[i] += 1
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = near_vectors.near_vector_links(frame, per_cell=15, reach=None)
+    assert sorted(map(tuple, found.collect())) == sorted((i, n[i], name[i], name[i] == i) for i in good)
+
+
 def test_vectors_recall_with_the_narrow_reach(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     x = np.array([v for v in table.toPandas().embedding], dtype=float)
