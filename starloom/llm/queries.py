@@ -3,6 +3,7 @@
 from starloom.llm import (  # noqa: F401
     q_exact,
     q_lattice,
+    q_line_runs,
     q_main_text,
     q_near_text,
     q_packing,
