@@ -10,6 +10,7 @@ from starloom.llm import (  # noqa: F401
     q_pieces,
     q_quality,
     q_rollup,
+    q_token_align,
     q_toxicity,
     q_vectors,
 )
