@@ -1,6 +1,7 @@
 """All queries of the subpackage."""
 
 from starloom.llm import (  # noqa: F401
+    q_blocked_search,
     q_exact,
     q_lattice,
     q_line_runs,
