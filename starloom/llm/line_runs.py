@@ -103,12 +103,13 @@ class LineRuns:
     def add(self, keys: DataFrame) -> None:
         """Take up a batch of ``line_keys``."""
         new = _states(keys, self.least_docs)
-        for run in self.runs():  # a key that many documents hold is settled, unless the batch brings a larger one
-            old = run.where(F.size("_docs") == self.least_docs).select(
-                *[F.col(k).alias(f"_run{k}") for k in _KEY], F.element_at("_docs", -1).alias("_least"))
-            same = [F.col(k) == F.col(f"_run{k}") for k in _KEY]
-            settled = reduce(Column.__and__, same) & (F.col("_least") >= F.element_at("_docs", 1))
-            new = new.join(old, settled, "left_anti")
+        for run in self.runs():
+            # A key is settled if the batch has no identifier that belongs among the largest and isn't there.
+            least = F.when(F.size("_docs") == self.least_docs, F.element_at("_docs", -1)).otherwise(_NO_ID)
+            old = run.select(*[F.col(k).alias(f"_run{k}") for k in _KEY], F.col("_docs").alias("_old"), least.alias("_least"))
+            same = reduce(Column.__and__, [F.col(k) == F.col(f"_run{k}") for k in _KEY])
+            larger = F.filter("_docs", lambda i: i >= F.col("_least"))
+            new = new.join(old, same & (F.size(F.array_except(larger, "_old")) == 0), "left_anti")
         self._write(new, 0)
         level = 0
         while len(self.levels.get(level, ())) >= self.fanout:
