@@ -30,8 +30,10 @@ PIECES_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 # Characters that are encoded at once: an encoding takes some hundred bytes a token.
 PORTION = 500_000
-# Neither tokenizer has a token over a single space between two words.
+# Neither tokenizer has a token over a single space between two words, so what lies between is encoded by itself.
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+# Words that a worker remembers; only the speed depends on them.
+_KEPT, _KEPT_LENGTH = 300_000, 64
 
 
 def _byte_of_sign() -> dict[str, int]:
@@ -59,6 +61,8 @@ class Pair:
                         for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(x) for x in table], dtype=np.int64)
                                     for table in (self.bytes_a, self.bytes_b))
+        self.words_a: dict[str, bytes] = {}
+        self.words_b: dict[str, bytes] = {}
         self.cuts_at_spaces = not any("▁" in p.lstrip("▁") for p in pieces)
         names_a, names_b = [b"%d" % i for i in range(len(self.bytes_a))], [b"%d" % i for i in range(len(pieces))]
         # By code: a token of A within its group, the last one; a token of B within, the last one.
@@ -76,16 +80,56 @@ class Pair:
             at = cut.end()
         return [*found, text[at:]]
 
+    def _encoded(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both, or None where the tokens' bytes are not those of a space and the text."""
+        data = f" {text}".encode()
+        a = self.a.encode_batch_fast([f" {text}"], add_special_tokens=False)[0].ids
+        b = self.b.encode(text)
+        same = (b"".join(map(self.bytes_a.__getitem__, a)) == data
+                and b"".join(map(self.bytes_b.__getitem__, b)) == data)
+        return (np.array(a, dtype="<i4"), np.array(b, dtype="<i4")) if same else None
+
+    def _learn(self, words: list[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Ids of each word as bytes, of A and of B; a word without tokens is in neither."""
+        found = self._encoded(" ".join(words))
+        if found is None and len(words) > 1:  # halved until the words that are changed stand alone
+            half = len(words) // 2
+            (a, b), (c, d) = self._learn(words[:half]), self._learn(words[half:])
+            return a | c, b | d
+        if found is None:
+            return {}, {}
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        out = []
+        for ids, size in zip(found, (self.size_a, self.size_b), strict=True):
+            to = np.searchsorted(np.cumsum(size[ids]), ends, side="right").tolist()
+            data, at = ids.tobytes(), [0, *to[:-1]]
+            out.append({w: data[4 * i:4 * j] for w, i, j in zip(words, at, to, strict=True)})
+        return out[0], out[1]
+
     def tokens(self, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both for each part, or None where the tokens' bytes are not those of a space and the part."""
-        spaced = [" " + p for p in parts]
-        with_a = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-        with_b = self.b.encode(parts, num_threads=1)
-        for text, found, b in zip(spaced, with_a, with_b, strict=True):
-            a, data = found.ids, text.encode()
-            same = (b"".join(map(self.bytes_a.__getitem__, a)) == data
-                    and b"".join(map(self.bytes_b.__getitem__, b)) == data)
-            yield (np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)) if same else None
+        if not self.cuts_at_spaces:
+            yield from map(self._encoded, parts)
+            return
+        split = [_BETWEEN.split(p) for p in parts]
+        if len(self.words_a) > _KEPT:
+            self.words_a.clear()
+            self.words_b.clear()
+        new = list({w for words in split for w in words if w not in self.words_a})
+        learnt = self._learn(new) if new else ({}, {})
+        for known, some in zip((self.words_a, self.words_b), learnt, strict=True):
+            known |= some
+        for words in split:
+            try:
+                a, b = (b"".join(map(known.__getitem__, words)) for known in (self.words_a, self.words_b))
+            except KeyError:  # a word that one of them changes
+                yield None
+            else:
+                yield np.frombuffer(a, dtype="<i4").astype(np.int64), np.frombuffer(b, dtype="<i4").astype(np.int64)
+        for word in new:
+            if len(word) > _KEPT_LENGTH:
+                for known in (self.words_a, self.words_b):
+                    known.pop(word, None)
 
 
 @lru_cache(maxsize=2)
