@@ -115,10 +115,12 @@ class Pair:
         if len(self.words_a) > _KEPT:
             self.words_a.clear()
             self.words_b.clear()
-        new = list({w for words in split for w in words if w not in self.words_a})
-        learnt = self._learn(new) if new else ({}, {})
-        for known, some in zip((self.words_a, self.words_b), learnt, strict=True):
-            known |= some
+        new = list(set().union(*split).difference(self.words_a))
+        # White space at the ends of a text would meet the space that joins words.
+        alone = [w for w in new if w != w.strip()]
+        for some in (*([w] for w in alone), [w for w in new if w == w.strip()]):
+            for known, found in zip((self.words_a, self.words_b), self._learn(some) if some else (), strict=False):
+                known |= found
         for words in split:
             try:
                 a, b = (b"".join(map(known.__getitem__, words)) for known in (self.words_a, self.words_b))

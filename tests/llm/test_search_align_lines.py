@@ -152,7 +152,8 @@ def aligned_brute(given):
 @pytest.mark.parametrize("portion", [60, token_align.PORTION])
 def test_alignment_equals_brute_force(spark, rows, monkeypatch, portion):
     monkeypatch.setattr(token_align, "PORTION", portion)
-    given = [*enumerate([*ODD, *OTHER_WHITE, "a▁b", "<|endoftext|> <s> </s> tail", "  two  spaces ", "don't we'll\n\n\nx"])]
+    given = [*enumerate([*ODD, *OTHER_WHITE, "a▁b", "<|endoftext|> <s> </s> tail", "  two  spaces ", "don't we'll\n\n\nx", "ends here \n",
+                          " \n begins", "x  \n\n", "  ", "\n x", "end\n"])]
     given += [(None, "no name"), (1, "one again"), (1, "one again"), (90, "alpha beta gamma " * 300)]
     # Texts are encoded in this process, so that the portion that was set is the one in use.
     pair = pair_of(token_align.BYTES_VOCABULARY, token_align.PIECES_VOCABULARY)
