@@ -272,8 +272,9 @@ def _bounds(batches: Iterator[pa.RecordBatch], step: np.ndarray, queries: list[n
             ["cell", "number", "query", "bound"])
 
 
-def _score(blocks: pa.Table, docs: pa.Table, weights: Weights, queries: list[np.ndarray], best: int) -> pa.Table:
-    """The best documents of a cell for each query among the blocks that were not skipped."""
+def _score(blocks: pa.Table, docs: pa.Table, weights: Weights, queries: list[np.ndarray], best: int,
+           least: list[int]) -> pa.Table:
+    """The best documents of a cell for each query that reach its threshold, among the blocks that were not skipped."""
     none = pa.table({"query": pa.nulls(0, pa.int32()), "doc_id": pa.nulls(0, pa.int64()), "score": pa.nulls(0, pa.int64())})
     if not blocks.num_rows:
         return none
@@ -297,7 +298,7 @@ def _score(blocks: pa.Table, docs: pa.Table, weights: Weights, queries: list[np.
             mine = slice(edges[term], edges[term + 1])
             some = wanted[q][row[mine]]
             total[row[mine][some]] += parts[mine][some]  # a document is in a list once
-        found = np.flatnonzero(total > 0)
+        found = np.flatnonzero(total >= least[q])
         found = found[np.lexsort((ids[found], -total[found]))[:best]]
         query.append(np.full(len(found), q))
         doc.append(found)
@@ -338,13 +339,16 @@ class BlockIndex:
         return self.blocks.select("cell", "number", "term", "summary").mapInArrow(
             lambda b: _bounds(b, step, queries), "cell long, number int, query int, bound long")
 
-    def score(self, chosen: DataFrame, queries: list[np.ndarray], best: int) -> DataFrame:
-        """``query, doc_id, score, rank``: the best documents in the chosen blocks (``cell, number, query``)."""
-        weights = self.weights
+    def score(self, chosen: DataFrame, queries: list[np.ndarray], best: int, least: list[int] | None = None) -> DataFrame:
+        """``query, doc_id, score, rank``: the best documents in the chosen blocks (``cell, number, query``).
+
+        ``least`` has the score each query asks for, 1 if not given.
+        """
+        weights, least = self.weights, least or [1] * len(queries)
         asked = chosen.groupBy("cell", "number").agg(F.collect_set("query").alias("queries"))  # at most a turn's
         blocks = self.blocks.select("cell", "number", "members").join(asked, ["cell", "number"])
         found = blocks.groupBy("cell").cogroup(self.documents.groupBy("cell")).applyInArrow(
-            lambda b, d: _score(b, d, weights, queries, best), "query int, doc_id long, score long")
+            lambda b, d: _score(b, d, weights, queries, best, least), "query int, doc_id long, score long")
         rank = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
         return found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= best)
 
@@ -355,8 +359,9 @@ class BlockIndex:
         first = bounds.withColumn("place", F.row_number().over(place)).where(F.col("place") <= first_blocks)
         at_best = self.score(first, queries, best).where(F.col("rank") == best)
         threshold = {r["query"]: r["score"] for r in at_best.collect()}  # one per query of the turn
-        least = F.element_at(F.array(*[F.lit(int(threshold.get(q, 1))) for q in range(len(queries))]), F.col("query") + 1)
-        return self.score(bounds.where(F.col("bound") >= least), queries, best)
+        least = [threshold.get(q, 1) for q in range(len(queries))]
+        asked = F.element_at(F.array(*[F.lit(s).cast("long") for s in least]), F.col("query") + 1)
+        return self.score(bounds.where(F.col("bound") >= asked), queries, best, least)
 
 
 def _schema(df: DataFrame) -> str:
