@@ -32,6 +32,10 @@ def fill_defaults(df: DataFrame, defaults: Mapping) -> DataFrame:
     )
 
 
+# Text that is a whole number as it stands; a cast of any other text would raise and catch an error for each row.
+WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+
+
 def soft_cast(value: Column, source: DataType, target: DataType) -> Column:
     """Cast that gives NULL instead of an error, in any ANSI setting.
 
@@ -42,8 +46,9 @@ def soft_cast(value: Column, source: DataType, target: DataType) -> Column:
     if source == target:
         return value
     if isinstance(target, IntegralType) and not isinstance(source, IntegralType):
-        direct = value.try_cast(target)
-        return F.coalesce(direct, value.try_cast(DoubleType()).try_cast(target)) if isinstance(source, StringType) else direct
+        if not isinstance(source, StringType):
+            return value.try_cast(target)
+        return F.when(value.rlike(WHOLE), value.try_cast(target)).otherwise(value.try_cast(DoubleType()).try_cast(target))
     if isinstance(target, StringType) and isinstance(source, DoubleType):
         whole = value.try_cast("bigint")
         return F.when(whole.cast("double") == value, whole.cast("string")).otherwise(value.cast("string"))
@@ -55,6 +60,8 @@ def exact_cast(value: Column, source: DataType, target: DataType) -> Column:
     if source == target:
         return value
     cast = value.try_cast(target)
+    if isinstance(source, StringType) and isinstance(target, IntegralType):
+        return F.when(value.rlike(WHOLE), cast)
     if isinstance(source, StringType) or isinstance(target, StringType):
         return cast
     return F.when(cast.try_cast(source) == value, cast)

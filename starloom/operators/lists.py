@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -63,13 +63,14 @@ def concat_frames(frames: Sequence[DataFrame]) -> DataFrame:
 def with_unknown_row(df: DataFrame, values: dict, key: str | None = None) -> DataFrame:
     """``df`` plus one row of ``values``; other columns are NULL in it.
 
-    With ``key`` the row is added only if ``df`` has no row with that key, so the
-    key stays unique; ``df`` is then read twice.
+    With ``key`` the row is left out if ``df`` has a row with that key, so the key stays unique.
     """
     spark = df.sparkSession
     row = spark.range(1).select(
         *(F.lit(values.get(field.name)).cast(field.dataType).alias(field.name) for field in df.schema)
     )
-    if key is not None:
-        row = row.join(df.where(F.col(key) == F.lit(values[key])).select(key).limit(1), key, "left_anti").select(*df.columns)
-    return row.unionByName(df)
+    if key is None:
+        return row.unionByName(df)
+    both = row.withColumn("__added", F.lit(True)).unionByName(df.withColumn("__added", F.lit(False)))
+    alone = F.every("__added").over(Window.partitionBy(key))
+    return both.withColumn("__alone", alone).where(~F.col("__added") | F.col("__alone")).select(*df.columns)

@@ -30,6 +30,10 @@ class Model:
         setattr(self, name, df)
         return df
 
+    def summed(self, *columns: str) -> DataFrame:
+        """A table from which people can be summed by the columns, or filtered: the fact, unless sums are kept."""
+        return self.i94
+
 
 def people_by(fact: DataFrame, *keys: str | Column, out: str = "people") -> DataFrame:
     """People per key."""
@@ -44,7 +48,7 @@ def with_share(df: DataFrame, measure: str, out: str, digits: int = 2) -> DataFr
 
 def by_citizenship(model: Model) -> DataFrame:
     """People by continent and country of citizenship."""
-    people = people_by(model.i94, "cit_country_id")
+    people = people_by(model.summed("cit_country_id"), "cit_country_id")
     named = people.join(model.countries, people.cit_country_id == model.countries.country_id, "left")
     return (
         named.groupBy("continent_name", "country_name").agg(F.sum("people").alias("number_immigrants"))
@@ -60,7 +64,8 @@ def tourists_and_business(model: Model, country: str, states: Sequence[str]) ->
     """
     purposes = model.purpose.where(F.col("purpose_desc").isin("Business", "Pleasure"))
     people = people_by(
-        model.i94.where((F.col("res_country_id") == country) & F.col("state_id").isin(*states)),
+        model.summed("res_country_id", "state_id", "purpose_id").where(
+            (F.col("res_country_id") == country) & F.col("state_id").isin(*states)),
         "res_country_id", "state_id", "purpose_id", "month",
     )
     climate = model.temperature.select(
@@ -88,12 +93,12 @@ def tourists_and_business(model: Model, country: str, states: Sequence[str]) ->
 
 def by_month(model: Model, year: int) -> DataFrame:
     """People per month of one year; only the partitions of that year are read."""
-    return people_by(model.i94.where(F.col("year") == int(year)), "month").orderBy("month")
+    return people_by(model.summed().where(F.col("year") == int(year)), "month").orderBy("month")
 
 
 def by_state_month(model: Model) -> DataFrame:
     """People per state, year and month."""
-    people = people_by(model.i94, "state_id", "year", "month")
+    people = people_by(model.summed("state_id"), "state_id", "year", "month")
     return people.join(model.us_states, "state_id", "left").select(
         "state_id", "state_name", "year", "month", "people"
     ).orderBy("state_id", "year", "month")
@@ -101,7 +106,7 @@ def by_state_month(model: Model) -> DataFrame:
 
 def by_state(model: Model) -> DataFrame:
     """People per state of the first address."""
-    people = people_by(model.i94, "state_id")
+    people = people_by(model.summed("state_id"), "state_id")
     return people.join(model.us_states, "state_id", "left").select(
         "state_id", "state_name", "people"
     ).orderBy(F.desc("people"), "state_id")
@@ -109,13 +114,13 @@ def by_state(model: Model) -> DataFrame:
 
 def share_by_purpose(model: Model) -> DataFrame:
     """People and share per purpose."""
-    shares = with_share(people_by(model.i94, "purpose_id"), "people", "share")
+    shares = with_share(people_by(model.summed("purpose_id"), "purpose_id"), "people", "share")
     return shares.join(model.purpose, "purpose_id", "left").select("purpose_id", "purpose_desc", "people", "share")
 
 
 def share_by_mode(model: Model) -> DataFrame:
     """People and share per mode of travel."""
-    shares = with_share(people_by(model.i94, "mode_id"), "people", "share")
+    shares = with_share(people_by(model.summed("mode_id"), "mode_id"), "people", "share")
     return shares.join(model.mode, "mode_id", "left").select("mode_id", "mode_desc", "people", "share")
 
 
@@ -127,7 +132,7 @@ def age_gender(model: Model, width: int = 10) -> DataFrame:
 
 def share_of_value(model: Model, column: str, value) -> DataFrame:
     """One row: people with ``value`` in ``column``, all people, and the percentage."""
-    counted = model.i94.agg(
+    counted = model.summed(column).agg(
         sum_where(F.col(column) == F.lit(value), F.col("count")).alias("people"), F.sum("count").alias("total")
     )
     return counted.select("people", "total", percent(F.col("people"), F.col("total"), 2).alias("share"))
@@ -135,13 +140,13 @@ def share_of_value(model: Model, column: str, value) -> DataFrame:
 
 def top_visa(model: Model, k: int = 10) -> DataFrame:
     """The most frequent visa types."""
-    people = people_by(model.i94, "visa_id").join(model.visa_categories, "visa_id", "left")
+    people = people_by(model.summed("visa_id"), "visa_id").join(model.visa_categories, "visa_id", "left")
     return people.select("visa_id", "visa", "people").orderBy(F.desc("people"), "visa_id").limit(k)
 
 
 def weather_and_arrivals(model: Model) -> DataFrame:
     """Correlation, per country of residence, of monthly people with the mean temperature at home."""
-    people = people_by(model.i94, F.col("res_country_id").alias("country_id"), "month")
+    people = people_by(model.summed("res_country_id"), F.col("res_country_id").alias("country_id"), "month")
     return (
         people.join(model.temperature, ["country_id", "month"])
         .groupBy("country_id")

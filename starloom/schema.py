@@ -133,3 +133,16 @@ MODEL_TABLES = {
 PERIOD_TABLES = ("i94", "dates")
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 PERIOD_FILE = r"i94_([A-Za-z]{3})(\d{2})_sub"
+
+# Tables that a published model keeps beside those above. Counts of rows per date: by the period of the fact, and in
+# all by the period of the date. Sums of people by some keys of the fact, for queries that need no others.
+DATE_COUNTS = table("date DATE, rows LONG, year INT, month INT")
+SUMS = {
+    "sums_by_place": ("cit_country_id", "res_country_id", "state_id", "purpose_id"),
+    "sums_by_kind": ("mode_id", "purpose_id", "visa_id"),
+}
+PUBLISHED_TABLES = MODEL_TABLES | {"date_counts": DATE_COUNTS, "date_totals": DATE_COUNTS} | {
+    name: StructType([FACT[c] for c in keys] + [*table("count LONG"), FACT["year"], FACT["month"]])
+    for name, keys in SUMS.items()
+}
+PUBLISHED_PERIODS = (*PERIOD_TABLES, "date_counts", "date_totals", *SUMS)
