@@ -75,10 +75,10 @@ def match_names(
 
 
 def _pieces_fit(index: DataFrame, max_distance: int, limits: dict) -> bool:
-    """Whether all pieces and shortened forms of the names, each with its name, are few and short enough for a broadcast."""
+    """Whether all pieces and segments of the names, each with its name, are few and short enough for a broadcast."""
     length = F.length("__name").cast("double")
-    pieces = length * F.lit(_GRAM) + {0: F.lit(0), 1: length, 2: length * length}[max_distance] + F.lit(2)
-    width = F.octet_length("__name") * F.lit(1 if max_distance == 0 else 2) + F.lit(16)
+    pieces = length + F.lit(max_distance + 3)
+    width = F.octet_length("__name") + F.lit(16)
     found = index.agg(F.sum(pieces).alias("rows"), F.sum(pieces * width).alias("bytes")).first()
     return joins.is_small(found["rows"] or 0, found["bytes"] or 0, limits.get("broadcast_rows", joins.BROADCAST_ROWS))
 
@@ -102,16 +102,26 @@ def _contained(searched: DataFrame, index: DataFrame, limits: dict) -> DataFrame
     """Terms that are part of a name.
 
     A name contains a term only if it contains each three-letter piece of it, so
-    one piece finds all of them: the piece that the fewest names have. Shorter
-    terms are a piece themselves.
+    one piece finds all of them: the piece that the fewest names have. A shorter
+    term is a piece itself; of all names that hold it the best one is known
+    before the join, so it meets one row.
     """
     name, term = F.col("__name"), F.col("term")
-    pieces = index.select(
-        "*", F.explode(F.concat(*(F.coalesce(_grams(name, n), F.array().cast("array<string>"))
-                                  for n in range(1, _GRAM + 1)))).alias("piece")
-    )
-    own = F.coalesce(_grams(term, _GRAM), F.array(term))
-    offered = searched.withColumn("own", F.explode(own))
+
+    def points(part: Column) -> Column:
+        place = F.position(part, name) - 1
+        return F.greatest(F.lit(CONTAINED_LEAST), F.lit(CONTAINED_FIRST) - F.lit(CONTAINED_STEP) * place)
+
+    tiny = index.select("*", F.explode(F.concat(*(
+        F.coalesce(_grams(name, n), F.array().cast("array<string>")) for n in range(1, _GRAM)))).alias("piece"))
+    best = tiny.groupBy("piece").agg(F.min(F.struct((-points(F.col("piece"))).alias("less"), "__code")).alias("best"))
+    short = joins.join_on(searched.where(F.length(term) < _GRAM), best, {"term": "piece"}, "inner",
+                          right_is_unique=True, **limits)
+    short = short.select(*searched.columns, F.col("best.__code").alias("__code"), (-F.col("best.less")).alias("points"))
+
+    longer = searched.where(F.length(term) >= _GRAM)
+    pieces = index.select("*", F.explode(_grams(name, _GRAM)).alias("piece"))
+    offered = longer.withColumn("own", F.explode(_grams(term, _GRAM)))
     # Only pieces that some term offers are kept, once, for their count and for the join.
     wanted = offered.select(F.col("own").alias("__wanted")).distinct()
     pieces = stage(pieces.join(wanted, F.col("piece") == F.col("__wanted"), "left_semi"), "pieces")
@@ -125,38 +135,55 @@ def _contained(searched: DataFrame, index: DataFrame, limits: dict) -> DataFrame
         .where("missing = 0").drop("missing")
     )
     found = joins.join_on(rarest, pieces, {"own": "piece"}, "inner", **limits).drop("own")
-    place = F.position(term, name) - 1
-    points = F.greatest(F.lit(CONTAINED_LEAST), F.lit(CONTAINED_FIRST) - F.lit(CONTAINED_STEP) * place)
-    return found.where(place >= 0).withColumn("points", points).drop("__name")
+    found = found.where(F.contains(name, term)).withColumn("points", points(term)).drop("__name")
+    return found.unionByName(short)
+
 
+def _segment(length: Column, segments: int, i: int) -> tuple[Column, Column]:
+    """Where the ``i``-th of even segments of a word begins (from 0), and how long it is; the last ones are longer."""
+    size = F.floor(length / F.lit(segments)).cast("int")
+    longer = length % F.lit(segments)
+    return size * F.lit(i) + F.greatest(F.lit(0), longer - F.lit(segments - i)), (
+        size + F.when(longer >= F.lit(segments - i), 1).otherwise(0))
 
-def _shortened(word: Column, letters: int) -> Column:
-    """The word, and all words left when up to ``letters`` of its letters are taken out."""
-    def take_one(w: Column) -> Column:
-        places = F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1)))
-        return F.transform(places, lambda i: F.concat(F.substring(w, F.lit(1), i - 1),
-                                                      F.substring(w, i + 1, F.length(w))))
 
-    words = F.array(word)
-    for _ in range(letters):
-        words = F.array_distinct(F.concat(words, F.flatten(F.transform(words, take_one))))
-    return words
+def _named(i: int, length: Column, part: Column) -> Column:
+    """A segment with its number and the length of its name, as one number; what it finds is compared in full."""
+    return F.xxhash64(F.lit(i), length.cast("int"), part)
 
 
 def _misspelt(searched: DataFrame, index: DataFrame, distance: int, limits: dict) -> DataFrame:
     """Terms within ``distance`` edits of a name.
 
-    Two words that close have a word in common when up to ``distance`` letters
-    are taken out of each, so an equality join finds every pair.
+    A name is cut into one segment more than edits are allowed, so one of them is left as it is. It stands in the
+    term no further from its place than the edits before it allow, nor the rest of the term than those behind it. So
+    a term offers a number of substrings that depends on ``distance`` only, and an equality join finds every pair.
     """
-    left = searched.withColumn("part", F.explode(_shortened(F.col("term"), distance)))
-    right = index.withColumn("short", F.explode(_shortened(F.col("__name"), distance)))
-    edits = F.levenshtein(F.col("term"), F.col("__name"))
+    segments = distance + 1
+    name, term = F.col("__name"), F.col("term")
+    length, size = F.length(name), F.length(term)
+    cut = []
+    for i in range(segments):
+        start, width = _segment(length, segments, i)
+        cut.append(_named(i, length, F.substring(name, start + 1, width)))
+    offered = []
+    for longer in range(-distance, distance + 1):  # letters the term has more than the name
+        other = size - F.lit(longer)
+        for i in range(segments):
+            start, width = _segment(other, segments, i)
+            for shift in range(-distance, distance + 1):
+                if abs(shift) + abs(longer - shift) <= distance:
+                    at = start + F.lit(shift)
+                    inside = (other > 0) & (at >= 0) & (at + width <= size)
+                    offered.append(F.when(inside, _named(i, other, F.substring(term, at + 1, width))))
+    left = searched.withColumn("part", F.explode(F.array_distinct(F.array_compact(F.array(*offered)))))
+    right = index.withColumn("segment", F.explode(F.array(*cut)))
+    edits = F.levenshtein(F.col("term"), F.col("__name"), distance)  # -1 beyond the distance
     return (
-        joins.join_on(left, right, {"part": "short"}, "inner", **limits).drop("part")
-        .where((edits > 0) & (edits <= distance))
-        .withColumn("points", F.lit(SPELLING) - edits)
-        .drop("__name")
+        joins.join_on(left, right, {"part": "segment"}, "inner", **limits).drop("part")
+        .withColumn("__edits", edits).where("__edits > 0")
+        .withColumn("points", F.lit(SPELLING) - F.col("__edits"))
+        .drop("__name", "__edits")
     )
 
 

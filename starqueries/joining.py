@@ -126,6 +126,17 @@ def fuzzy_lookup(spark, sf_dir):
     )
 
 
+@query("fuzzy_two_edits", _FUZZY.replace(") <= 1 THEN", ") <= 2 THEN") + """
+    SELECT c_custkey, x_names.name AS name, coalesce(code, 'no match') AS country_id
+    FROM x_names LEFT JOIN best ON best.name = x_names.name AND place = 1""")
+def fuzzy_two_edits(spark, sf_dir):
+    """Names up to two letters off, found by the segments they leave as they are."""
+    return names.name_lookup(
+        view(spark, sf_dir, "x_names"), "name", nation_names(spark, sf_dir), "country_name", "country_id",
+        "country_id", no_match="no match", replacements=_ALIASES, max_distance=2,
+    )
+
+
 @query("match_part_names", """
     WITH words AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS word FROM part),
     scored AS (

@@ -1,5 +1,7 @@
 """Name matching against brute force over all pairs."""
 
+import random
+
 import pytest
 
 from starloom.operators import names
@@ -91,3 +93,31 @@ def test_long_names_are_not_broadcast(spark):
     searched = spark.createDataFrame([("bab7",), ("none",)], "n string")
     found = match_names(searched, "n", index, "__name", "__code", "c", passes=1)
     assert [tuple(r) for r in found.collect()] == [("bab7", 7)]
+
+
+def test_segments_find_every_pair_within_the_distance(spark, rows):
+    """Random short words over three letters, so that every kind of edit and many ties occur."""
+    r = random.Random(2)
+    words = ["".join(r.choice("abc") for _ in range(r.randrange(1, 9))) for _ in range(120)]
+    index = spark.createDataFrame([(w, i) for i, w in enumerate(words[:60])], "__name string, __code int")
+    searched = spark.createDataFrame([(w,) for w in set(words[60:])], "term string")
+    for distance in (1, 2):
+        found = names._misspelt(searched, index, distance, {}).distinct()
+        wanted = {(t, i, 4 - edits(t, w)) for t in set(words[60:]) for i, w in enumerate(words[:60])
+                  if 0 < edits(t, w) <= distance}
+        assert set(rows(found, "term", "__code", "points")) == wanted
+
+
+def test_a_very_long_name_offers_few_segments(spark):
+    long = "".join(chr(97 + i * i % 26) for i in range(5000))
+    near = long[:1000] + "#" + long[1000:4000] + long[4001:]
+    dim = spark.createDataFrame([("L", long), ("S", "short")], "code string, country string")
+    found = match_names(spark.createDataFrame([(near,), ("shrot",), ("s",)], "n string"), "n", dim, "country", "code", "c",
+                        passes=1, max_distance=2)
+    assert {r["n"]: r["c"] for r in found.collect()} == {near: "L", "shrot": "S", "s": "S"}
+
+
+def test_a_short_term_meets_one_row(spark):
+    dim = spark.range(5000).selectExpr("id AS code", "concat('name ', id, ' ab') AS country")
+    found = match_names(spark.createDataFrame([("ab",), ("n",), ("zz",)], "n string"), "n", dim, "country", "code", "c", passes=1)
+    assert {r["n"]: r["c"] for r in found.collect()} == {"ab": 0, "n": 0}
