@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom import schema
+from starloom import schema, sinks
 from starloom.operators import quality
 from starloom.plans import dimensions, fact
 from starloom.plans.analytics import Model
 from starloom.plans.load import LoadOptions, OtherPeriods, Staged
 from starloom.sources.tables import conform
-from starloom.versions import Change, Versions, period_part
+from starloom.versions import WHOLE, Change, Manifest, Versions, period_part
 
 
 def change_dimensions(change: Change, staged: Staged) -> None:
@@ -144,3 +145,62 @@ class PublishedModel(Model):
             if set(columns) <= {*keys, *schema.PERIOD}:
                 return getattr(self, name)
         return self.i94
+
+
+_SHOWN = "starloom.manifest"
+
+
+def register_published(versions: Versions, database: str | None = None, suffix: str = "") -> list[str]:
+    """Make the current version known to SQL and return the names of its tables.
+
+    Without ``database`` they become temporary views. With it they become external tables whose partitions lie in
+    the folders of their versions. A table notes the manifest it shows, so what two manifests differ in is what is
+    added, dropped or relocated; a table without a note, or of another root, is made anew.
+    """
+    spark, now = versions.spark, versions.current()
+    names = []
+    for table, kind in versions.tables.items():
+        if table not in now.parts:
+            continue
+        name = f"{table}{suffix}"
+        if database is None:
+            versions.read(table, now).createOrReplaceTempView(f"`{name}`")
+        else:
+            name = f"{database}.{name}"
+            for statement in _statements(versions, now, name, table, kind):
+                spark.sql(statement)
+            spark.catalog.refreshTable(name)
+        names.append(name)
+    return names
+
+
+def _statements(versions: Versions, now: Manifest, name: str, table: str, kind) -> list[str]:
+    spark, partitioned = versions.spark, table in versions.period_tables
+    note, root = f"'{_SHOWN}' = '{now.number}'", sinks.qualified(spark, versions.root)
+    folder = lambda part: f"{root}/v={now.of(table)[part]}/t={table}" + (f"/{part}" if part else "")
+    place = root if partitioned else folder(WHOLE)
+    before, statements = None, []
+    if spark.catalog.tableExists(name):
+        told = sinks.described(spark, name)
+        shown = re.search(rf"{re.escape(_SHOWN)}=(\d+)", told.get("Table Properties", ""))
+        if shown and told.get("Location", "").startswith(root) and spark.table(name).schema == kind:
+            before = versions.manifest(int(shown[1])) if versions.has(int(shown[1])) else None
+        if before is None:
+            statements.append(f"DROP TABLE {name}")
+    if before is None:
+        statements.append(sinks.create_table(name, kind, place, partitioned, f"TBLPROPERTIES ({note})"))
+        before = Manifest()
+    elif before.number == now.number:
+        return []
+    elif not partitioned and before.of(table) != now.of(table):
+        statements.append(f"ALTER TABLE {name} SET LOCATION '{place}'")
+    if partitioned:
+        for part in sorted({*before.of(table), *now.of(table)}):
+            old, new = before.of(table).get(part), now.of(table).get(part)
+            if old is None:
+                statements.append(f"ALTER TABLE {name} ADD IF NOT EXISTS {sinks.partition_spec(part)} LOCATION '{folder(part)}'")
+            elif new is None:
+                statements.append(f"ALTER TABLE {name} DROP IF EXISTS {sinks.partition_spec(part)}")
+            elif old != new:
+                statements.append(f"ALTER TABLE {name} {sinks.partition_spec(part)} SET LOCATION '{folder(part)}'")
+    return [*statements, f"ALTER TABLE {name} SET TBLPROPERTIES ({note})"]

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from starloom import schema
 from starloom.operators import joins
@@ -67,6 +68,70 @@ def append_missing(df: DataFrame, path: str, key: str, periods: Sequence[str] =
     new.hint("rebalance", *periods).write.mode("append").partitionBy(*periods).parquet(path)
 
 
+def _period_folders(spark: SparkSession, path: str) -> set[str]:
+    """Names of the period folders of a partitioned table, such as ``year=2016/month=4``."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/" + "/".join(f"{p}=*" for p in schema.PERIOD))
+    files = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {"/".join(str(s.getPath()).split("/")[-len(schema.PERIOD):]) for s in files.globStatus(found) or ()}
+
+
+def partition_spec(part: str) -> str:
+    """A period folder as the catalogue names it."""
+    pairs = (p.split("=", 1) for p in part.split("/"))
+    return "PARTITION (" + ", ".join(f"{k} = {'NULL' if v == '__HIVE_DEFAULT_PARTITION__' else v}" for k, v in pairs) + ")"
+
+
+def create_table(name: str, kind: StructType, location: str, partitioned: bool, properties: str = "") -> str:
+    """Statement for an external table over stored files."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind)
+    layout = f"PARTITIONED BY ({', '.join(schema.PERIOD)})" if partitioned else ""
+    return f"CREATE TABLE {name} ({columns}) USING parquet {layout} LOCATION '{location}' {properties}"
+
+
+def described(spark: SparkSession, name: str) -> dict[str, str]:
+    """What the catalogue says of a table beside its columns: location, properties and so on."""
+    rows = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    at = next(i for i, (key, _) in enumerate(rows) if key == "# Detailed Table Information")
+    return dict(rows[at + 1:])
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path in the form the catalogue keeps."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return str(found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(found))
+
+
+def catalog_difference(spark: SparkSession, name: str, kind: StructType, path: str, partitioned: bool) -> list[str]:
+    """Statements that bring a catalogued table in line with the files of ``path``; none if nothing changed.
+
+    A table of another place, or whose columns changed their type or went, is made anew (its files are external and
+    stay). New columns and partitions are added, partitions without a folder dropped, one by one: the partitions
+    that stay are not listed again.
+    """
+    folders = _period_folders(spark, path) if partitioned else set()
+    statements, there = [], set()
+    if spark.catalog.tableExists(name):
+        old = spark.table(name).schema
+        known, wanted = {f.name: f.dataType for f in old}, {f.name: f.dataType for f in kind}
+        same_place = described(spark, name).get("Location") == qualified(spark, path)
+        if same_place and all(wanted.get(c) == t for c, t in known.items()):
+            new = [f for f in kind if f.name not in known]
+            if new:
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+                statements.append(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+            if partitioned:
+                there = {r["partition"].replace("=null", "=__HIVE_DEFAULT_PARTITION__")
+                         for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        else:
+            statements += [f"DROP TABLE {name}", create_table(name, kind, path, partitioned)]
+    else:
+        statements.append(create_table(name, kind, path, partitioned))
+    added = [f"{partition_spec(p)} LOCATION '{path}/{p}'" for p in sorted(folders - there)]
+    statements += [f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added[i:i + 100])}" for i in range(0, len(added), 100)]
+    statements += [f"ALTER TABLE {name} DROP IF EXISTS {partition_spec(p)}" for p in sorted(there - folders)]
+    return statements
+
+
 def register_model(
     spark: SparkSession,
     root: str,
@@ -77,8 +142,7 @@ def register_model(
     """Make model tables known to SQL and return their names; tables that do not exist are left out.
 
     Without ``database`` they become temporary views. With it they become
-    external tables (a name that is taken already keeps its table), and
-    partitions that came or went since are noted.
+    external tables, changed only where files and catalogue differ.
     """
     names = []
     for table in tables:
@@ -94,12 +158,8 @@ def register_model(
             df.createOrReplaceTempView(f"`{name}`")
         else:
             name = f"{database}.{name}"
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-            partitioned = table in schema.PERIOD_TABLES
-            layout = f"PARTITIONED BY ({', '.join(schema.PERIOD)})" if partitioned else ""
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {layout} LOCATION '{path}'")
-            if partitioned:
-                spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+            for statement in catalog_difference(spark, name, df.schema, path, table in schema.PERIOD_TABLES):
+                spark.sql(statement)
             spark.catalog.refreshTable(name)
         names.append(name)
     return names

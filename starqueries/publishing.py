@@ -1,19 +1,23 @@
-"""Published versions of the model: checked before they are seen, dates that go, sums kept per period."""
+"""Published versions of the model: checked before they are seen, dates that go, sums kept per period; refused rows."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom import schema
+from starloom import schema, sinks
 from starloom.operators.quality import QualityGateFailed
 from starloom.plans import analytics
-from starloom.plans.publish import PublishedModel, publish_model, publish_period
+from starloom.plans.load import load_fact
+from starloom.plans.publish import PublishedModel, publish_model, publish_period, register_published
 from starloom.session import scratch_path
+from starloom.sources.quarantine import route
 from starloom.versions import Versions
 from starqueries import model
 from starqueries.registry import query
-from starqueries.standins import view
+from starqueries.standins import ctes, view
 
 _COLUMNS = ", ".join(f'"{c}"' for c in schema.FACT.names)
 _YEAR, _MONTH = 1995, 4
@@ -96,3 +100,69 @@ def by_state_month_from_sums(spark, sf_dir):
     FROM fact LEFT JOIN x_visa ON x_visa.visa_id = fact.visa_id GROUP BY 1, 2 ORDER BY people DESC, visa_id LIMIT 3""")
 def top_visa_from_sums(spark, sf_dir):
     return analytics.top_visa(PublishedModel(_published(spark, sf_dir)), 3)
+
+
+@query("register_new_root", model.fact_sql() + """
+    SELECT state_id, CAST(sum("count") AS BIGINT) AS people FROM fact GROUP BY state_id""")
+def register_new_root(spark, sf_dir):
+    """Tables registered over one model and then over another show the second one."""
+    first, second = scratch_path(spark, "first"), model.model_root(spark, sf_dir)
+    load_fact(view(spark, sf_dir, "x_extract").where("i94yr = 1995"), model.staged(spark, sf_dir), first)
+    spark.sql("CREATE DATABASE IF NOT EXISTS starloom_roots")
+    suffix = f"_{uuid.uuid4().hex}"
+    for root in (first, second):
+        sinks.register_model(spark, root, "starloom_roots", suffix)
+    return spark.sql(f"SELECT state_id, sum(count) AS people FROM starloom_roots.i94{suffix} GROUP BY state_id")
+
+
+@query("register_corrected_month", model.fact_sql() + f"""
+    SELECT year, month, count(*) AS n FROM fact
+    WHERE NOT (year = {_YEAR} AND month = {_MONTH}) OR cic_id % 2 = 0 GROUP BY 1, 2""")
+def register_corrected_month(spark, sf_dir):
+    """Catalogued tables of a published model follow a corrected month by one relocated partition."""
+    root, codes = scratch_path(spark, "followed"), model.staged(spark, sf_dir)
+    versions = publish_model(spark, view(spark, sf_dir, "x_extract"), codes, root)
+    spark.sql("CREATE DATABASE IF NOT EXISTS starloom_roots")
+    suffix = f"_{uuid.uuid4().hex}"
+    register_published(versions, "starloom_roots", suffix)
+    publish_period(spark, _month(spark, sf_dir).where("cast(cicid AS int) % 2 = 0"), codes, root, _YEAR, _MONTH)
+    register_published(versions, "starloom_roots", suffix)
+    return spark.sql(f"SELECT year, month, count(*) AS n FROM starloom_roots.i94{suffix} GROUP BY year, month")
+
+
+_REFUSED = f"""
+    WITH {ctes("x_extract")},
+    refused AS (
+        SELECT cicid, i94bir, i94visa, concat_ws('; ',
+                   CASE WHEN i94bir IS NOT NULL AND TRY_CAST(i94bir AS DOUBLE) IS NULL THEN 'i94bir: not int' END,
+                   CASE WHEN i94visa IS NULL THEN 'i94visa: missing' END) AS reasons
+        FROM x_extract)"""
+
+
+def _routed(spark, sf_dir):
+    return route(view(spark, sf_dir, "x_extract"), schema.EXTRACT, scratch_path(spark, "routed"), required=["i94visa"])
+
+
+@query("quarantine_rows", _REFUSED + " SELECT cicid, i94bir, i94visa, reasons FROM refused WHERE reasons <> ''")
+def quarantine_rows(spark, sf_dir):
+    """Rows with a value that does not fit, or without a required one, as they came and with the reasons."""
+    return _routed(spark, sf_dir).refused.select("cicid", "i94bir", "i94visa", F.concat_ws("; ", "reasons").alias("reasons"))
+
+
+@query("quarantine_counts", _REFUSED + """
+    SELECT 'accepted' AS reason, count(*) AS num_rows FROM refused WHERE reasons = ''
+    UNION ALL SELECT 'refused', count(*) FROM refused WHERE reasons <> ''
+    UNION ALL SELECT 'i94bir: not int', count(*) FROM refused WHERE contains(reasons, 'i94bir')
+    UNION ALL SELECT 'i94visa: missing', count(*) FROM refused WHERE contains(reasons, 'i94visa')""")
+def quarantine_counts(spark, sf_dir):
+    """Rows by reason, counted while they were written."""
+    return _routed(spark, sf_dir).report()
+
+
+@query("quarantine_accepted", f"""
+    WITH {ctes("x_extract")}, typed AS ({model.CONFORMED})
+    SELECT cicid, i94bir, i94visa, arrdate FROM typed JOIN (SELECT cicid AS c, i94bir AS b FROM x_extract) ON cicid = c
+    WHERE i94visa IS NOT NULL AND (b IS NULL OR i94bir IS NOT NULL)""")
+def quarantine_accepted(spark, sf_dir):
+    """The rows that fit, in the types of the extract."""
+    return _routed(spark, sf_dir).accepted.select("cicid", "i94bir", "i94visa", "arrdate")
