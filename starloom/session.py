@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,6 +23,8 @@ SETTINGS = {
 }
 
 
+BATCH_BYTES = 8 << 20
+
 _WRITTEN: list[str] = []
 
 
@@ -36,6 +39,17 @@ def build_session(app: str = "starloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound an Arrow batch of this session by bytes, so that long texts make short batches.
+
+    It is a setting of the session and stays, since frames are computed later; a smaller bound that is set is kept.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    found = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
+    if not found or int(found[1]) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 

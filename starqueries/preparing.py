@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.clean import fill_defaults
 from starloom.plans import dimensions
-from starloom.sources.html import html_elements
+from starloom.sources.html import html_elements, html_rows
 from starloom.sources.labels import parse_label_block
 from starqueries.model import CLIMATE, climate, fact_sql, nation_names
 from starqueries.registry import query
@@ -145,3 +145,15 @@ def visa_codes(spark, sf_dir):
     UNION ALL SELECT 'Unknown Visa Categories', 'Unknown Visa', 'Unknown', '', 1""")
 def visa_dimension(spark, sf_dir):
     return dimensions.visa_dimension(_codes(spark, sf_dir), ["p_partkey", "row_no", "line_no", "part_no"])
+
+
+@query("html_spanned_cells", """
+    SELECT p_partkey, row_no, column_no, cell FROM (
+        SELECT p_partkey, unnest([0, 0, 0, 1, 1, 1, 2, 2, 2]) AS row_no, unnest([0, 1, 2, 0, 1, 2, 0, 1, 2]) AS column_no,
+               unnest([p_type, concat('A', CAST(p_size AS STRING)), p_brand, p_type, concat('B', CAST(p_size AS STRING)),
+                       p_brand, p_name, '', p_brand]) AS cell
+        FROM part)""")
+def html_spanned_cells(spark, sf_dir):
+    """Cells by place, where some span rows or columns."""
+    rows = html_rows(view(spark, sf_dir, "x_span_pages"), "p_partkey", "html", "grid")
+    return rows.select("p_partkey", "row_no", F.posexplode("cells").alias("column_no", "cell"))

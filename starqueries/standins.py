@@ -125,6 +125,13 @@ VIEWS = {
                       <NL>, 'K', CAST(p_size AS STRING), <NL>, <NL>, 'L', CAST(p_size AS STRING), <NL>,
                       'M1</td></tr></tbody></table></body></html>') AS html
         FROM {part}""",
+    # A page per part: a cell over two rows, one over all three, one over two columns.
+    "x_span_pages": """
+        SELECT p_partkey,
+               concat('<table class="grid"><tbody><tr><td rowspan="2">', p_type, '</td><td>A', CAST(p_size AS STRING),
+                      '</td><td rowspan=3>', p_brand, '</td></tr><tr><td>B', CAST(p_size AS STRING),
+                      '</td></tr><tr><td colspan="2">', p_name, '</td></tr></tbody></table>') AS html
+        FROM {part}""",
 }
 
 

@@ -11,7 +11,7 @@ NAMES = sorted(registry.QUERIES)
 TYPES = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "DATE": "date",
          "BOOLEAN": "boolean"}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
-PARSERS = ("html_elements", "html_rows", "visa_codes")
+PARSERS = ("html_elements", "html_rows", "html_spanned_cells", "visa_codes")
 
 
 @pytest.fixture(scope="module")

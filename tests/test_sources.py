@@ -145,7 +145,7 @@ def test_html_open_items_end_where_the_next_begins(spark):
     "<li>x" * 200_000, '<li a="' * 140_000, '<li><a b=">" ' * 70_000 + '<a b="', "<" * 1_000_000, "<ul><li>" * 120_000])
 def test_html_of_a_hostile_page_takes_linear_time(page):
     started = time.process_time()
-    html._elements(page, frozenset(["li"]), None)
+    list(html._elements(page, frozenset(["li"]), None))
     html._table_rows(page, None, ("h4", None))
     assert time.process_time() - started < 12
 
@@ -168,3 +168,45 @@ def test_literal_table(spark, rows):
     assert rows(found)[:4] == list(schema.MODE_ROWS) and rows(found)[4] == (None, "none")
     assert [f.dataType for f in found.schema] == [f.dataType for f in schema.MODE]
     assert tables.literal_table(spark, [], schema.MODE).count() == 0
+
+
+def grid(body):
+    return [r[3] for r in html._table_rows(f"<table><tbody>{body}</tbody></table>", None, None)]
+
+
+@pytest.mark.parametrize("body, wanted", [
+    ("<tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td></tr>", [["a", "b"], ["a", "c"]]),
+    ("<tr><td>a</td><td rowspan='2'>b</td></tr><tr><td>c</td></tr><tr><td>d</td><td>e</td></tr>",
+     [["a", "b"], ["c", "b"], ["d", "e"]]),
+    ("<tr><td colspan=2>a</td><td>b</td></tr><tr><td>c</td><td>d</td><td>e</td></tr>", [["a", "", "b"], ["c", "d", "e"]]),
+    ("<tr><td ROWSPAN=\"2\" colspan=\"2\">a</td><td>b</td></tr><tr><td>c</td></tr>", [["a", "", "b"], ["a", "", "c"]]),
+    ("<tr><td rowspan=0>a</td><td>b</td></tr><tr><td>c</td></tr><tr><td>d</td></tr>", [["a", "b"], ["a", "c"], ["a", "d"]]),
+    ("<tr><td>a</td><td>b</td><td rowspan=2>c</td></tr><tr><td>d</td></tr>", [["a", "b", "c"], ["d", "", "c"]]),
+    ("<tr><td rowspan=2>a</td><td>b</td></tr></tbody><tbody><tr><td>c</td></tr>", [["a", "b"], ["c"]]),
+    ("<tr><td rowspan=3>a</td><td>b</td></tr><tr></tr><tr><td>c</td></tr><tr><td>d</td></tr>", [["a", "b"], ["a", "c"], ["d"]]),
+    ("<tr><td rowspan=x colspan=-1>a</td></tr><tr><td>b</td></tr>", [["a"], ["b"]]),
+    ("<tr><td>a<td>b<tr><td>c <table><tr><td rowspan=2>in</td></tr></table></td></tr>", [["a", "b"], ["c in"]]),
+])
+def test_spanned_cells(body, wanted):
+    assert grid(body) == wanted
+
+
+def test_only_the_first_column_of_its_own_row_makes_a_header():
+    page = "<table><tr><td rowspan=2><b>g</b></td><td>x</td></tr><tr><td><b>y</b></td></tr></table>"
+    assert [(r[3], r[4]) for r in html._table_rows(page, None, None)] == [(["g", "x"], True), (["g", "y"], False)]
+
+
+@pytest.mark.parametrize("depth", [700, 1500, 3000])
+def test_deep_pages_keep_all_text(depth):
+    page = "".join(f"<div>{i} " for i in range(depth)) + "</div>" * depth
+    found = list(html._elements(page, frozenset(["div"]), None))
+    assert len(found) == depth and all(text for *_, text in found[::97])
+    assert found[-1] == ("div", depth - 1, str(depth - 1))
+    assert found[-2][2] == f"{depth - 2} {depth - 1}"
+
+
+def test_open_items_below_many_elements_take_linear_time():
+    page = "<ul><li>" + "<div>" * 50_000 + "<ul>" + "<div>" * 50_000 + "<li>x</li>" * 50_000
+    started = time.perf_counter()
+    assert sum(1 for _ in html._elements(page, frozenset(["li"]), None)) == 50_001
+    assert time.perf_counter() - started < 20
