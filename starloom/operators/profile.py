@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType
 
 from starloom.operators import joins
 from starloom.session import stage
@@ -124,3 +125,52 @@ def require_no_duplicates(df: DataFrame, ignore: Sequence[str] = ()) -> None:
     surplus = surplus_rows(df, [c for c in df.columns if c not in ignore]).first()["surplus"]
     if surplus:
         raise ValueError(f"{surplus} duplicate rows")
+
+
+def mergeable_profile(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """What the rows of each key say of each column, in one pass and in a form that :func:`merge_profiles` adds up.
+
+    ``field, rows, nulls, total, squares, least, largest, least_text, largest_text, distinct``: sums and bounds of
+    numbers and dates (as days), bounds of text, and a sketch of the distinct values (some kilobytes a column).
+    """
+    types = {f.name: f.dataType for f in df.schema}
+    counted, rows = [], []
+    for i, name in enumerate(columns):
+        value, text = F.col(f"`{name}`"), isinstance(types[name], StringType)
+        number = F.lit(None).cast("double") if text else (
+            F.unix_date(value) if isinstance(types[name], DateType) else value).cast("double")
+        words = value if text else F.lit(None).cast("string")
+        # Sketches take numbers and text; a float goes in by its hash.
+        exact = value if text else F.xxhash64(value) if types[name].typeName() in ("double", "float") else number.cast("long")
+        parts = {
+            "nulls": F.count_if(value.isNull()), "total": F.sum(number), "squares": F.sum(number * number),
+            "least": F.min(number), "largest": F.max(number), "least_text": F.min(words), "largest_text": F.max(words),
+            "distinct": F.hll_sketch_agg(F.when(value.isNotNull(), exact)),
+        }
+        counted += [c.alias(f"{part}_{i}") for part, c in parts.items()]
+        rows.append(F.struct(F.lit(name).alias("field"), "rows", *[F.col(f"{part}_{i}").alias(part) for part in parts]))
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *counted)
+    return found.select(*keys, F.inline(F.array(*rows)))
+
+
+def merge_profiles(profiles: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Profiles added up by column (and ``keys``): the same sums and bounds as over all rows together."""
+    return profiles.groupBy(*keys, "field").agg(
+        *[F.sum(c).alias(c) for c in ("rows", "nulls", "total", "squares")],
+        *[F.min(c).alias(c) for c in ("least", "least_text")], *[F.max(c).alias(c) for c in ("largest", "largest_text")],
+        F.hll_union_agg("distinct").alias("distinct"),
+    )
+
+
+def describe_profiles(profiles: DataFrame) -> DataFrame:
+    """Profiles in readable form: ``mean``, ``stddev`` (of the sample), bounds, and the estimated ``distinct_values``.
+
+    The estimate is off by about 2 % at most in two of three cases, and exact or nearly so for a few hundred values.
+    """
+    n = F.col("rows") - F.col("nulls")
+    spread = F.greatest(F.lit(0.0), F.col("squares") - F.col("total") * F.col("total") / n)
+    return profiles.select(
+        "field", "rows", "nulls", F.try_divide("total", n).alias("mean"),
+        F.when(n > 1, F.sqrt(spread / (n - 1))).alias("stddev"), "least", "largest", "least_text", "largest_text",
+        F.hll_sketch_estimate("distinct").alias("distinct_values"),
+    )

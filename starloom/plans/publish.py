@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schema, sinks
-from starloom.operators import quality
+from starloom.operators import profile, quality
 from starloom.plans import dimensions, fact
 from starloom.plans.analytics import Model
 from starloom.plans.load import LoadOptions, OtherPeriods, Staged
@@ -60,6 +60,13 @@ def change_sums(change: Change, periods: Sequence[str]) -> None:
         change.write_periods(sums, name, periods)
 
 
+def change_profiles(change: Change, periods: Sequence[str]) -> None:
+    """Profile the changed periods of the fact; those of other periods stay as they are."""
+    columns = [c for c in schema.FACT.names if c not in schema.PERIOD]
+    found = profile.mergeable_profile(change.read("i94", periods), columns, schema.PERIOD)
+    change.write_periods(found, "profiles", periods)
+
+
 def change_fact(
     change: Change, extract: DataFrame, staged: Staged, options: LoadOptions = LoadOptions(),
     period: tuple[int, int] | None = None,
@@ -89,6 +96,7 @@ def publish_model(spark: SparkSession, extract: DataFrame, staged: Staged, root:
     periods = change_fact(change, extract, staged, options)
     change_dates(change, periods)
     change_sums(change, periods)
+    change_profiles(change, periods)
     change_dimensions(change, staged)
     change.publish()
     return versions
@@ -110,6 +118,7 @@ def publish_period(
     periods = change_fact(change, extract, staged, options, (year, month))
     change_dates(change, periods)
     change_sums(change, periods)
+    change_profiles(change, periods)
     change_dimensions(change, staged)
     checked = [
         quality.Dataset(

@@ -6,10 +6,11 @@ outside of this package depend on these names, types, codes and formats.
 
 from __future__ import annotations
 
-from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import BinaryType, DateType, DoubleType, IntegerType, LongType, StringType, StructType
 
 _TYPES = {
     "INT": IntegerType(), "LONG": LongType(), "STRING": StringType(), "DOUBLE": DoubleType(), "DATE": DateType(),
+    "BINARY": BinaryType(),
 }
 
 
@@ -135,14 +136,19 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 PERIOD_FILE = r"i94_([A-Za-z]{3})(\d{2})_sub"
 
 # Tables that a published model keeps beside those above. Counts of rows per date: by the period of the fact, and in
-# all by the period of the date. Sums of people by some keys of the fact, for queries that need no others.
+# all by the period of the date. Sums of people by some keys of the fact, for queries that need no others. What a
+# period's rows say of each column of the fact, in a form that can be added up; dates are days since 1970.
 DATE_COUNTS = table("date DATE, rows LONG, year INT, month INT")
 SUMS = {
     "sums_by_place": ("cit_country_id", "res_country_id", "state_id", "purpose_id"),
     "sums_by_kind": ("mode_id", "purpose_id", "visa_id"),
 }
-PUBLISHED_TABLES = MODEL_TABLES | {"date_counts": DATE_COUNTS, "date_totals": DATE_COUNTS} | {
+PROFILES = table(
+    "field STRING, rows LONG, nulls LONG, total DOUBLE, squares DOUBLE, least DOUBLE, largest DOUBLE, "
+    "least_text STRING, largest_text STRING, distinct BINARY, year INT, month INT"
+)
+PUBLISHED_TABLES = MODEL_TABLES | {"date_counts": DATE_COUNTS, "date_totals": DATE_COUNTS, "profiles": PROFILES} | {
     name: StructType([FACT[c] for c in keys] + [*table("count LONG"), FACT["year"], FACT["month"]])
     for name, keys in SUMS.items()
 }
-PUBLISHED_PERIODS = (*PERIOD_TABLES, "date_counts", "date_totals", *SUMS)
+PUBLISHED_PERIODS = (*PERIOD_TABLES, "date_counts", "date_totals", "profiles", *SUMS)

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schema, sinks
+from starloom.operators.profile import describe_profiles, merge_profiles
 from starloom.operators.quality import QualityGateFailed
 from starloom.plans import analytics
+from starloom.plans.compact import compact, stored_files
 from starloom.plans.load import load_fact
 from starloom.plans.publish import PublishedModel, publish_model, publish_period, register_published
 from starloom.session import scratch_path
@@ -166,3 +168,42 @@ def quarantine_counts(spark, sf_dir):
 def quarantine_accepted(spark, sf_dir):
     """The rows that fit, in the types of the extract."""
     return _routed(spark, sf_dir).accepted.select("cicid", "i94bir", "i94visa", "arrdate")
+
+
+@query("compacted_month", model.fact_sql() + f" SELECT {_COLUMNS} FROM fact WHERE year = {_YEAR} AND month = {_MONTH}")
+def compacted_month(spark, sf_dir):
+    """A month of many small files after it was compacted: the same rows in one file."""
+    root = scratch_path(spark, "small-files")
+    publish_period(spark, _month(spark, sf_dir).repartition(16), model.staged(spark, sf_dir), root, _YEAR, _MONTH)
+    versions = Versions(spark, root)
+    before = stored_files(versions, "i94").count()
+    compact(versions)
+    if not 1 == stored_files(versions, "i94").count() < before:
+        raise AssertionError("the files of the month were not gathered")
+    return versions.read("i94")
+
+
+_PROFILED = ("age", "duration", "cic_id")
+
+
+@query("merged_profile", model.fact_sql() + " UNION ALL ".join(f"""
+    SELECT '{c}' AS field, count(*) AS "rows", count(*) - count({c}) AS nulls, avg({c}) AS mean,
+           CAST(min({c}) AS DOUBLE) AS least, CAST(max({c}) AS DOUBLE) AS largest, TRUE AS distinct_near FROM fact"""
+                                                       for c in _PROFILED))
+def merged_profile(spark, sf_dir):
+    """Profiles of single periods added up: as over all rows; distinct values within 5 % of their number."""
+    published = PublishedModel(_published(spark, sf_dir))
+    found = describe_profiles(merge_profiles(published.profiles.where(F.col("field").isin(*_PROFILED))))
+    counted = published.i94.agg(*[F.countDistinct(c).alias(c) for c in _PROFILED])
+    exact = counted.select(F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("exact")) for c in _PROFILED])))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * 0.05
+    return found.join(exact, "field").select("field", "rows", "nulls", "mean", "least", "largest", near.alias("distinct_near"))
+
+
+@query("profile_by_year", model.fact_sql() + """
+    SELECT year, count(*) AS "rows", count(*) - count(age) AS nulls, CAST(max(age) AS DOUBLE) AS largest
+    FROM fact GROUP BY year""")
+def profile_by_year(spark, sf_dir):
+    """The profile of a column by year, from those of the months."""
+    found = merge_profiles(PublishedModel(_published(spark, sf_dir)).profiles.where("field = 'age'"), ["year"])
+    return found.select("year", "rows", "nulls", "largest")

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from starloom import schema
 from starloom.operators import quality
+from starloom.operators.profile import describe_profiles, merge_profiles, mergeable_profile
 from starloom.plans import analytics, publish
+from starloom.plans.compact import compact, packed, stored_files
 from starloom.plans.load import LoadOptions, OtherPeriods
 from starloom.plans.publish import PublishedModel, publish_model, publish_period
 from starloom.versions import Conflict, Versions, period_part
@@ -18,6 +20,11 @@ def root(tmp_path):
     return str(tmp_path / "model")
 
 
+def later(extract):  # noqa: F811
+    """The same rows a month later."""
+    return extract.withColumn("i94mon", F.lit(5.0)).withColumn("arrdate", F.col("arrdate") + 30)
+
+
 def fact_of(spark, root):
     return Versions(spark, root).read("i94")
 
@@ -131,3 +138,56 @@ def test_star_queries_read_sums_where_they_cover(spark, extract, staged, root, r
     publish_period(spark, extract.where("cicid < 2000000"), staged, root, 2016, 4)
     again = PublishedModel(Versions(spark, root))
     assert again.sums_by_place.agg(F.sum("count")).first()[0] == again.i94.agg(F.sum("count")).first()[0] == 2
+
+
+def test_small_files_are_gathered(spark, extract, staged, root, rows):  # noqa: F811
+    versions = Versions(spark, root)
+    publish_period(spark, extract.repartition(5, "cicid"), staged, root, 2016, 4)
+    publish_period(spark, later(extract).coalesce(1), staged, root, 2016, 5)
+    before, files = rows(versions.read("i94")), stored_files(versions, "i94")
+    many = files.where("part = 'year=2016/month=4'").count()
+    assert many > 2 and files.agg(F.sum("bytes")).first()[0] > 0
+    assert compact(versions) == {"i94": ["year=2016/month=4"]}
+    assert rows(versions.read("i94")) == before and stored_files(versions, "i94").count() == 2
+    assert compact(versions) == {} and versions.current().number == 3
+    held = versions.begin()
+    held.write_periods(versions.read("i94"), "i94")
+    publish_period(spark, extract, staged, root, 2016, 4)
+    with pytest.raises(Conflict):
+        held.publish()
+
+
+def test_files_are_packed_into_bins(spark, rows):
+    sizes = [90, 60, 50, 40, 30, 20, 10]
+    files = spark.createDataFrame([("a", f"f{i}", s) for i, s in enumerate(sizes)] + [("b", "x", 500), ("b", "y", 500)],
+                                  "part string, place string, bytes long")
+    found = rows(packed(files, target_bytes=100))
+    assert [b for _, _, b in found] == [0, 1, 1, 2, 2, 2, 2] and {p for p, *_ in found} == {"a"}
+
+
+def test_profiles_merge(spark, rows):
+    frame = spark.sql("""SELECT id % 7 AS p, IF(id % 5 = 0, NULL, CAST(id % 300 AS INT)) AS n, CAST(id AS DOUBLE) / 2 AS d,
+        CAST(id % 40 AS STRING) AS s, date_add(DATE'2016-01-01', CAST(id % 31 AS INT)) AS day FROM range(5000)""")
+    fields = ["n", "d", "s", "day"]
+    by_part = merge_profiles(mergeable_profile(frame, fields, ["p"]))
+    whole = mergeable_profile(frame, fields)
+    assert rows(by_part.drop("distinct")) == rows(whole.drop("distinct").select(*by_part.drop("distinct").columns))
+    found = {r["field"]: r for r in describe_profiles(by_part).collect()}
+    exact = frame.agg(F.mean("n"), F.stddev("n"), F.min("n"), F.max("n"), F.count_if(F.col("n").isNull())).first()
+    assert (found["n"]["mean"], found["n"]["least"], found["n"]["largest"], found["n"]["nulls"]) == (
+        exact[0], exact[2], exact[3], exact[4]) and abs(found["n"]["stddev"] - exact[1]) < 1e-9
+    for name in fields:
+        distinct = frame.select(name).dropna().distinct().count()
+        assert abs(found[name]["distinct_values"] - distinct) <= 0.05 * distinct
+    assert (found["s"]["least_text"], found["s"]["largest_text"], found["s"]["mean"]) == ("0", "9", None)
+    nothing = describe_profiles(mergeable_profile(frame.limit(0), fields)).collect()
+    assert {(r["rows"], r["mean"], r["stddev"], r["distinct_values"]) for r in nothing} == {(0, None, None, 0)}
+
+
+def test_a_new_month_is_profiled_alone(spark, extract, staged, root, rows):  # noqa: F811
+    publish_period(spark, extract, staged, root, 2016, 4)
+    publish_period(spark, later(extract.where("cicid < 2000000")), staged, root, 2016, 5)
+    model = PublishedModel(Versions(spark, root))
+    merged = {r["field"]: r for r in merge_profiles(model.profiles).collect()}
+    assert merged["age"]["rows"] == 7 and merged["age"]["total"] == model.i94.agg(F.sum("age")).first()[0]
+    assert len({v for v in Versions(spark, root).current().of("profiles").values()}) == 2
