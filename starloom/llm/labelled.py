@@ -24,3 +24,9 @@ def labelled_sample(labels: DataFrame, label: str, rows: int = SAMPLE_ROWS, id_c
     one = known.groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
     chosen = hash_sample(one, "doc_id", one.count(), rows).collect()
     return labels.sparkSession.createDataFrame([(r["doc_id"], r["label"]) for r in chosen], "doc_id long, label int")
+
+
+def labelled_texts(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, label, text`` of a labelled sample, one row for each identifier however often it occurs."""
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return named.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))

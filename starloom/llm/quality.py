@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.batches import bound_batches
-from starloom.llm.labelled import SAMPLE_ROWS, labelled_sample
+from starloom.llm.labelled import SAMPLE_ROWS, labelled_sample, labelled_texts
 from starloom.llm.shingles import word_hashes
 from starloom.session import stage
 
@@ -32,6 +32,7 @@ STATISTICS = (
 TREES, DEPTH, LASSO = 24, 3, 0.001
 _SYMBOLS = [b for b in b"#$%&*+/<=>@[\\]^_`{|}~!"]
 _MARKS = [b for b in b".?;:,"]
+_WHITE = " \t\n\x0b\x0c\r"
 
 
 def _statistics(text: str | None) -> list[float]:
@@ -46,7 +47,7 @@ def _statistics(text: str | None) -> list[float]:
     letters = max(1, int(count[65:91].sum() + count[97:123].sum()))
     _, times = np.unique(words, return_counts=True)
     pairs = np.unique(words[1:] ^ (words[:-1] << np.uint64(1)))
-    lines = [x for x in (text or "").split("\n") if x.strip()]
+    lines = [x for x in (text or "").split("\n") if x.strip(_WHITE)]  # what is blank to the words is blank here
     blank = np.flatnonzero(np.isin(np.append(raw, 32), (9, 10, 11, 12, 13, 32)))
     before = raw[blank[blank > 0] - 1]
     return [
@@ -119,11 +120,14 @@ def fit_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col
               text_col: str = "text", rows: int = SAMPLE_ROWS) -> RuleModel:
     """Fit to about ``rows`` labelled documents; without both labels the score is their constant share (or 0.5).
 
-    ``labels`` holds ``doc_id`` and a label of 0 or 1; leave rows out of it that are not to be learnt from.
+    ``labels`` holds ``doc_id`` and a label of 0 or 1; leave rows out of it that are not to be learnt from. Of rows
+    that share an identifier the one with the smallest text is learnt from.
     """
     sample = labelled_sample(labels, label, rows)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
-    known = stage(with_statistics(texts).select(F.col("_row.label").cast("double").alias("label"), *STATISTICS), "known")
+    known = stage(with_statistics(labelled_texts(docs, sample, id_col, text_col)).select(
+        F.col("_row.label").cast("double").alias("label"), *STATISTICS), "known")
+    # A bounded number of narrow rows in one order, so that the same trees grow however the input is parted.
+    known = stage(known.repartition(1).sortWithinPartitions("label", *STATISTICS), "ordered")
     share = known.agg(F.avg("label"), F.count("*")).first()
     if share[0] is None or share[0] in (0.0, 1.0):
         n, ones = share[1], (share[0] or 0.0) * share[1]
