@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.batches import bound_batches
-from starloom.llm.labelled import SAMPLE_ROWS, labelled_sample
+from starloom.llm.labelled import SAMPLE_ROWS, labelled_sample, labelled_texts
 from starloom.session import stage
 
 VOCABULARY_WORDS = 2_000
@@ -107,11 +107,13 @@ def _sample_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id",
                  text_col: str = "text", rows: int = SAMPLE_ROWS) -> OrdinalModel:
-    """Fit to about ``rows`` labelled documents, whole texts; with a single label no word has any weight."""
+    """Fit to about ``rows`` labelled documents, whole texts; with a single label no word has any weight.
+
+    Of rows that share an identifier the one with the smallest text is learnt from.
+    """
     bound_batches(docs.sparkSession)
     sample = labelled_sample(labels, label, rows)
-    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    known = stage(named.join(F.broadcast(sample), "doc_id").select("label", "text")
+    known = stage(labelled_texts(docs, sample, id_col, text_col).select("label", "text")
                   .mapInPandas(_sample_words, "label int, words array<string>, features array<string>"), "sample")
     n, ones = known.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not ones or ones == n:
