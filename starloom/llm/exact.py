@@ -1,7 +1,7 @@
 """Exact duplicates by sorting whole texts, with DataFrame operators only.
 
 Spark samples the input for splitters and deals the rows over ranges of (text, salt), every range is sorted on disk
-if need be, and equal texts come to lie side by side: the window compares each text in full with its neighbour's.
+if need be, and equal texts come to lie side by side: the window compares each text in full with its neighbour's and numbers the rows of equal ones.
 The salt is a hash of the identifier, so the rows of one text, however many, are cut into pieces of a bounded size
 that go to different tasks. A piece then counts as one narrow row, and the pieces of a text meet through its digest.
 """
@@ -23,7 +23,8 @@ HEAD = 64
 
 
 def _sorted_pieces(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str], salts: int | None) -> DataFrame:
-    """One row per document: identifier, salt, digest, and whether it is the largest identifier of its piece."""
+    """One row per document: identifier, salt, digest, its place among its piece's identifiers (the largest has 1), and
+    whether it is the last of the piece; so a piece is known from its first and its last row."""
     if salts is None:
         salts = max(LEAST_SALTS, docs.count() // ROWS_PER_PIECE)
     keyed = docs.select(
@@ -34,13 +35,15 @@ def _sorted_pieces(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[
         *([F.struct(*[F.col(c) for c in carry]).alias("_row")] if carry else []),
     )
     neighbours = Window.partitionBy("_head", "_salt", "_text").orderBy(F.col("_id").desc_nulls_last())
-    return keyed.repartitionByRange("_head", "_salt").withColumn("_first", F.row_number().over(neighbours) == 1).select(
-        "_id", "_salt", F.sha2("_text", 256).alias("_sha"), "_first", *(["_row"] if carry else []))
+    return keyed.repartitionByRange("_head", "_salt").withColumns({
+        "_place": F.row_number().over(neighbours), "_last": F.lead(F.lit(True)).over(neighbours).isNull(),
+    }).select("_id", "_salt", F.sha2("_text", 256).alias("_sha"), "_place", "_last", *(["_row"] if carry else []))
 
 
 def _per_piece(pieces: DataFrame) -> DataFrame:
-    """For each piece the identifier that stays and the size of the whole group."""
-    piece = pieces.groupBy("_sha", "_salt").agg(F.max("_id").alias("_largest"), F.count("*").alias("_n"))
+    """For each piece the identifier that stays and the size of the whole group; only ends of pieces are read."""
+    ends = pieces.where((F.col("_place") == 1) | F.col("_last"))
+    piece = ends.groupBy("_sha", "_salt").agg(F.max("_id").alias("_largest"), F.max("_place").alias("_n"))
     group = Window.partitionBy("_sha")  # at most one row per salt
     return piece.select("_sha", "_salt", F.max("_largest").over(group).alias("keep_id"),
                         F.sum("_n").over(group).alias("group_size"))
@@ -59,7 +62,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return (
         pieces.join(_per_piece(pieces), ["_sha", "_salt"])
         .select(F.col("_id").alias("doc_id"), "keep_id", "group_size",
-                (F.col("_first") & F.col("_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
+                ((F.col("_place") == 1) & F.col("_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
                 F.col("_sha").alias("text_sha256"))
     )
 
@@ -67,7 +70,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; see ``exact_groups``."""
     pieces = stage(_sorted_pieces(docs, id_col, text_col, docs.columns, salts), "exact")
-    first = pieces.where("_first")
+    first = pieces.where("_place = 1")
     return (
         first.join(_per_piece(pieces.drop("_row")), ["_sha", "_salt"])
         .where(F.col("_id").eqNullSafe(F.col("keep_id")))
