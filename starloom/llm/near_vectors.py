@@ -139,26 +139,36 @@ def near_vector_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: st
     """
     named = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector"))
     clean = stage(named.mapInPandas(_clean, "vec_id long, vector binary"), "vectors")
-    classes = stage(
-        clean.where("vector IS NOT NULL AND vec_id IS NOT NULL")
-        .groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight")), "classes")
+    valid = clean.where("vector IS NOT NULL AND vec_id IS NOT NULL")
+    # Equal vectors are a class; written, so the numbers of the classes stay.
+    classes = stage(valid.groupBy("vector").agg(F.count("*").alias("weight")).withColumn(
+        "node", F.monotonically_increasing_id()), "classes")
+    members = stage(valid.join(classes, "vector").select("vec_id", "node"), "members")
     count = classes.count()
-    sample = hash_sample(classes, "node", count, SAMPLE_VECTORS).select("vector").toPandas()["vector"]
+    sample = hash_sample(classes, "vector", count, SAMPLE_VECTORS).select("vector").toPandas()["vector"]
     if count:
         partial = _partials(classes, sample, count, cosine, per_cell, reach)
     else:
         partial = clean.sparkSession.createDataFrame([], "node long, links long, least long")
     partial = stage(partial, "links")
     links = partial.groupBy("node").agg(F.sum("links").alias("_links"))
-    components = connected_components(partial.select(F.col("node").alias("a"), F.col("least").alias("b")))
-    of_class = (
-        classes.join(links, "node", "left").join(components, "node", "left")
-        .select("vector", (F.coalesce("_links", F.lit(0)) + F.col("weight") - 1).alias("_links"),
-                F.coalesce("component", "node").alias("_component")))
-    found = clean.join(of_class, (clean["vector"] == of_class["vector"]) & clean["vec_id"].isNotNull(), "left")
-    component = F.coalesce("_component", "vec_id")
-    return found.select("vec_id", F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
-                        component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
+    # Classes that hold one identifier belong together, whether or not they are linked.
+    firsts = members.groupBy("vec_id").agg(F.min("node").alias("b"), F.max("node").alias("_last")).where("b <> _last")
+    ties = members.join(firsts, "vec_id").where("node <> b").select(F.col("node").alias("a"), "b")
+    components = connected_components(
+        partial.select(F.col("node").alias("a"), F.col("least").alias("b")).unionByName(ties))
+    of_class = classes.join(links, "node", "left").join(components, "node", "left").select(
+        "node", (F.coalesce("_links", F.lit(0)) + F.col("weight") - 1).cast("long").alias("n_links"),
+        F.coalesce("component", "node").alias("_component"))
+    placed = stage(members.join(of_class, "node").select("vec_id", "n_links", "_component"), "placed")
+    least = placed.groupBy("_component").agg(F.min("vec_id").alias("component_id"))
+    linked = placed.join(least, "_component").select("vec_id", "n_links", "component_id")
+    alone = clean.where("vector IS NULL OR vec_id IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"))
+    # An identifier may stand at vectors that count and at others: all its rows are one member.
+    named_already = linked.groupBy("vec_id").agg(F.min("component_id").alias("_found"))
+    alone = alone.join(named_already, "vec_id", "left").select(
+        "vec_id", "n_links", F.coalesce("_found", "vec_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.col("component_id").eqNullSafe(F.col("vec_id")))
 
 
 def _partials(classes: DataFrame, sample: pd.Series, count: int, cosine: float, per_cell: int,
