@@ -18,6 +18,7 @@ from functools import lru_cache
 import pandas as pd
 import public_tokenizers
 import tiktoken
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,11 +51,16 @@ def count_tokens(docs: DataFrame, version: str, path: str = VOCABULARY, id_col:
         "doc_id", "source", "lang", F.lit(version).alias("tokenizer"), "tokens")
 
 
+class Overtaken(RuntimeError):
+    """Another batch was committed meanwhile, so what this one found in the ledger may be out of date."""
+
+
 class Rollup:
     """The ledger and the totals in a folder that all executors share."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._known: dict[str, tuple[str, str]] = {}  # commits never change
 
     def _files(self):
         jvm = self.spark.sparkContext._jvm
@@ -68,16 +74,31 @@ class Rollup:
         if not files.exists(folder):
             return []
         names = sorted(s.getPath().getName() for s in files.listStatus(folder))
-        return [tuple(n.split("~")[1:3]) for n in names if n[0] != "_"]
+        for name in (n for n in names if n[0].isdigit() and n not in self._known):
+            stream = files.open(jvm.org.apache.hadoop.fs.Path(f"{self.folder}/commits/{name}"))
+            try:
+                self._known[name] = tuple(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("~"))
+            finally:
+                stream.close()
+        return [self._known[n] for n in names if n[0].isdigit()]
 
     def _commit(self, number: int, batch: str, attempt: str) -> None:
         jvm, files = self._files()
-        new = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/new-{attempt}")
-        done = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/commits/{number:012d}~{batch}~{attempt}")
+        hadoop = jvm.org.apache.hadoop.fs
+        new, done = hadoop.Path(f"{self.folder}/new-{attempt}"), hadoop.Path(f"{self.folder}/commits/{number:012d}")
         files.mkdirs(done.getParent())
-        files.create(new, False).close()
-        if not files.rename(new, done):
-            raise RuntimeError(f"batch {batch} could not be committed")
+        stream = files.create(new, False)
+        stream.write(bytearray(f"{batch}~{attempt}".encode()))
+        stream.close()
+        context = hadoop.FileContext.getFileContext(
+            files.makeQualified(done).toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        keep = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)  # replace nothing
+        try:
+            context.rename(files.makeQualified(new), files.makeQualified(done), keep)
+        except Py4JJavaError as error:
+            if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+                raise
+            raise Overtaken(f"another writer committed a batch while {batch} was applied; apply it again") from None
 
     def _committed(self, part: str, schema: str) -> DataFrame:
         paths = [f"{self.folder}/{part}/{attempt}" for _, attempt in self.commits()]
@@ -108,7 +129,7 @@ class Rollup:
         """
         if "~" in batch or "/" in batch:
             raise ValueError("a batch name holds neither ~ nor /")
-        done = self.commits()  # one writer at a time applies batches
+        done = self.commits()  # a commit takes the number after these, which only one writer can
         if batch in {name for name, _ in done}:
             return False
         attempt, number = uuid.uuid4().hex, len(done)
