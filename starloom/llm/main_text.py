@@ -29,8 +29,9 @@ from starloom.llm.batches import bound_batches
 from starloom.session import stage
 from starloom.sources.markup import scan
 
-LEAST_PAGES, LEAST_SHARE = 4, 0.05  # of a host, from which on a subtree belongs to the template
+LEAST_PAGES = 4  # different ones of a host, from which on a subtree belongs to the template, whatever the host's size
 NEARLY_ALL = 0.9  # of the text of a page (or of its content)
+FAIR, HALF = 0.2, 0.5  # of a page's text: that a content element holds at least; that a marked wrapper of one does
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -65,6 +66,8 @@ class _Open:
     linked: int = 0
     kept: int = 0  # text outside of what is marked
     holds: bool = False  # the content element, somewhere below
+    soft: bool = False  # marked by a name, not by its tag alone
+    wraps: bool = False  # an article or main, marked or not, somewhere below
 
 
 def _marked(tag: str, named: dict[str, str]) -> bool:
@@ -85,17 +88,24 @@ def _marked(tag: str, named: dict[str, str]) -> bool:
     return not _MARKS.isdisjoint(words)
 
 
-_DEPTH = 512  # elements below this depth count as part of the last one above it
+_DEPTH = 512  # elements below this depth are only counted; their text belongs to the last one above it
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
+def _named(attributes: str) -> dict[str, str]:
+    pairs = reversed(_ATTRIBUTE.findall(attributes)) if attributes else ()  # of repeated ones the first counts
+    return {k.lower(): entities.unescape(v.strip("\"'")) for k, v in pairs}
+
+
 class _Walker:
     """Goes through a page and keeps the stack of open elements, with the end tags that may be left out put in."""
 
-    def __init__(self) -> None:
+    def __init__(self, spared: frozenset[int] = frozenset()) -> None:
         self.stack: list[_Open] = []
         self.open_tags: dict[str, int] = {}
         self.count = 0
+        self.spared = spared  # marked elements that hold the text of the page
+        self.deep = self.hidden = 0  # open elements below the bound, and how many there were when a marked one began
 
     def opened(self, element: _Open, attrs: dict[str, str]) -> None: ...
 
@@ -122,28 +132,47 @@ class _Walker:
             self._end({"p"}, {"table", "td", "th", "li", "div", "section", "article", "button"})
         if tag in _CLOSES:
             self._end(*_CLOSES[tag])
-        element = _Open(tag, self.count, _marked(tag, attrs) or bool(self.stack and self.stack[-1].dropped))
+        marked = _marked(tag, attrs)
+        element = _Open(tag, self.count, (marked and self.count not in self.spared) or bool(self.stack and self.stack[-1].dropped))
+        element.soft = marked and (tag == "form" or tag not in _DROPPED)
         self.count += 1
         self.opened(element, attrs)
         self.stack.append(element)
         self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
-        if tag in _VOID or len(self.stack) > _DEPTH:
+        if tag in _VOID:
             self._pop()
 
+    def _below(self, tag: str, is_end: bool, attributes: str) -> bool:
+        """Whether a tag is below the bound; then it is counted, and text within a marked element is left out."""
+        if not is_end and len(self.stack) >= _DEPTH and tag not in _VOID:
+            self.deep += 1
+            if not self.hidden and _marked(tag, _named(attributes)):
+                self.hidden = self.deep
+        elif is_end and self.deep and tag not in _VOID:
+            self.deep -= 1
+            if self.deep < self.hidden:
+                self.hidden = 0
+        else:
+            return False
+        if tag in _BLOCK:
+            self.edge()
+        return True
+
+    def edge(self) -> None: ...
+
     def text(self, data: str) -> None: ...
 
     def run(self, page: str) -> None:
         for before, tag, is_end, attributes in scan(page):
-            if before:
+            if before and not self.hidden:
                 self.text(before)
-            if not tag:
+            if not tag or self._below(tag, is_end, attributes):
                 continue
             if is_end:
                 if tag != "p" or self.open_tags.get("p"):
                     self._end({tag}, set() if tag in _BLOCK else {"article", "main", "body", "td", "li"})
                 continue
-            pairs = reversed(_ATTRIBUTE.findall(attributes)) if attributes else ()  # of repeated ones the first counts
-            self._start(tag, {k.lower(): entities.unescape(v.strip("\"'")) for k, v in pairs})
+            self._start(tag, _named(attributes))
         while self.stack:
             self._pop()
 
@@ -164,10 +193,12 @@ class _Counted:
 class _Census(_Walker):
     """Hash of each element, its text length and share of links, and where the content elements are."""
 
-    def __init__(self) -> None:
-        super().__init__()
+    def __init__(self, spared: frozenset[int] = frozenset()) -> None:
+        super().__init__(spared)
         self.elements: dict[int, _Counted] = {}
         self.content = False
+        self.total = 0
+        self.wrappers: dict[int, tuple[int, bool]] = {}  # marked by a name: their text, and whether an article is within
         self.kept = self.kept_inside = 0
         self.whole, self.contents = hashlib.blake2b(digest_size=8), hashlib.blake2b(digest_size=8)
 
@@ -183,6 +214,7 @@ class _Census(_Walker):
         if not words:
             return
         top = self.stack[-1] if self.stack else None
+        self.total += len(words)
         (top.hashed if top else self.whole).update(words.encode("utf-8", "surrogatepass"))
         if not (top and top.dropped):
             self.kept += len(words)
@@ -199,6 +231,8 @@ class _Census(_Walker):
         self.elements[element.number] = _Counted(
             element.tag, int.from_bytes(digest, "little", signed=True), element.text, element.linked, element.kept,
             element.inside, element.holds, self.count - 1)
+        if element.soft and element.text:
+            self.wrappers[element.number] = element.text, element.wraps
         if element.inside and not (self.stack and self.stack[-1].inside):
             self.contents.update(digest)
         if self.stack:
@@ -208,9 +242,22 @@ class _Census(_Walker):
             up.linked += element.linked
             up.kept += element.kept
             up.holds |= element.inside or element.holds
+            up.wraps |= element.wraps or element.tag in ("article", "main")
         else:
             self.whole.update(digest)
 
+    def wrongly_marked(self) -> frozenset[int]:
+        """Elements whose name says that they are no part of an article, although they hold the text of the page."""
+        return frozenset(n for n, (text, wraps) in self.wrappers.items() if n not in self.spared and (
+            text >= NEARLY_ALL * self.total or wraps and not self.content and text >= HALF * self.total))
+
+    def settle(self) -> None:
+        """Content elements that hold but little of the page's text are no more than a part of it."""
+        if self.content and self.kept_inside < FAIR * self.kept:
+            self.content = False
+            for e in self.elements.values():
+                e.inside = e.holds = False
+
     def core(self) -> int | None:
         """Number of the innermost element with nearly all text of the page, if most of it is no links."""
         large = (n for n, e in self.elements.items()
@@ -252,8 +299,8 @@ class _Census(_Walker):
 class _Extract(_Walker):
     """Text blocks of the content, without marked and deleted elements."""
 
-    def __init__(self, deleted: set[int], content: bool) -> None:
-        super().__init__()
+    def __init__(self, deleted: set[int], content: bool, spared: frozenset[int]) -> None:
+        super().__init__(spared)
         self.deleted, self.content = deleted, content
         self.blocks: list[str] = []
         self.parts: list[str] = []
@@ -264,6 +311,9 @@ class _Extract(_Walker):
             self.blocks.append(block)
         self.parts = []
 
+    def edge(self) -> None:
+        self._flush()
+
     def opened(self, element: _Open, attrs: dict[str, str]) -> None:
         above = self.stack[-1] if self.stack else None
         element.inside = bool(above and above.inside) or element.tag in ("article", "main")
@@ -287,19 +337,27 @@ class _Extract(_Walker):
             self.parts.append(data)
 
 
+def _census(html: str | None) -> _Census:
+    """The elements of a page; it is walked again if a mark has taken its text away."""
+    found = _Census()
+    found.run(html or "")
+    if spared := found.wrongly_marked():
+        found = _Census(spared)
+        found.run(html or "")
+    found.settle()
+    return found
+
+
 def template_candidates(html: str | None) -> tuple[int, list[int], int, list[int]]:
     """The distinct hashes of a page's elements that a template could hold; see ``_Census.counted``."""
-    walker = _Census()
-    walker.run(html or "")
-    return walker.counted()
+    return _census(html).counted()
 
 
 def page_text(html: str | None, template: set[int]) -> str:
     """Main text of a page, without the subtrees whose hash is in ``template``."""
-    census = _Census()
-    census.run(html or "")
+    census = _census(html)
     deleted = {n for n, h in census.candidates().items() if h in template}
-    walker = _Extract(deleted, census.content)
+    walker = _Extract(deleted, census.content, census.spared)
     walker.run(html or "")
     walker._flush()
     return "\n".join(walker.blocks)
@@ -324,7 +382,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     NULL and empty pages give an empty text. Pages without a readable host in their address form one host. Repeated
     rows give repeated results, an empty table an empty one; other columns are ignored. A subtree belongs to the
-    template of a host if it is on at least ``LEAST_PAGES`` different pages and ``LEAST_SHARE`` of the host's.
+    template of a host if it is on at least ``LEAST_PAGES`` different pages of it.
     """
     bound_batches(pages.sparkSession)
     named = pages.select(
@@ -337,9 +395,8 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.transform("hashes", lambda h: F.struct(h.alias("hash"), F.col("page").alias("unit"))),
         F.transform("within", lambda h: F.struct(h.alias("hash"), F.col("core").alias("unit"))))).alias("e"),
     ).select("host", "key", "e.hash", "e.unit")
-    of_host = hashed.groupBy("host").agg(F.count_distinct("page").alias("pages"))
     recurring = each.groupBy("host", "hash").agg(F.count_distinct("unit").alias("n")).where(
-        F.col("n") >= LEAST_PAGES).join(of_host, "host").where(F.col("n") >= LEAST_SHARE * F.col("pages")).select("host", "hash")
+        F.col("n") >= LEAST_PAGES).select("host", "hash")
     template = each.join(recurring, ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("template"))
     return named.join(template, "key", "left").select("page_id", "url", "html", "template").mapInPandas(
         _texts, "page_id long, url string, text string, n_chars long")
