@@ -35,7 +35,8 @@ ROWS_PER_PART = 20_000
 # A word of plain Latin letters and the signs behind it are two units of the tokenizer, whatever stands around them.
 _SIGNS = b"!#$%&()*,.:;?-"
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*,.:;?-]*)")
-_KEPT_WORDS, _KEPT_UNITS = 250_000, 450_000  # that a worker remembers; only the speed depends on them
+# What a worker remembers, as numbers of entries and bytes of one; only the speed depends on it.
+_KEPT_WORDS, _KEPT_UNITS, _KEPT_LENGTH = 250_000, 400_000, 64
 
 
 class _Words:
@@ -64,16 +65,11 @@ class _Words:
             ids = self._encode(" ".join(some))
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(some):
-                self.units.update(zip(some, (p.tobytes() for p in np.split(ids, ends[:-1])), strict=True))
+                data, to = ids.tobytes(), ends.tolist()
+                self.units.update((u, data[4 * i:4 * j]) for u, i, j in zip(some, [0, *to[:-1]], to, strict=True))
             else:
                 self.units.update((u, self._encode(u).tobytes()) for u in some)
 
-    def forget(self) -> None:
-        if len(self.words) > _KEPT_WORDS:
-            self.words.clear()
-        if len(self.units) > _KEPT_UNITS:
-            self.units.clear()
-
     def learn(self, words: set[bytes]) -> None:
         """Ids of words that are not remembered."""
         plain, others = {}, []
@@ -85,19 +81,31 @@ class _Words:
                 plain[word] = m[1].lower(), m[2]
             else:
                 others.append(word)
-        self._learn_units({u for pair in plain.values() for u in pair if u})
+        units = {u for pair in plain.values() for u in pair if u}
+        self._learn_units(units)
         for word, (stem, signs) in plain.items():
             self.words[word] = self.units[stem] + self.units[signs] if signs else self.units[stem]
         for word in others:
             self.words[word] = self._encode(word.decode()).tobytes()
+        for unit in units:
+            if len(unit) > _KEPT_LENGTH:
+                del self.units[unit]
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         split = [t.encode().split() for t in texts]  # bytes are split at ASCII white space only
-        self.forget()
+        here = set().union(*split)
+        if len(self.words) > _KEPT_WORDS:  # those that occur now are likely to come again
+            self.words = {w: self.words[w] for w in here.intersection(self.words)}
+        if len(self.units) > _KEPT_UNITS:
+            self.units.clear()
         known = self.words
-        self.learn({w for words in split for w in words if w not in known})
+        new = here.difference(known)
+        self.learn(new)
         for words in split:
-            yield b"".join(map(self.words.__getitem__, words))
+            yield b"".join(map(known.__getitem__, words))
+        for word in new:
+            if len(word) > _KEPT_LENGTH:
+                del known[word]
 
 
 @lru_cache(maxsize=2)

@@ -32,7 +32,7 @@ CHUNK = 16_384
 GROUP = 64  # matrices combined at a time
 _SPACE = "▁"
 _UNIT = re.compile(f"{_SPACE}*[^{_SPACE}]*")
-_KEPT = 400_000  # words that a worker remembers; only the speed depends on it
+_KEPT, _KEPT_LENGTH = 200_000, 64  # words that a worker remembers, and letters of one; only the speed depends on them
 _LOWEST = 10.0  # so far below the lowest score lies a character without a piece
 
 
@@ -100,7 +100,8 @@ class Vocabulary:
             found = score[-1], self.trace(unit, back, 0, len(unit))
             if len(self.words) >= _KEPT:
                 self.words.clear()
-            self.words[unit] = found
+            if len(unit) <= _KEPT_LENGTH:
+                self.words[unit] = found
         return found
 
     def whole(self, text: str) -> tuple[float, bytes]:
