@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import previous_period
 from starloom.plans.load import LoadOptions, Staged, check_quality, run_period
+from starloom.plans.publish import publish_period
 from starloom.session import build_session, clear_scratch
 from starloom.sources.files import list_files, period_files
 
@@ -26,6 +27,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     load.add_argument("--format", default="parquet", help="format of the extracts: parquet, csv, orc, json")
     load.add_argument("--staging", required=True, help="folder of the staged code tables")
     load.add_argument("--append", action="store_true", help="add to the month instead of replacing it")
+    load.add_argument("--publish", action="store_true", help="write a version that is seen after its checks have passed")
     load.add_argument("--csv", action="store_true", help="also write delimited copies of the model")
     check = jobs.add_parser("check", help="check one month of a model")
     for job in (load, check):
@@ -60,7 +62,8 @@ def run(spark: SparkSession, options: argparse.Namespace, year: int, month: int)
     reader = spark.read.format(options.format)
     if options.format == "csv":
         reader = reader.options(sep=";", header=True)
-    run_period(
+    job = publish_period if options.publish else run_period
+    job(
         spark, reader.load(found), Staged.read(spark, options.staging), options.model, year, month,
         LoadOptions(mode="append" if options.append else "replace", csv_copies=options.csv),
     )

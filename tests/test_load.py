@@ -14,6 +14,7 @@ from starloom.plans import analytics, dimensions, fact
 from starloom.plans.load import LoadOptions, OtherPeriods, Staged, _of_periods, load_fact, run_period
 from starloom.sources.tables import conform
 from starloom.streaming.arrivals import load_arrivals
+from starloom.versions import Versions
 from tests.conftest import plan
 
 NAMES = ("cicid", "i94yr", "i94mon", "i94cit", "i94res", "i94port", "arrdate", "i94mode", "i94addr", "depdate", "i94bir",
@@ -294,6 +295,9 @@ def test_jobs_from_the_command_line(spark, extract, staged, tmp_path, rows):
     command.main(["check", *period])
     assert model_of(spark, root, "i94").count() == 5
     assert spark.read.parquet(f"{root}/data_quality.parquet").count() == 2 * 26
+    published = str(tmp_path / "published")
+    command.main(["load", "--raw", raw, "--staging", staging, "--publish", "--model", published, "--year", "2016", "--month", "4"])
+    assert rows(Versions(spark, published).read("i94")) == rows(model_of(spark, root, "i94"))
     with pytest.raises(FileNotFoundError):
         command.main(["load", "--raw", raw, "--staging", staging, "--model", root, "--year", "2016", "--month", "7"])
     with pytest.raises(quality.QualityGateFailed):
