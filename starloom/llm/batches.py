@@ -1,17 +1,3 @@
 """Settings for jobs that hand whole texts to Python."""
 
-from __future__ import annotations
-
-import re
-
-from pyspark.sql import SparkSession
-
-BATCH_BYTES = 8 << 20
-
-
-def bound_batches(spark: SparkSession) -> None:
-    """Bound an Arrow batch by bytes, so that long texts make short batches; a smaller bound that is set stays."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    found = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
-    if not found or int(found[1]) > BATCH_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))
+from starloom.session import bound_batches  # noqa: F401
