@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.batches import bound_batches
+from starloom.operators import joins
 from starloom.session import stage
 from starloom.sources.markup import scan
 
 LEAST_PAGES = 4  # different ones of a host, from which on a subtree belongs to the template, whatever the host's size
 NEARLY_ALL = 0.9  # of the text of a page (or of its content)
+LISTED = 2_000  # elements of a host's template that may go along with each of its pages
 FAIR, HALF = 0.2, 0.5  # of a page's text: that a content element holds at least; that a marked wrapper of one does
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -397,6 +399,14 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     ).select("host", "key", "e.hash", "e.unit")
     recurring = each.groupBy("host", "hash").agg(F.count_distinct("unit").alias("n")).where(
         F.col("n") >= LEAST_PAGES).select("host", "hash")
-    template = each.join(recurring, ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("template"))
-    return named.join(template, "key", "left").select("page_id", "url", "html", "template").mapInPandas(
+    recurring = stage(recurring, "templates")
+    of_host = recurring.groupBy("host").agg(F.collect_set("hash").alias("template"))
+    most = recurring.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    if most <= LISTED and joins.fits_broadcast(recurring):
+        # Few and short templates go to the pages, which so stay where they are; a page looks up its own elements only.
+        met = named.join(F.broadcast(of_host), "host", "left")
+    else:
+        template = each.join(recurring, ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("template"))
+        met = named.join(template, "key", "left")
+    return met.select("page_id", "url", "html", "template").mapInPandas(
         _texts, "page_id long, url string, text string, n_chars long")

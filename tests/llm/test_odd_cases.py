@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.llm import main_text
 from starloom.llm.exact import exact_groups
 from starloom.llm.labelled import labelled_texts
 from starloom.llm.main_text import main_texts, page_text
@@ -69,7 +70,9 @@ def test_deep_pages_lose_their_menus_only(depth):
     assert page_text(page + "</article><p>after</p>", set()) == "one\ntwo"
 
 
-def test_a_template_does_not_depend_on_the_size_of_the_host(spark, rows):
+@pytest.mark.parametrize("listed", [main_text.LISTED, 0])
+def test_a_template_does_not_depend_on_the_size_of_the_host(spark, monkeypatch, listed):
+    monkeypatch.setattr(main_text, "LISTED", listed)  # 0: pages meet their templates by a join
     notice = "<div class='box'>The same notice on some pages of a site</div>"
     for others in (10, 150):
         pages = [(i, f"http://h/{i}", f"<body>{notice if i < 5 else ''}<div><p>{LONG} number {i}</p></div></body>")
