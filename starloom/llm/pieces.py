@@ -6,8 +6,9 @@ has already covered its first s characters and its own last piece covers t chara
 combined associatively (the largest of sums), in groups of bounded size and as many levels as the longest document
 needs. Going down the levels again fixes the states at all borders, and every chunk is traced back by itself.
 
-No piece spans the place where a word ends and white space begins; between such places the best cut of a word is
-remembered, and a document of one chunk is the cuts of its words. A character without a piece is written as bytes.
+No piece spans the place where a word ends and white space begins, or a character that no piece holds; between such
+places the best cut of a word is remembered, and a document of one chunk is the cuts of its words. A character without
+a piece is written as bytes.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import public_tokenizers
@@ -31,7 +33,7 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 CHUNK = 16_384
 GROUP = 64  # matrices combined at a time
 _SPACE = "▁"
-_UNIT = re.compile(f"{_SPACE}*[^{_SPACE}]*")
+_BORDER = re.compile(f"(?<=[^{_SPACE}]){_SPACE}")
 _KEPT, _KEPT_LENGTH = 200_000, 64  # words that a worker remembers, and letters of one; only the speed depends on them
 _LOWEST = 10.0  # so far below the lowest score lies a character without a piece
 
@@ -56,6 +58,13 @@ class Vocabulary:
         self.lowest = min(score for _, score in self.pieces.values()) - _LOWEST
         self.longest = max(map(len, self.pieces))
         self.starts = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
+        self.single = frozenset(p for p in self.pieces if len(p) == 1)
+        self.found = ahocorasick.Automaton()  # all pieces in a text by one pass over it
+        for piece, (i, score) in self.pieces.items():
+            self.found.add_word(piece, (len(piece) - 1, i, score, np.array([i], "<u4").tobytes()))
+        self.found.make_automaton()
+        known = "".join(map(re.escape, sorted({c for p in self.pieces for c in p} - {_SPACE})))
+        self.unit = re.compile(f"{_SPACE}*[{known}]+|{_SPACE}+|[^{_SPACE}{known}]+")  # no piece spans two of these
         if any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in self.pieces):
             raise ValueError("a piece of this vocabulary spans the end of a word")
         self.words: dict[str, tuple[float, bytes]] = {}
@@ -74,10 +83,20 @@ class Vocabulary:
             yield i + 1, -1, self.lowest
 
     def best(self, text: str, begin: int, most: int) -> tuple[list[float], list[tuple[int, int]]]:
-        """Best score of covering text[begin:j] for each j up to the end, starting no piece at ``most`` or later."""
+        """Best score of covering text[begin:j] for each j up to the end, starting no piece at ``most`` or later.
+
+        The automaton gives the pieces by their ends, the longest of an end first, so of equal sums the longest last
+        piece stays, as it does in the search forwards, which texts with characters written as bytes take.
+        """
         score = [-np.inf] * (len(text) + 1)
         back = [(-1, -1)] * (len(text) + 1)
         score[begin] = 0.0
+        if self.single.issuperset(text):
+            for last, (before, number, weight, _) in self.found.iter(text, begin):
+                start = last - before
+                if start < most and score[start] + weight > score[last + 1]:
+                    score[last + 1], back[last + 1] = score[start] + weight, (start, number)
+            return score, back
         for i in range(begin, min(most, len(text))):
             if score[i] > -np.inf:
                 for end, number, weight in self.edges(text, i):
@@ -96,25 +115,43 @@ class Vocabulary:
     def word(self, unit: str) -> tuple[float, bytes]:
         found = self.words.get(unit)
         if found is None:
-            score, back = self.best(unit, 0, len(unit))
-            found = score[-1], self.trace(unit, back, 0, len(unit))
-            if len(self.words) >= _KEPT:
-                self.words.clear()
-            if len(unit) <= _KEPT_LENGTH:
+            found = self.cut(unit)
+            if len(self.words) < _KEPT and len(unit) <= _KEPT_LENGTH:
                 self.words[unit] = found
         return found
 
+    def cut(self, unit: str) -> tuple[float, bytes]:
+        """Score and ids of a unit: as by ``best`` and ``trace`` over all of it, without their states."""
+        if not self.single.issuperset(unit):
+            score, back = self.best(unit, 0, len(unit))
+            return score[-1], self.trace(unit, back, 0, len(unit))
+        score, back = [0.0] + [-np.inf] * len(unit), [None] * (len(unit) + 1)
+        for last, hit in self.found.iter(unit):
+            reached = score[last - hit[0]] + hit[2]
+            if reached > score[last + 1]:
+                score[last + 1], back[last + 1] = reached, hit
+        ids, end = [], len(unit)
+        while end:
+            hit = back[end]
+            ids.append(hit[3])
+            end -= hit[0] + 1
+        return score[-1], b"".join(ids[::-1])
+
     def whole(self, text: str) -> tuple[float, bytes]:
         """Score and ids of a text that begins and ends where no piece reaches over."""
-        cuts = [self.word(u) for u in _UNIT.findall(text) if u]
-        return sum(c[0] for c in cuts), b"".join(c[1] for c in cuts)
+        words, cuts = self.words, []
+        for unit in self.unit.findall(text):
+            cuts.append(words.get(unit) or self.word(unit))
+        return sum(c[0] for c in cuts), b"".join([c[1] for c in cuts])
 
     def borders(self, text: str, size: int) -> tuple[int, int] | None:
         """First and last place in text[:size] that no piece spans."""
-        first = re.search(f"(?<=[^{_SPACE}]){_SPACE}", text[:size])
+        first = _BORDER.search(text, 0, size)
         if first is None:
             return None
-        last = max(m.start() for m in re.finditer(f"(?<=[^{_SPACE}]){_SPACE}", text[:size]))
+        last = text.rfind(_SPACE, 0, size)
+        while text[last - 1] == _SPACE:  # there is a border, so this ends before the first character
+            last = text.rfind(_SPACE, 0, last)
         return first.start(), last
 
     def matrix(self, text: str, size: int) -> np.ndarray:

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -189,6 +190,18 @@ def test_main_text_of_hostile_pages_takes_linear_time(page):
     assert isinstance(page_text(page, set()), str)
 
 
+def plain_score(text):
+    """Best sum of scores, from the vocabulary file alone, a place at a time."""
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.VOCABULARY)
+    special = {i for i in range(model.get_piece_size()) if model.is_byte(i) or model.is_control(i) or model.is_unknown(i)}
+    scores = {model.id_to_piece(i): model.get_score(i) for i in range(model.get_piece_size()) if i not in special}
+    longest, bare, reached = max(map(len, scores)), min(scores.values()) - 10, [0.0]
+    for j in range(1, len(text) + 1):
+        ways = [reached[i] + scores[text[i:j]] for i in range(max(0, j - longest), j) if text[i:j] in scores]
+        reached.append(max([*ways, *([] if text[j - 1] in scores else [reached[j - 1] + bare])]))
+    return reached[-1]
+
+
 def test_pieces_against_one_pass(spark):
     r = random.Random(1)
     texts = [t for t in ODD if t] + ["".join(r.choice("abcde  \n") for _ in range(900)), "a" * 700, "x" + " " * 300 + "y",
@@ -205,6 +218,8 @@ def test_pieces_against_one_pass(spark):
                 whole = pieces.marked(text)
                 score, _ = vocabulary.best(whole, 0, len(whole))
                 assert sum(p.score for p in found[i]) == pytest.approx(score[-1], abs=1e-3)
+                if chunk == 13 and len(whole) < 3000:
+                    assert score[-1] == pytest.approx(plain_score(whole), abs=1e-3)
                 assert pieces.unmarked("".join(p.decoded for p in found[i])) == text.replace("▁", " ")
         assert [p.n_ids for p in found[700] + found[701]] == [0, 0] and len(found[3]) >= 2 and found[None]
     assert pieces.encode_pieces(documents(spark, rows).limit(0)).count() == 0
