@@ -32,9 +32,10 @@ from starloom.session import stage
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 CHUNK = 16_384
 GROUP = 64  # matrices combined at a time
+ROWS = 1_024  # matrices to a task
 _SPACE = "▁"
 _BORDER = re.compile(f"(?<=[^{_SPACE}]){_SPACE}")
-_KEPT, _KEPT_LENGTH = 200_000, 64  # words that a worker remembers, and letters of one; only the speed depends on them
+_KEPT, _KEPT_LENGTH = 300_000, 64  # words that a worker remembers, and letters of one; only the speed depends on them
 _LOWEST = 10.0  # so far below the lowest score lies a character without a piece
 
 
@@ -67,7 +68,11 @@ class Vocabulary:
         self.unit = re.compile(f"{_SPACE}*[{known}]+|{_SPACE}+|[^{_SPACE}{known}]+")  # no piece spans two of these
         if any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in self.pieces):
             raise ValueError("a piece of this vocabulary spans the end of a word")
-        self.words: dict[str, tuple[float, bytes]] = {}
+        self.scores = np.zeros(len(self.names))  # of a character written as bytes, the first one has the score
+        for i, score in self.pieces.values():
+            self.scores[i] = score
+        self.scores[[i for b, i in enumerate(self.bytes) if not 0x80 <= b < 0xC0]] = self.lowest
+        self.words: dict[str, bytes] = {}
 
     def edges(self, text: str, i: int) -> Iterator[tuple[int, int, float]]:
         """(end, id, score) of the pieces that begin at character ``i``; id -1 is a character written as bytes."""
@@ -112,7 +117,7 @@ class Vocabulary:
             end = start
         return np.array(ids[::-1], dtype="<u4").tobytes()
 
-    def word(self, unit: str) -> tuple[float, bytes]:
+    def word(self, unit: str) -> bytes:
         found = self.words.get(unit)
         if found is None:
             found = self.cut(unit)
@@ -120,11 +125,10 @@ class Vocabulary:
                 self.words[unit] = found
         return found
 
-    def cut(self, unit: str) -> tuple[float, bytes]:
-        """Score and ids of a unit: as by ``best`` and ``trace`` over all of it, without their states."""
+    def cut(self, unit: str) -> bytes:
+        """Ids of a unit: as by ``best`` and ``trace`` over all of it, without their states."""
         if not self.single.issuperset(unit):
-            score, back = self.best(unit, 0, len(unit))
-            return score[-1], self.trace(unit, back, 0, len(unit))
+            return self.trace(unit, self.best(unit, 0, len(unit))[1], 0, len(unit))
         score, back = [0.0] + [-np.inf] * len(unit), [None] * (len(unit) + 1)
         for last, hit in self.found.iter(unit):
             reached = score[last - hit[0]] + hit[2]
@@ -135,14 +139,13 @@ class Vocabulary:
             hit = back[end]
             ids.append(hit[3])
             end -= hit[0] + 1
-        return score[-1], b"".join(ids[::-1])
+        return b"".join(ids[::-1])
 
     def whole(self, text: str) -> tuple[float, bytes]:
         """Score and ids of a text that begins and ends where no piece reaches over."""
-        words, cuts = self.words, []
-        for unit in self.unit.findall(text):
-            cuts.append(words.get(unit) or self.word(unit))
-        return sum(c[0] for c in cuts), b"".join([c[1] for c in cuts])
+        known, word = self.words.get, self.word
+        ids = b"".join([known(unit) or word(unit) for unit in self.unit.findall(text)])
+        return float(self.scores[np.frombuffer(ids, "<u4")].sum()), ids
 
     def borders(self, text: str, size: int) -> tuple[int, int] | None:
         """First and last place in text[:size] that no piece spans."""
@@ -270,16 +273,18 @@ def border_states(chunks: DataFrame, path: str = VOCABULARY) -> DataFrame:
             yield pd.DataFrame({"row": batch["row"], "at": batch["chunk"], "matrix": [
                 words.matrix(t, s).tobytes() for t, s in zip(batch["text"], batch["size"], strict=True)]})
 
+    def grouped(level: DataFrame) -> DataFrame:  # small rows with much work: their bytes are no measure of it
+        tasks = 1 + level.count() // ROWS
+        return level.withColumn("part", F.floor(F.col("at") / GROUP)).repartition(tasks, "row", "part")
+
     levels = [stage(chunks.mapInPandas(matrices, STEP), "matrices")]
     while (levels[-1].agg(F.max("at")).first()[0] or 0) > 0:
-        keyed = levels[-1].withColumn("part", F.floor(F.col("at") / GROUP))
-        levels.append(stage(keyed.groupBy("row", "part").applyInPandas(
+        levels.append(stage(grouped(levels[-1]).groupBy("row", "part").applyInPandas(
             lambda rows: _combine_group(rows), STEP), "matrices"))
     states = levels[-1].select("row", "at", F.lit(0).cast("long").alias("enter"), F.lit(0).cast("long").alias("leave"))
     for level in reversed(levels[:-1]):
-        keyed = level.withColumn("part", F.floor(F.col("at") / GROUP))
         known = states.select("row", F.col("at").alias("part"), "enter", "leave")
-        states = stage(keyed.join(known, ["row", "part"]).groupBy("row", "part").applyInPandas(
+        states = stage(grouped(level).join(known, ["row", "part"]).groupBy("row", "part").applyInPandas(
             lambda rows: _split_group(rows), STATES), "states")
     return states
 
