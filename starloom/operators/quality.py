@@ -98,6 +98,13 @@ def _unique_check(df: DataFrame, field: str, year, month, path: str) -> DataFram
     return _report(surplus, "is_unique", F.col("num_recs") == 0, year, month, path)
 
 
+def unique_across_check(repeated: DataFrame, field: str, year, month, path: str) -> DataFrame:
+    """Report of the different keys that ``repeated`` names, none of which should be in other periods."""
+    found = repeated.where(F.col("field") == field).agg(
+        F.lit(field).alias("field"), F.countDistinct("value").alias("num_recs"))
+    return _report(found, "is_unique_across", F.col("num_recs") == 0, year, month, path)
+
+
 def _duplicate_check(df: DataFrame, fields: Sequence[str], year, month, path: str) -> DataFrame:
     surplus = profile.surplus_rows(df, fields).select(
         F.lit(", ".join(fields)).alias("field"), F.col("surplus").alias("num_recs")

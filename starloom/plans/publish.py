@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from starloom import schema, sinks
 from starloom.operators import profile, quality
+from starloom.operators.key_filters import key_digests, key_filters, probed
 from starloom.plans import dimensions, fact
 from starloom.plans.analytics import Model
 from starloom.plans.load import LoadOptions, OtherPeriods, Staged
+from starloom.session import stage
 from starloom.sources.tables import conform
 from starloom.versions import WHOLE, Change, Manifest, Versions, period_part
 
@@ -67,6 +69,49 @@ def change_profiles(change: Change, periods: Sequence[str]) -> None:
     change.write_periods(found, "profiles", periods)
 
 
+def change_keys(change: Change, periods: Sequence[str]) -> None:
+    """Keep the keys of the changed periods, and of those others that have none kept yet."""
+    kept = change.candidate().of("key_filters")
+    wanted = [*periods, *(p for p in change.candidate().of("i94") if p not in kept and p not in periods)]
+    found = key_digests(change.read("i94", wanted), schema.KEYS, schema.PERIOD)
+    change.write_periods(found, "key_digests", wanted)
+    change.write_periods(key_filters(change.read("key_digests", wanted), schema.PERIOD), "key_filters", wanted)
+
+
+def repeated_keys(change: Change, periods: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """``field, value, year, month, other_year, other_month``: keys of these periods that other periods hold as well.
+
+    The filters of all other periods are probed; digests are read for the periods that may hold a key, and one column
+    of the fact for those whose digests do, so the result is exact. ``change_keys`` has to come first. NULLs are no keys.
+    """
+    unknown = sorted(set(fields) - set(schema.KEYS))
+    if unknown:
+        raise ValueError(f"no keys are kept of {', '.join(unknown)}")
+    others = {c: f"other_{c}" for c in schema.PERIOD}
+    rest = [p for p in change.candidate().of("key_filters") if p not in periods]
+    new = change.read("key_digests", periods).where(F.col("field").isin(*fields))
+    near = stage(probed(new, change.read("key_filters", rest).withColumnsRenamed(others)), "near-keys")
+    at = [period_part(*r) for r in near.select(*others.values()).distinct().collect()]
+    old = change.read("key_digests", at).withColumnsRenamed(others)
+    same = [near[c].eqNullSafe(old[c]) for c in ("field", "digest", *others.values())]
+    met = stage(near.join(old, same, "left_semi"), "met-keys")
+    at = [period_part(*r) for r in met.select(*others.values()).distinct().collect()]
+    here, there = change.read("i94", periods), change.read("i94", at)
+    found = None
+    for field in fields:
+        digest = F.xxhash64(field).alias("digest")
+        left = here.where(F.col(field).isNotNull()).select(F.col(field).alias("value"), digest, *schema.PERIOD).distinct()
+        right = there.where(F.col(field).isNotNull()).select(
+            F.col(field).alias("value"), digest, *[F.col(c).alias(n) for c, n in others.items()])
+        hit = met.where(F.col("field") == field).drop("field")
+        right = right.join(hit.select("digest").distinct(), "digest", "left_semi").distinct()
+        both = left.join(hit.select("digest").distinct(), "digest", "left_semi").join(right, ["digest", "value"])
+        part = both.select(F.lit(field).alias("field"), F.col("value").cast("string").alias("value"),
+                           *schema.PERIOD, *others.values())
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def change_fact(
     change: Change, extract: DataFrame, staged: Staged, options: LoadOptions = LoadOptions(),
     period: tuple[int, int] | None = None,
@@ -85,7 +130,10 @@ def change_fact(
     other = [p for p in found if p not in expected]
     if expected and other:
         raise OtherPeriods(f"rows of {', '.join(other)} do not belong to {expected[0]}")
-    return expected or found
+    changed = expected or found
+    for table in schema.KEPT_KEYS:
+        change.drop_periods(table, changed)
+    return changed
 
 
 def publish_model(spark: SparkSession, extract: DataFrame, staged: Staged, root: str,
@@ -104,12 +152,14 @@ def publish_model(spark: SparkSession, extract: DataFrame, staged: Staged, root:
 
 def publish_period(
     spark: SparkSession, extract: DataFrame, staged: Staged, root: str, year: int, month: int,
-    options: LoadOptions = LoadOptions(), datasets: Sequence[quality.Dataset] = (),
+    options: LoadOptions = LoadOptions(), datasets: Sequence[quality.Dataset] = (), unique_across: Sequence[str] = (),
 ) -> DataFrame:
     """Load one month, check what was written, publish it; returns the quality report.
 
     The report is stored in any case. If a check fails, or the job ends before the last step, readers go on
-    with the version before. ``datasets`` are checked beside the model's own.
+    with the version before. ``datasets`` are checked beside the model's own. ``unique_across`` names keys of the fact
+    (of ``schema.KEYS``) that no other published month may hold; their digests are kept from then on. A month that is
+    published without it has its kept keys removed, and they are made anew when they are asked for.
     """
     if options.mode != "replace":
         raise ValueError("a published period is replaced as a whole")
@@ -127,8 +177,13 @@ def publish_period(
             where=f"year = {int(year)} AND month = {int(month)}" if name == "dates" else None)
         for name, fields in schema.NOT_NULL.items()
     ]
-    report = quality.store_report(
-        quality.run_checks(spark, [*checked, *datasets], year, month), f"{root}/data_quality.parquet")
+    report = quality.run_checks(spark, [*checked, *datasets], year, month)
+    if unique_across:
+        change_keys(change, periods)
+        repeated = stage(repeated_keys(change, periods, unique_across), "repeated-keys")
+        for field in unique_across:
+            report = report.unionByName(quality.unique_across_check(repeated, field, year, month, f"{root}/t=i94"))
+    report = quality.store_report(report, f"{root}/data_quality.parquet")
     quality.gate(report)
     change.publish()
     return report

@@ -147,8 +147,14 @@ PROFILES = table(
     "field STRING, rows LONG, nulls LONG, total DOUBLE, squares DOUBLE, least DOUBLE, largest DOUBLE, "
     "least_text STRING, largest_text STRING, distinct BINARY, year INT, month INT"
 )
-PUBLISHED_TABLES = MODEL_TABLES | {"date_counts": DATE_COUNTS, "date_totals": DATE_COUNTS, "profiles": PROFILES} | {
+# Keys of the fact that may be kept unique over all periods: digests of their values, and filters over these.
+KEYS = ("cic_id",)
+KEY_DIGESTS = table("field STRING, digest LONG, year INT, month INT")
+KEY_FILTERS = table("field STRING, blocks LONG, block LONG, w0 LONG, w1 LONG, w2 LONG, w3 LONG, year INT, month INT")
+KEPT_KEYS = {"key_digests": KEY_DIGESTS, "key_filters": KEY_FILTERS}
+PUBLISHED_TABLES = MODEL_TABLES | KEPT_KEYS | {
+    "date_counts": DATE_COUNTS, "date_totals": DATE_COUNTS, "profiles": PROFILES} | {
     name: StructType([FACT[c] for c in keys] + [*table("count LONG"), FACT["year"], FACT["month"]])
     for name, keys in SUMS.items()
 }
-PUBLISHED_PERIODS = (*PERIOD_TABLES, "date_counts", "date_totals", "profiles", *SUMS)
+PUBLISHED_PERIODS = (*PERIOD_TABLES, "date_counts", "date_totals", "profiles", *KEPT_KEYS, *SUMS)

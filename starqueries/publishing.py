@@ -13,7 +13,9 @@ from starloom.operators.quality import QualityGateFailed
 from starloom.plans import analytics
 from starloom.plans.compact import compact, stored_files
 from starloom.plans.load import load_fact
-from starloom.plans.publish import PublishedModel, publish_model, publish_period, register_published
+from starloom.plans.publish import (
+    PublishedModel, change_fact, change_keys, publish_model, publish_period, register_published, repeated_keys,
+)
 from starloom.session import scratch_path
 from starloom.sources.quarantine import route
 from starloom.versions import Versions
@@ -183,6 +185,22 @@ def compacted_month(spark, sf_dir):
     return versions.read("i94")
 
 
+@query("keys_of_older_months", model.fact_sql() + f"""
+    SELECT 'cic_id' AS field, CAST(cic_id AS VARCHAR) AS value, {_YEAR} AS year, {_MONTH} AS month,
+           year AS other_year, month AS other_month
+    FROM fact WHERE NOT (year = {_YEAR} AND month = {_MONTH}) AND cic_id % 11 = 0""")
+def keys_of_older_months(spark, sf_dir):
+    """A month comes with rows of all other months under its own name; their keys are found by the filters of those."""
+    extract, codes = view(spark, sf_dir, "x_extract"), model.staged(spark, sf_dir)
+    versions = publish_model(spark, extract, codes, scratch_path(spark, "keyed"))
+    mixed = extract.where(f"(i94yr = {_YEAR} AND i94mon = {_MONTH}) OR cast(cicid AS int) % 11 = 0")
+    change = versions.begin()
+    periods = change_fact(change, mixed.withColumns({"i94yr": F.lit(float(_YEAR)), "i94mon": F.lit(float(_MONTH))}),
+                          codes, period=(_YEAR, _MONTH))
+    change_keys(change, periods)
+    return repeated_keys(change, periods, ["cic_id"])
+
+
 _PROFILED = ("age", "duration", "cic_id")
 
 

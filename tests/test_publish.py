@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from starloom import schema
 from starloom.operators import quality
+from starloom.operators.key_filters import key_digests, key_filters, probed
 from starloom.operators.profile import describe_profiles, merge_profiles, mergeable_profile
 from starloom.plans import analytics, publish
 from starloom.plans.compact import compact, packed, stored_files
@@ -191,3 +192,39 @@ def test_a_new_month_is_profiled_alone(spark, extract, staged, root, rows):  # n
     merged = {r["field"]: r for r in merge_profiles(model.profiles).collect()}
     assert merged["age"]["rows"] == 7 and merged["age"]["total"] == model.i94.agg(F.sum("age")).first()[0]
     assert len({v for v in Versions(spark, root).current().of("profiles").values()}) == 2
+
+
+def test_keys_of_other_months_fail_a_month(spark, extract, staged, root, rows):  # noqa: F811
+    keys = ["cic_id"]
+    publish_period(spark, extract, staged, root, 2016, 4)  # keeps no keys: they are made when they are asked for
+    fresh = later(extract).withColumn("cicid", F.col("cicid") + 10_000_000)
+    publish_period(spark, fresh, staged, root, 2016, 5, unique_across=keys)
+    versions = Versions(spark, root)
+    assert set(versions.current().of("key_filters")) == {period_part(2016, 4), period_part(2016, 5)}
+    mixed = fresh.withColumns({"cicid": F.when(F.col("cicid") < 12_000_000, F.col("cicid") - 10_000_000).otherwise(
+        F.col("cicid") + 20_000_000), "i94mon": F.lit(6.0), "arrdate": F.col("arrdate") + 31})
+    with pytest.raises(quality.QualityGateFailed):
+        publish_period(spark, mixed, staged, root, 2016, 6, unique_across=keys)
+    assert versions.current().number == 2
+    stored = spark.read.parquet(f"{root}/data_quality.parquet").where("test = 'is_unique_across' AND month = '6'")
+    assert rows(stored, "field", "result", "num_recs") == [("cic_id", "failed", "2")]
+    change = versions.begin()
+    periods = publish.change_fact(change, mixed, staged, period=(2016, 6))
+    publish.change_keys(change, periods)
+    assert rows(publish.repeated_keys(change, periods, keys)) == [
+        ("cic_id", "1195600", 2016, 6, 2016, 4), ("cic_id", "985523", 2016, 6, 2016, 4)]
+    publish_period(spark, extract.where("cicid > 2000000"), staged, root, 2016, 4)
+    assert period_part(2016, 4) not in versions.current().of("key_filters")
+    publish_period(spark, mixed, staged, root, 2016, 6, unique_across=keys)  # the rows have gone from April
+    with pytest.raises(ValueError, match="airline"):
+        publish.repeated_keys(change, periods, ["airline"])
+
+
+def test_key_filters_lose_no_key_and_let_few_strange_ones_pass(spark):
+    held = spark.range(20000).selectExpr("id AS k", "CAST(id % 3 AS INT) AS year", "IF(id % 2 = 0, NULL, 1) AS month")
+    filters = key_filters(key_digests(held, ["k"], ["year", "month"]), ["year", "month"])
+    asked = spark.range(40000).selectExpr("id AS k", "0 AS p")
+    found = probed(key_digests(asked, ["k"], ["p"]), filters)
+    own = held.selectExpr("xxhash64(k) AS digest", "year", "month").exceptAll(found.select("digest", "year", "month"))
+    assert own.count() == 0 and found.count() < 20000 + 220000 * 0.005
+    assert probed(key_digests(asked, ["k"], ["p"]), filters.limit(0)).count() == 0
