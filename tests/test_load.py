@@ -13,7 +13,8 @@ from starloom.operators import quality
 from starloom.plans import analytics, dimensions, fact
 from starloom.plans.load import LoadOptions, OtherPeriods, Staged, _of_periods, load_fact, run_period
 from starloom.sources.tables import conform
-from starloom.streaming.arrivals import load_arrivals
+from starloom.streaming import arrivals
+from starloom.streaming.arrivals import Notes, load_arrivals
 from starloom.versions import Versions
 from tests.conftest import plan
 
@@ -267,6 +268,31 @@ def test_arrivals_keep_rows_without_a_readable_period(spark, extract, staged, tm
     assert model_of(spark, root, "dates").count() == loaded.select("arrival_date").distinct().count()
 
 
+def test_notes_of_touched_periods_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(arrivals, "MERGE_AT", 3)
+    early = Notes(spark, str(tmp_path / "early"))
+    spark.sql("SELECT 'e' AS file, 2003 AS i94yr, 4 AS i94mon").write.parquet(early.root)
+    early.adopt()
+    early.adopt()
+    assert [r.file for r in early.read(["2003_4"]).collect()] == ["e"]
+    notes = Notes(spark, str(tmp_path / "notes"))
+    many = spark.range(100_000).selectExpr("concat('f', id) AS file", "2000 + CAST(id % 10 AS INT) AS i94yr", "4 AS i94mon")
+    assert notes.add(many, 0) == [f"{2000 + k}_4" for k in range(10)]
+    assert notes.add(spark.sql("SELECT 'g' AS file, 2003 AS i94yr, CAST(NULL AS INT) AS i94mon"), 1) == ["2003_none"]
+    late = spark.sql("SELECT 'late' AS file, 2003 AS i94yr, 4 AS i94mon")
+    for _ in range(2):  # a batch that is repeated
+        assert notes.add(late, 2) == ["2003_4"]
+    found = notes.read(["2003_4"])
+    assert found.count() == 10_001 and all("period=2003_4/" in f for f in found.inputFiles())
+    notes.merge("2003_4", 2)
+    assert len(list((tmp_path / "notes/period=2003_4").iterdir())) == 2
+    notes.add(late.selectExpr("'later' AS file", "i94yr", "i94mon"), 3)
+    notes.merge("2003_4", 3)
+    assert [p.name for p in (tmp_path / "notes/period=2003_4").iterdir()] == ["batch=3_merged"]
+    assert notes.read(["2003_4"]).count() == 10_002
+    assert arrivals._as_rows(spark, ["2003_none"]).first() == (2003, None)
+
+
 def test_append_of_a_month_stores_the_dates_of_other_months(spark, extract, staged, tmp_path):
     root = str(tmp_path / "m")
     mixed = extract.withColumn("i94mon", F.when(F.col("cicid") > 2000000, 4.0).otherwise(5.0))
