@@ -1,13 +1,14 @@
 """Readers and parsers on files and texts."""
 
 import datetime as dt
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from starloom import schema, sinks
-from starloom.sources import files, html, labels, tables
+from starloom.sources import files, html, labels, markup, tables
 
 
 def test_csv_keeps_na_and_reads_empty_as_null(spark, tmp_path, rows):
@@ -210,3 +211,31 @@ def test_open_items_below_many_elements_take_linear_time():
     started = time.perf_counter()
     assert sum(1 for _ in html._elements(page, frozenset(["li"]), None)) == 50_001
     assert time.perf_counter() - started < 20
+
+
+def test_pages_of_one_file_go_to_many_tasks(spark, tmp_path):
+    pages = spark.range(400).selectExpr("id", "'<table><tr><td>a</td></tr></table>' html").coalesce(1)
+    pages.write.parquet(str(tmp_path / "pages"))
+    found = html.html_rows(spark.read.parquet(str(tmp_path / "pages")), "id", "html")
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found.count() == 400 and max(r["count"] for r in sizes) < 100
+
+
+ODD_TAGS = ["<", ">", '"', "'", "=", " ", "a", "li", "<a", "</a>", "<li ", '="', "='", 'b="x"', "<!--", "-->", "&amp;",
+            "<script>", "</script>", '<a href="x>y" b=\'"\'>', "= \"y\"", "<br/>", "a=5", "<A"]
+
+
+def test_the_short_way_through_tags_equals_the_long_way(monkeypatch):
+    chosen = random.Random(3)
+    pages = ["".join(chosen.choices(ODD_TAGS, k=chosen.randint(1, 25))) for _ in range(20_000)]
+    found = [list(markup.scan(page)) for page in pages]
+    monkeypatch.setattr(markup, "_MISSES", 0)
+    assert found == [list(markup.scan(page)) for page in pages]
+
+
+def test_hostile_attributes_take_linear_time():
+    for page in ("<a b='<a \"" * 150_000 + ">", '<a b="<a =\'" ' * 100_000 + ">", "<a b=\"" + "x" * 10 ** 6 + "<a " * 100_000 + ">"):
+        started = time.process_time()
+        list(markup.scan(page))
+        assert time.process_time() - started < 12
