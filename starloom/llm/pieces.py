@@ -158,7 +158,11 @@ class Vocabulary:
         return first.start(), last
 
     def matrix(self, text: str, size: int) -> np.ndarray:
-        """Transfer matrix of a chunk of ``size`` characters; ``text`` goes on beyond it by what a piece can reach."""
+        """Transfer matrix of a chunk of ``size`` characters; ``text`` goes on beyond it by what a piece can reach.
+
+        What lies between the first and the last border adds the same to all entries and so changes no choice of
+        states; it is left out here and searched once, when the chunk is traced.
+        """
         n = self.longest
         out = np.full((n, n), -np.inf)
         borders = self.borders(text, size)
@@ -171,11 +175,10 @@ class Vocabulary:
                     out[s, s - size] = max(out[s, s - size], 0.0)
             return out
         first, last = borders
-        middle = self.whole(text[first:last])[0]
         right, _ = self.best(text[last:], 0, size - last)
         for s in range(min(n, first + 1)):
             left, _ = self.best(text[:first], s, first)
-            out[s, :len(text) - size + 1] = left[first] + middle + np.array(right[size - last:size - last + n])
+            out[s, :len(text) - size + 1] = left[first] + np.array(right[size - last:size - last + n])
         return out
 
     def traced(self, text: str, size: int, enter: int, leave: int) -> tuple[float, bytes]:
@@ -240,19 +243,34 @@ def _read(matrix: bytes) -> np.ndarray:
     return found.reshape(side, side)
 
 
-def _combine_group(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("at")
-    total = _read(rows["matrix"].iloc[0])
-    for other in rows["matrix"].iloc[1:]:
+def _groups(batches: Iterator[pd.DataFrame], group) -> Iterator[list[tuple]]:
+    """What ``group`` gives for the rows of each group, by batch; the rows come in order, a group over any batches."""
+    rows, known = [], None
+    for batch in batches:
+        found = []
+        for row in batch.itertuples(index=False, name=None):
+            key = row[0], row[1] // GROUP
+            if key != known:
+                if rows:
+                    found += group(rows)
+                rows, known = [], key
+            rows.append(row)
+        yield found
+    yield group(rows) if rows else []
+
+
+def _combine_group(rows: list[tuple]) -> list[tuple]:
+    """``row, at, matrix`` of the stretch that rows of these make up."""
+    total = _read(rows[0][2])
+    for _, _, other in rows[1:]:
         total = combine(total, _read(other))
-    return pd.DataFrame({"row": [rows["row"].iloc[0]], "at": [rows["at"].iloc[0] // GROUP], "matrix": [total.tobytes()]})
+    return [(rows[0][0], rows[0][1] // GROUP, total.tobytes())]
 
 
-def _split_group(rows: pd.DataFrame) -> pd.DataFrame:
-    """States at the borders inside a group whose outer states are known."""
-    rows = rows.sort_values("at")
-    steps = [_read(m) for m in rows["matrix"]]
-    enter, leave = int(rows["enter"].iloc[0]), int(rows["leave"].iloc[0])
+def _split_group(rows: list[tuple]) -> list[tuple]:
+    """``row, at, enter, leave`` inside a group whose outer states are known (``row, at, matrix, enter, leave``)."""
+    steps = [_read(row[2]) for row in rows]
+    enter, leave = rows[0][3:]
     forward, back = [steps[0][enter]], []
     for step in steps[1:]:
         through = forward[-1][:, None] + step
@@ -262,7 +280,7 @@ def _split_group(rows: pd.DataFrame) -> pd.DataFrame:
     for choice in reversed(back):
         states.append(int(choice[states[-1]]))
     states = [*states, enter][::-1]
-    return pd.DataFrame({"row": rows["row"], "at": rows["at"], "enter": states[:-1], "leave": states[1:]})
+    return [(*row[:2], before, after) for row, before, after in zip(rows, states[:-1], states[1:], strict=True)]
 
 
 def border_states(chunks: DataFrame, path: str = VOCABULARY) -> DataFrame:
@@ -273,19 +291,29 @@ def border_states(chunks: DataFrame, path: str = VOCABULARY) -> DataFrame:
             yield pd.DataFrame({"row": batch["row"], "at": batch["chunk"], "matrix": [
                 words.matrix(t, s).tobytes() for t, s in zip(batch["text"], batch["size"], strict=True)]})
 
-    def grouped(level: DataFrame) -> DataFrame:  # small rows with much work: their bytes are no measure of it
-        tasks = 1 + level.count() // ROWS
+    def grouped(level: DataFrame, counted: DataFrame) -> DataFrame:  # small rows with much work: their bytes are no measure of it
+        tasks = 1 + counted.count() // ROWS
         return level.withColumn("part", F.floor(F.col("at") / GROUP)).repartition(tasks, "row", "part")
 
+    def combined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for found in _groups(batches, _combine_group):
+            yield pd.DataFrame(found, columns=["row", "at", "matrix"])
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for found in _groups(batches, _split_group):
+            yield pd.DataFrame(found, columns=["row", "at", "enter", "leave"])
+
     levels = [stage(chunks.mapInPandas(matrices, STEP), "matrices")]
     while (levels[-1].agg(F.max("at")).first()[0] or 0) > 0:
-        levels.append(stage(grouped(levels[-1]).groupBy("row", "part").applyInPandas(
-            lambda rows: _combine_group(rows), STEP), "matrices"))
+        level = grouped(levels[-1], levels[-1]).select("row", "at", "matrix").sortWithinPartitions("row", "at")
+        levels.append(stage(level.mapInPandas(combined, STEP), "matrices"))
     states = levels[-1].select("row", "at", F.lit(0).cast("long").alias("enter"), F.lit(0).cast("long").alias("leave"))
     for level in reversed(levels[:-1]):
         known = states.select("row", F.col("at").alias("part"), "enter", "leave")
-        states = stage(grouped(level).join(known, ["row", "part"]).groupBy("row", "part").applyInPandas(
-            lambda rows: _split_group(rows), STATES), "states")
+        # Dealt after the join, whose own shuffle may be of any kind, so that a group stays in one task.
+        met = level.withColumn("part", F.floor(F.col("at") / GROUP)).join(known, ["row", "part"]).drop("part")
+        met = grouped(met, level).select("row", "at", "matrix", "enter", "leave").sortWithinPartitions("row", "at")
+        states = stage(met.mapInPandas(split, STATES), "states")
     return states
 
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -279,3 +280,30 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.packing(spark, docs, SMALL)
     assert packed.select("doc_id").distinct().count() == before
     assert "CartesianProduct" not in plan(packed)
+
+
+def test_matrices_search_the_ends_of_a_chunk_only(monkeypatch):
+    vocabulary = pieces.Vocabulary(pieces.VOCABULARY)
+    text = pieces.marked("some words of a text that is cut " * 20)
+    size = 400
+
+    def all_of_it(part):
+        raise AssertionError("searched by itself, and again when the chunk is traced")
+
+    monkeypatch.setattr(vocabulary, "whole", all_of_it)
+    step = vocabulary.matrix(text[:size + vocabulary.longest], size)
+    for enter in range(3):
+        score, _ = vocabulary.best(text[:size + vocabulary.longest], enter, size)
+        wanted = np.array(score[size:size + vocabulary.longest])
+        known = np.isfinite(wanted)
+        assert (np.isfinite(step[enter]) == known).all()
+        assert np.ptp(wanted[known] - step[enter][known]) < 1e-9  # but for a constant, that of the words between
+
+
+def test_groups_of_matrices_go_over_batches():
+    rows = pd.DataFrame([(row, at, bytes([row])) for row in range(3) for at in range(150)], columns=["row", "at", "matrix"])
+    for size in (1, 7, 64, 450):
+        batches = iter([rows[i:i + size] for i in range(0, len(rows), size)])
+        found = [x for some in pieces._groups(batches, lambda g: [(g[0][0], g[0][1], g[-1][1], len(g))]) for x in some]
+        assert found == [(row, *part) for row in range(3) for part in ((0, 63, 64), (64, 127, 64), (128, 149, 22))]
+    assert list(pieces._groups(iter([]), len)) == [[]]
