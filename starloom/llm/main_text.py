@@ -3,7 +3,8 @@
 A first pass hashes every element of a page, bottom-up, with its tag, classes, text and children. Spark counts for
 each host on how many different pages a hash occurs; those on many pages are the site's template. A second pass deletes these
 subtrees, and what its tag, role or class marks as no part of an article, and joins the blocks of what is left. Both
-passes go through a page once, forwards, with a stack of open elements.
+passes go through a page once, forwards, with a stack of open elements; the second notes texts, begins and ends on the
+way and takes the blocks from these notes.
 
 If a page has an ``article`` (or ``main``), the text is taken from it. Inside of it a recurring subtree goes only if
 it consists of links for the most part: prose that copies of an article share is not a template.
@@ -18,8 +19,9 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -55,6 +57,10 @@ _CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 _NEVER = frozenset(("html", "body", "article", "main"))
+_PARAGRAPH = frozenset(("p",))
+_AROUND_PARAGRAPH = frozenset(("table", "td", "th", "li", "div", "section", "article", "button"))
+_AROUND_INLINE = frozenset(("article", "main", "body", "td", "li"))
+_NOTHING: frozenset[str] = frozenset()
 
 
 @dataclass
@@ -82,12 +88,23 @@ def _marked(tag: str, named: dict[str, str]) -> bool:
         return False
     if "hidden" in named or named.get("aria-hidden") == "true":
         return True
-    if re.search(r"display\s*:\s*none", named.get("style") or "", re.I):
+    if "style" in named and re.search(r"display\s*:\s*none", named["style"], re.I):
         return True
-    if (named.get("role") or "").lower() in _ROLES:
+    if "role" in named and named["role"].lower() in _ROLES:
         return True
-    words = re.split(r"[^a-z0-9]+", f"{named.get('class') or ''} {named.get('id') or ''}".lower())
-    return not _MARKS.isdisjoint(words)
+    if "class" not in named and "id" not in named:
+        return False
+    names = f"{named.get('class') or ''} {named.get('id') or ''}"
+    return _marks(names) if len(names) <= _SHORT else _marks.__wrapped__(names)
+
+
+_SHORT = 256  # characters of the names that are remembered
+
+
+@lru_cache(maxsize=4_096)
+def _marks(names: str) -> bool:
+    """Whether one of the words in a class and an identifier is a mark; a site has few of them, on all pages."""
+    return not _MARKS.isdisjoint(re.split(r"[^a-z0-9]+", names.lower()))
 
 
 _DEPTH = 512  # elements below this depth are only counted; their text belongs to the last one above it
@@ -95,7 +112,9 @@ _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))
 
 
 def _named(attributes: str) -> dict[str, str]:
-    pairs = reversed(_ATTRIBUTE.findall(attributes)) if attributes else ()  # of repeated ones the first counts
+    if not attributes:
+        return {}
+    pairs = reversed(_ATTRIBUTE.findall(attributes))  # of repeated ones the first counts
     return {k.lower(): entities.unescape(v.strip("\"'")) for k, v in pairs}
 
 
@@ -118,8 +137,11 @@ class _Walker:
         self.open_tags[element.tag] -= 1
         self.ended(element)
 
-    def _end(self, tags: set[str], stop: set[str]) -> None:
-        if not any(self.open_tags.get(t) for t in tags):
+    def _end(self, tags: Collection[str], stop: Collection[str]) -> None:
+        for tag in tags:
+            if self.open_tags.get(tag):
+                break
+        else:
             return
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at].tag in tags:
@@ -131,7 +153,7 @@ class _Walker:
 
     def _start(self, tag: str, attrs: dict[str, str]) -> None:
         if tag in _BLOCK:
-            self._end({"p"}, {"table", "td", "th", "li", "div", "section", "article", "button"})
+            self._end(_PARAGRAPH, _AROUND_PARAGRAPH)
         if tag in _CLOSES:
             self._end(*_CLOSES[tag])
         marked = _marked(tag, attrs)
@@ -172,7 +194,7 @@ class _Walker:
                 continue
             if is_end:
                 if tag != "p" or self.open_tags.get("p"):
-                    self._end({tag}, set() if tag in _BLOCK else {"article", "main", "body", "td", "li"})
+                    self._end((tag,), _NOTHING if tag in _BLOCK else _AROUND_INLINE)
                 continue
             self._start(tag, _named(attributes))
         while self.stack:
@@ -192,11 +214,15 @@ class _Counted:
     last: int
 
 
+_END, _EDGE = None, ()  # on a tape: an element ends; a block begins or ends below the bound of depth
+
+
 class _Census(_Walker):
     """Hash of each element, its text length and share of links, and where the content elements are."""
 
-    def __init__(self, spared: frozenset[int] = frozenset()) -> None:
+    def __init__(self, spared: frozenset[int] = frozenset(), noting: bool = False) -> None:
         super().__init__(spared)
+        self.tape: list | None = [] if noting else None  # texts, begins (tag, number, dropped) and ends, in order
         self.elements: dict[int, _Counted] = {}
         self.content = False
         self.total = 0
@@ -205,13 +231,21 @@ class _Census(_Walker):
         self.whole, self.contents = hashlib.blake2b(digest_size=8), hashlib.blake2b(digest_size=8)
 
     def opened(self, element: _Open, attrs: dict[str, str]) -> None:
+        if self.tape is not None:
+            self.tape.append((element.tag, element.number, element.dropped))
         element.hashed = hashlib.blake2b(digest_size=8)
         element.hashed.update(f"<{element.tag} {attrs.get('class') or ''}>".encode("utf-8", "surrogatepass"))
         above = bool(self.stack and self.stack[-1].inside)
         element.inside = above or (element.tag in ("article", "main") and not element.dropped)
         self.content |= element.inside
 
+    def edge(self) -> None:
+        if self.tape is not None:
+            self.tape.append(_EDGE)
+
     def text(self, data: str) -> None:
+        if self.tape is not None:
+            self.tape.append(data)
         words = " ".join(data.split())
         if not words:
             return
@@ -229,6 +263,8 @@ class _Census(_Walker):
                 top.linked += len(words)
 
     def ended(self, element: _Open) -> None:
+        if self.tape is not None:
+            self.tape.append(_END)
         digest = element.hashed.digest()
         self.elements[element.number] = _Counted(
             element.tag, int.from_bytes(digest, "little", signed=True), element.text, element.linked, element.kept,
@@ -298,53 +334,47 @@ class _Census(_Walker):
         return page, sorted(around), unit, sorted({found[n] for n in inner} - around)
 
 
-class _Extract(_Walker):
-    """Text blocks of the content, without marked and deleted elements."""
-
-    def __init__(self, deleted: set[int], content: bool, spared: frozenset[int]) -> None:
-        super().__init__(spared)
-        self.deleted, self.content = deleted, content
-        self.blocks: list[str] = []
-        self.parts: list[str] = []
-
-    def _flush(self) -> None:
-        block = " ".join("".join(self.parts).split())
-        if block:
-            self.blocks.append(block)
-        self.parts = []
-
-    def edge(self) -> None:
-        self._flush()
-
-    def opened(self, element: _Open, attrs: dict[str, str]) -> None:
-        above = self.stack[-1] if self.stack else None
-        element.inside = bool(above and above.inside) or element.tag in ("article", "main")
-        if element.number in self.deleted or (element.tag == "header" and not element.inside):
-            element.dropped = True
-        if element.tag in _BLOCK:
-            self._flush()
-        elif element.tag == "br":
-            self.parts.append(" ")
-
-    def ended(self, element: _Open) -> None:
-        if element.tag in _BLOCK:
-            self._flush()
-
-    def text(self, data: str) -> None:
-        top = self.stack[-1] if self.stack else None
-        if self.content:
-            if top and top.inside and not top.dropped:
-                self.parts.append(data)
-        elif not (top and top.dropped):
-            self.parts.append(data)
-
-
-def _census(html: str | None) -> _Census:
+def _blocks(tape: list, deleted: set[int], content: bool) -> list[str]:
+    """Text blocks of the content, without marked and deleted elements, from what a census has noted."""
+    blocks: list[str] = []
+    parts: list[str] = []
+    above: list[tuple[bool, bool, bool]] = []  # of the open elements: is a block, inside, dropped
+    inside = dropped = False
+
+    def flush() -> None:
+        if block := " ".join("".join(parts).split()):
+            blocks.append(block)
+        parts.clear()
+
+    for noted in tape:
+        if noted.__class__ is str:
+            if not dropped and (inside or not content):
+                parts.append(noted)
+        elif noted is _END:
+            if above.pop()[0]:
+                flush()
+            _, inside, dropped = above[-1] if above else (False, False, False)
+        elif noted is _EDGE:
+            flush()
+        else:
+            tag, number, marked = noted
+            inside = inside or tag in ("article", "main")
+            dropped = dropped or marked or number in deleted or (tag == "header" and not inside)
+            above.append((tag in _BLOCK, inside, dropped))
+            if tag in _BLOCK:
+                flush()
+            elif tag == "br":
+                parts.append(" ")
+    flush()
+    return blocks
+
+
+def _census(html: str | None, noting: bool = False) -> _Census:
     """The elements of a page; it is walked again if a mark has taken its text away."""
-    found = _Census()
+    found = _Census(noting=noting)
     found.run(html or "")
     if spared := found.wrongly_marked():
-        found = _Census(spared)
+        found = _Census(spared, noting)
         found.run(html or "")
     found.settle()
     return found
@@ -357,12 +387,9 @@ def template_candidates(html: str | None) -> tuple[int, list[int], int, list[int
 
 def page_text(html: str | None, template: set[int]) -> str:
     """Main text of a page, without the subtrees whose hash is in ``template``."""
-    census = _census(html)
-    deleted = {n for n, h in census.candidates().items() if h in template}
-    walker = _Extract(deleted, census.content, census.spared)
-    walker.run(html or "")
-    walker._flush()
-    return "\n".join(walker.blocks)
+    census = _census(html, noting=True)
+    deleted = {n for n, h in census.candidates().items() if h in template} if template else set()
+    return "\n".join(_blocks(census.tape, deleted, census.content))
 
 
 def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -12,9 +12,10 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from starloom.llm import near_vectors, pieces, quality, rollup, toxicity
+from starloom.llm import main_text, near_vectors, pieces, quality, rollup, toxicity
 from starloom.llm.main_text import main_texts, page_text
 from starloom.session import stage as stored
+from starloom.sources.markup import scan
 from tests.conftest import SMALL, plan
 from tests.llm.helpers import ODD, components, documents
 
@@ -307,3 +308,13 @@ def test_groups_of_matrices_go_over_batches():
         found = [x for some in pieces._groups(batches, lambda g: [(g[0][0], g[0][1], g[-1][1], len(g))]) for x in some]
         assert found == [(row, *part) for row in range(3) for part in ((0, 63, 64), (64, 127, 64), (128, 149, 22))]
     assert list(pieces._groups(iter([]), len)) == [[]]
+
+
+def test_a_page_is_walked_once_for_its_text(monkeypatch):
+    walked = []
+    monkeypatch.setattr(main_text, "scan", lambda page: walked.append(page) or scan(page))
+    page = ("<body><header>top</header><div class='ad x'>buy</div><p>one <b>bold</b><br>two<p>three<hr>four"
+            + "<div>" * 600 + "deep<p>deeper" + "</div>" * 600 + "<nav><a>menu</a></nav></body>")
+    assert main_text.page_text(page, set()) == "one bold two\nthree\nfour\ndeep\ndeeper" and len(walked) == 1
+    inside = "<nav>n</nav><article><header>head</header>text<aside>a</aside></article>outside"
+    assert main_text.page_text(inside, set()) == "head\ntext"
