@@ -14,8 +14,9 @@ a piece is written as bytes.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -35,7 +36,8 @@ GROUP = 64  # matrices combined at a time
 ROWS = 1_024  # matrices to a task
 _SPACE = "▁"
 _BORDER = re.compile(f"(?<=[^{_SPACE}]){_SPACE}")
-_KEPT, _KEPT_LENGTH = 300_000, 64  # words that a worker remembers, and letters of one; only the speed depends on them
+PART = 1 << 20  # characters that are encoded at a time, since they stand in memory in several forms
+_KEPT, _KEPT_LENGTH = 64 << 20, 64  # bytes of words that a worker remembers, and letters of one; only the speed depends on them
 _LOWEST = 10.0  # so far below the lowest score lies a character without a piece
 
 
@@ -73,6 +75,7 @@ class Vocabulary:
             self.scores[i] = score
         self.scores[[i for b, i in enumerate(self.bytes) if not 0x80 <= b < 0xC0]] = self.lowest
         self.words: dict[str, bytes] = {}
+        self.room = _KEPT
 
     def edges(self, text: str, i: int) -> Iterator[tuple[int, int, float]]:
         """(end, id, score) of the pieces that begin at character ``i``; id -1 is a character written as bytes."""
@@ -121,8 +124,9 @@ class Vocabulary:
         found = self.words.get(unit)
         if found is None:
             found = self.cut(unit)
-            if len(self.words) < _KEPT and len(unit) <= _KEPT_LENGTH:
+            if self.room > 0 and len(unit) <= _KEPT_LENGTH:
                 self.words[unit] = found
+                self.room -= sys.getsizeof(unit) + sys.getsizeof(found) + 40  # and its place in the dictionary
         return found
 
     def cut(self, unit: str) -> bytes:
@@ -218,6 +222,15 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
 
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches in parts of some ``PART`` characters; a longer text is a part by itself."""
+    for batch in batches:
+        ends = np.cumsum([len(t or "") for t in batch["text"]]) // PART
+        cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(batch)]
+        for begin, end in zip(cuts, cuts[1:], strict=False):
+            yield batch.iloc[begin:end].reset_index(drop=True)
+
+
 def _chunks(batches: Iterator[pd.DataFrame], path: str, size: int) -> Iterator[pd.DataFrame]:
     reach = vocabulary(path).longest
     for batch in batches:
@@ -318,16 +331,19 @@ def border_states(chunks: DataFrame, path: str = VOCABULARY) -> DataFrame:
 
 
 OUTPUT = "doc_id long, chunk long, score double, n_ids long, ids binary, text string"
+Then = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
 def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY,
-                  chunk: int = CHUNK) -> DataFrame:
+                  chunk: int = CHUNK, then: Then = iter, fields: str = OUTPUT) -> DataFrame:
     """A row per chunk: ``doc_id, chunk, score, n_ids, ids, text``; ids are little-endian 32-bit numbers.
 
     The ids of a document are those of its chunks in order, and ``text`` is what they stand for, so that the texts of
     a document in order are its text with marks (``unmarked`` takes them off). NULL and empty texts are one chunk
     without ids. Repeated rows give repeated results, a NULL identifier stays, an empty table gives an empty result,
     other columns are ignored. Of several best cuts the one with longer pieces first is taken within a chunk.
+    ``then`` makes rows of ``fields`` out of batches of these, in the worker that encodes: a mapInPandas behind this one
+    would hold a second worker with a vocabulary of its own for each task.
     """
     bound_batches(docs.sparkSession)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -335,7 +351,7 @@ def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = vocabulary(path)
-        for batch in batches:
+        for batch in _parts(batches):
             texts = [marked(t) for t in batch["text"]]
             found = [words.whole(t) for t in texts]
             yield pd.DataFrame({
@@ -344,7 +360,7 @@ def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = vocabulary(path)
-        for batch in batches:
+        for batch in _parts(batches):
             rows = []
             for doc, number, text, size, enter, leave in batch[
                     ["doc_id", "chunk", "text", "size", "enter", "leave"]].itertuples(index=False):
@@ -357,8 +373,9 @@ def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     chunks = numbered.mapInPandas(lambda batches: _chunks(batches, path, chunk), CHUNKS)
     chunks = stage(chunks.repartition("row", "chunk"), "chunks")  # the chunks of one text go to many tasks
     states = border_states(chunks, path)
-    traced = chunks.join(states.withColumnRenamed("at", "chunk"), ["row", "chunk"]).mapInPandas(trace, OUTPUT)
-    return named.where(~is_long).mapInPandas(encode, OUTPUT).unionByName(traced)
+    known = chunks.join(states.withColumnRenamed("at", "chunk"), ["row", "chunk"])
+    traced = known.mapInPandas(lambda batches: then(trace(batches)), fields)
+    return named.where(~is_long).mapInPandas(lambda batches: then(encode(batches)), fields).unionByName(traced)
 
 
 def decode_pieces(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
@@ -377,6 +394,9 @@ def unmarked(text: str) -> str:
     return text.replace(_SPACE, " ")[1:]
 
 
+DIGESTS = "doc_id long, chunk long, score double, n_ids long, n_chars long, ids_crc32 long, round_trip boolean"
+
+
 def ids_crc32(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For queries: the ids as a digest, and whether decoding them gives the text back."""
     for batch in batches:

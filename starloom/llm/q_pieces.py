@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm.pieces import encode_pieces, ids_crc32
+from starloom.llm.pieces import DIGESTS, encode_pieces, ids_crc32
 from starloom.llm.registry import query, table
 
 
 @query("op6_piece_scan")
 def op6_piece_scan(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = encode_pieces(table(spark, folder, "documents"))
-    return encoded.mapInPandas(ids_crc32, "doc_id long, chunk long, score double, n_ids long, n_chars long, "
-                                          "ids_crc32 long, round_trip boolean")
+    return encode_pieces(table(spark, folder, "documents"), then=ids_crc32, fields=DIGESTS)

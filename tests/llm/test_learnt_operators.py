@@ -1,6 +1,8 @@
 """Quality, toxicity, vectors, pages, pieces, totals and the pipeline."""
 
 import random
+import re
+import sys
 
 import numpy as np
 import pandas as pd
@@ -318,3 +320,38 @@ def test_a_page_is_walked_once_for_its_text(monkeypatch):
     assert main_text.page_text(page, set()) == "one bold two\nthree\nfour\ndeep\ndeeper" and len(walked) == 1
     inside = "<nav>n</nav><article><header>head</header>text<aside>a</aside></article>outside"
     assert main_text.page_text(inside, set()) == "head\ntext"
+
+
+def test_pieces_keep_one_worker_for_each_task(spark):
+    """One vocabulary and one cache of words a task: encoding and digests aren't mapInPandas on mapInPandas."""
+    found = plan(entry.queries()["op6_piece_scan"](spark, SMALL))
+    assert len(re.findall(r"^\(\d+\) MapInPandas", found.partition("== Initial Plan ==")[0], re.MULTILINE)) == 2  # whole and cut
+    rows = [*enumerate(t for t in ODD if t), (700, None), (701, ""), (None, "nobody"), (3, "again"), (3, "again")]
+    frame = documents(spark, rows)
+    for chunk in (13, pieces.CHUNK):
+        apart = pieces.encode_pieces(frame, chunk=chunk).mapInPandas(pieces.ids_crc32, pieces.DIGESTS)
+        at_once = pieces.encode_pieces(frame, chunk=chunk, then=pieces.ids_crc32, fields=pieces.DIGESTS)
+        assert sorted(map(repr, at_once.collect())) == sorted(map(repr, apart.collect()))
+        assert at_once.where("NOT round_trip").count() == 0 and at_once.count() >= len(rows)
+        nobody = pieces.encode_pieces(frame.limit(0), chunk=chunk, then=pieces.ids_crc32, fields=pieces.DIGESTS)
+        assert nobody.count() == 0
+
+
+def test_pieces_take_a_batch_in_parts(monkeypatch):
+    monkeypatch.setattr(pieces, "PART", 100)
+    texts = [None, "", "a" * 30, "b" * 60, "c" * 30, "d" * 1000, None, "e" * 10]
+    batch = pd.DataFrame({"doc_id": range(8), "text": texts})
+    found = list(pieces._parts(iter([batch, batch.iloc[:0], batch.iloc[:2]])))
+    assert [list(p.doc_id) for p in found] == [[0, 1, 2, 3], [4], [5, 6, 7], [], [0, 1]]
+    assert [t for p in found for t in p.text] == [*texts, None, ""]
+    assert all(list(p.index) == list(range(len(p))) for p in found)
+
+
+def test_remembered_words_are_bounded_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(pieces, "_KEPT", 20_000)
+    vocabulary = pieces.Vocabulary(pieces.VOCABULARY)
+    texts = [pieces.marked(f"{chr(0x4E00 + i) * 60} w{i}") for i in range(500)]
+    found = [vocabulary.whole(t) for t in texts]
+    held = sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in vocabulary.words.items())
+    assert 10_000 < held < 21_000
+    assert found == [vocabulary.whole(t) for t in texts] and all(vocabulary.decode(i) == t for (_, i), t in zip(found, texts, strict=True))
