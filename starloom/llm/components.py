@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.joins import shuffled
 from starloom.session import stage
 
+COPIED_LINKS = 100_000  # with more of them no side of a join is copied to all tasks, whatever its files take
+
 
 def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v"))).first())
@@ -25,12 +28,14 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         "links")
     state = _state(now)
     while state[0]:
+        side = shuffled if state[0] > COPIED_LINKS else (lambda df: df)
         both = now.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(
             now.select(F.col("v").alias("x"), F.col("u").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        larger = both.where("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
+        larger = both.where("y > x").join(side(least), "x").select(
+            F.col("y").alias("u"), F.col("m").alias("v")).distinct()
         below = larger.groupBy("u").agg(F.min("v").alias("m"))
-        joined = larger.join(below, "u")
+        joined = larger.join(side(below), "u")
         now = stage(
             joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(below.select("u", F.col("m").alias("v"))).distinct(), "links")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from starloom.llm.batches import bound_batches
 from starloom.llm.components import connected_components
 from starloom.llm.shingles import minimum_hashes, set_digest, shingle_set
+from starloom.operators.joins import counted, shuffled
 from starloom.session import stage
 
 WIDTH = 5
@@ -74,7 +75,7 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     # Texts of one hub come one after another, so its set is made once.
-    rows = pairs.join(right, "b").join(left, "a")
+    rows = counted(pairs).join(right, "b").join(shuffled(left), "a")
     return rows.select("a", "b", "text_a", "text_b").mapInPandas(_check, "a long, b long").distinct()
 
 
@@ -160,15 +161,15 @@ def _bucketed(sets: DataFrame) -> DataFrame:
     keys = F.array(*[F.xxhash64(F.lit(k), *[F.col("symbols")[s] for s in mask]) for k, mask in enumerate(masks)])
     keyed = sets.select("node", "n", F.explode(keys).alias("key"))
     size = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    return stage(keyed.join(size, "key"), "buckets")
+    return stage(keyed.join(shuffled(size), "key"), "buckets")  # 40 rows a set, which the optimizer takes for one
 
 
 def _hubs(buckets: DataFrame) -> DataFrame:
     """A row (hub, hub_n, node, n) for each member of a bucket; the hub meets most others over all its keys."""
     degree = buckets.groupBy("node").agg(F.sum("size").alias("degree"))
-    hub = buckets.join(degree, "node").groupBy("key").agg(
+    hub = buckets.join(shuffled(degree), "node").groupBy("key").agg(
         F.max(F.struct("degree", (-F.col("node")).alias("minus"), "n")).alias("hub"))
-    return stage(buckets.join(hub, "key").select(
+    return stage(buckets.join(shuffled(hub), "key").select(
         (-F.col("hub.minus")).alias("hub"), F.col("hub.n").alias("hub_n"), "node", "n").distinct(), "hubs")
 
 
@@ -188,15 +189,16 @@ def _open_links(hubs: DataFrame, components: DataFrame, texts: DataFrame) -> Dat
     Texts that share a bucket share its hub. The members of a hub are dealt out in pairs of blocks; only rows that
     are near some other row of theirs in the second signature go on and are compared in full.
     """
-    named = hubs.join(components.withColumnRenamed("component", "_c"), "node", "left").select(
+    named = hubs.join(shuffled(components.withColumnRenamed("component", "_c")), "node", "left").select(
         "hub", "node", "n", F.coalesce("_c", "node").alias("component"))
     mixed = named.groupBy("hub").agg(
         F.min("component").alias("_least"), F.max("component").alias("_most"),
         F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("_least != _most").select("hub", "blocks")
-    still = stage(named.join(mixed, "hub"), "open")
-    second = still.select("node").distinct().join(texts, "node").mapInPandas(_second, "node long, second binary")
+    still = stage(named.join(shuffled(mixed), "hub"), "open")
+    second = counted(still.select("node").distinct()).join(texts, "node").mapInPandas(
+        _second, "node long, second binary")
     dealt = (
-        still.join(stage(second, "second"), "node")
+        still.join(shuffled(stage(second, "second")), "node")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("hub", F.least("block", "other").cast("long").alias("lo"),
@@ -205,7 +207,7 @@ def _open_links(hubs: DataFrame, components: DataFrame, texts: DataFrame) -> Dat
     groups = ("hub", "lo", "hi")
     near = stage(dealt.repartition(*groups).sortWithinPartitions(*groups).mapInPandas(_with_candidates, GROUP), "near")
     return (
-        near.join(texts, "node").repartition(*groups).sortWithinPartitions(*groups)
+        counted(near).join(texts, "node").repartition(*groups).sortWithinPartitions(*groups)
         .select(*near.columns, "text").mapInPandas(_links_between, "a long, b long")
     )
 
@@ -238,7 +240,8 @@ def near_text_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.col("doc_id").alias("a"), F.col("node").alias("b"))
     components = connected_components(links.unionByName(more).unionByName(_several(same, sets)))
 
-    of_set = sets.join(components, "node", "left").select("set_id", F.coalesce("component", "node").alias("_of_set"))
+    of_set = sets.join(shuffled(components), "node", "left").select(
+        "set_id", F.coalesce("component", "node").alias("_of_set"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_of_set", "doc_id"))
     return signed.join(of_set, "set_id", "left").select(
         "doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
@@ -247,7 +250,7 @@ def near_text_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
 def _several(same: DataFrame, sets: DataFrame) -> DataFrame:
     """Links of documents that stand for one set and are members of another, or of several."""
     ends = same.select("a").groupBy("a").count().where("count > 1").select("a").unionByName(
-        same.join(sets.select(F.col("node").alias("a")), "a", "left_semi").select("a")).distinct()
+        same.join(shuffled(sets.select(F.col("node").alias("a"))), "a", "left_semi").select("a")).distinct()
     return same.join(ends, "a", "left_semi").distinct()
 
 

@@ -2,7 +2,8 @@
 
 A right side is broadcast only after its rows and bytes were counted. A larger
 right side is joined by shuffle; keys that hold many rows of either side are
-looked for first and, if there are any, spread over several tasks.
+looked for first and, if there are any, spread over several tasks. Plain joins
+of tables that grow with the input take ``shuffled`` or ``counted`` sides.
 """
 
 from __future__ import annotations
@@ -33,9 +34,9 @@ def text_bytes(df: DataFrame) -> Column:
     return sum(widths, start=F.lit(0))
 
 
-def is_small(rows: int, size: int, broadcast_rows: int = BROADCAST_ROWS) -> bool:
+def is_small(rows: int, size: int, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether so many rows and bytes may be copied to every executor."""
-    return rows <= broadcast_rows and size <= BROADCAST_BYTES
+    return rows <= broadcast_rows and size <= broadcast_bytes
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -43,15 +44,35 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> bool:
+def fits_broadcast(
+    df: DataFrame, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES
+) -> bool:
     """Whether ``df`` was counted to be small enough for a broadcast; one aggregate, one row back.
 
     What the optimizer takes for several times too large is not read to be counted.
     """
-    if broadcast_rows <= 0 or planned_bytes(df) > SURELY_LARGE * BROADCAST_BYTES:
+    if broadcast_rows <= 0 or planned_bytes(df) > SURELY_LARGE * broadcast_bytes:
         return False
     row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(text_bytes(df)).alias("size")).first()
-    return is_small(row["rows"], row["size"] or 0, broadcast_rows)
+    return is_small(row["rows"], row["size"] or 0, broadcast_rows, broadcast_bytes)
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of an equality join by shuffle, whatever the optimizer takes its size for.
+
+    It goes by file sizes, which are compressed, and not by the rows that an explode makes of one. A side that it
+    takes for small is collected on the driver, and adaptive execution does not change that once the join would need
+    another shuffle.
+    """
+    return df.hint("merge")
+
+
+def counted(df: DataFrame) -> DataFrame:
+    """``df`` as a side of an inner equality join: copied to all tasks if it was counted to be within the session's
+    limit for broadcasts, else shuffled."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    small = limit > 0 and fits_broadcast(df, broadcast_bytes=min(limit, BROADCAST_BYTES))
+    return F.broadcast(df) if small else shuffled(df)
 
 
 def join_on(

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 
 from starloom.operators import joins
 from starloom.operators.lookup import DuplicateKeys, lookup, lookup_roles, map_lookup
+from tests.conftest import plan
 
 TINY = {"broadcast_rows": 0, "rows_per_task": 3, "hot_share": 0.01}
 
@@ -74,6 +75,26 @@ def test_small_side_is_broadcast_and_large_is_not(spark):
     assert not joins.fits_broadcast(dim, 9) and joins.fits_broadcast(dim, 10)
 
 
+def test_a_side_is_copied_by_counted_bytes_and_not_by_its_file(spark, tmp_path):
+    path, setting = str(tmp_path / "one_text"), "spark.sql.autoBroadcastJoinThreshold"
+    spark.range(1000).selectExpr("id AS k", "repeat('text ', 200) AS t").repartition(1).write.parquet(path)
+    side, fact = spark.read.parquet(path), spark.range(2000).withColumnRenamed("id", "k")
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "500000")  # more than its file, less than its rows
+        assert "BroadcastHashJoin" in plan(fact.join(side, "k"))
+        for form, join in (("counted", joins.counted), ("shuffled", joins.shuffled)):
+            found = fact.join(join(side), "k")
+            assert "SortMergeJoin" in plan(found) and "Broadcast" not in plan(found), form
+            assert found.count() == 1000
+        spark.conf.set(setting, "2000000")
+        assert "BroadcastHashJoin" in plan(fact.join(joins.counted(side), "k"))
+        spark.conf.set(setting, "-1")
+        assert "SortMergeJoin" in plan(fact.join(joins.counted(side), "k"))
+    finally:
+        spark.conf.set(setting, before)
+
+
 @pytest.fixture
 def dims(spark):
     fact = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (9, "d")], "code int, tag string")
