@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from starloom.llm.batches import bound_batches
+from starloom.operators.joins import shuffled
 from starloom.session import stage
 
 CAPACITY = 2048
@@ -258,8 +259,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     begins = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     within = Window.partitionBy("length", "_part").orderBy("doc_id", "piece", "start", "ids_crc32")
-    numbered = dealt.withColumn("_row", F.row_number().over(within) - 1).join(begins, ["length", "_part"]).select(
-        *pieces.columns, (F.col("_before") + F.col("_row")).alias("_number"))
+    numbered = dealt.withColumn("_row", F.row_number().over(within) - 1).join(
+        shuffled(begins), ["length", "_part"]).select(*pieces.columns, (F.col("_before") + F.col("_row")).alias("_number"))
     # The table of places is bounded by the patterns; each length looks in its own runs only.
     runs = slots.groupBy("length").agg(F.sort_array(F.collect_list(F.struct("first", "last", "sequence", "offset"))).alias("_runs"))
     run = F.element_at(F.filter("_runs", lambda r: (r["first"] <= F.col("_number")) & (F.col("_number") <= r["last"])), 1)

@@ -162,6 +162,11 @@ def test_packing_keeps_every_token_in_place(spark):
     assert packing.pack_documents(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_packing_does_not_copy_the_counts_of_lengths_to_all_tasks(spark):
+    found = packing.pack_documents(documents(spark, list(enumerate(variants(8, 30)))))
+    assert "SortMergeJoin" in plan(found) and len({(r.doc_id, r.piece) for r in found.collect()}) == 30
+
+
 @pytest.mark.parametrize("histogram", [
     {2048: 3, 1: 10}, {1024: 5, 1025: 4, 1023: 4}, {700: 9}, {683: 7, 682: 7}, {2047: 2, 1: 1}, {1500: 3, 600: 2, 549: 5},
     {1: 5000}, {}, {1366: 2, 683: 1, 682: 3}])
