@@ -34,9 +34,9 @@ def text_bytes(df: DataFrame) -> Column:
     return sum(widths, start=F.lit(0))
 
 
-def is_small(rows: int, size: int, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> bool:
+def is_small(rows: int, size: int, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int | None = None) -> bool:
     """Whether so many rows and bytes may be copied to every executor."""
-    return rows <= broadcast_rows and size <= broadcast_bytes
+    return rows <= broadcast_rows and size <= (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes)
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -45,12 +45,13 @@ def planned_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(
-    df: DataFrame, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int | None = None
 ) -> bool:
     """Whether ``df`` was counted to be small enough for a broadcast; one aggregate, one row back.
 
     What the optimizer takes for several times too large is not read to be counted.
     """
+    broadcast_bytes = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     if broadcast_rows <= 0 or planned_bytes(df) > SURELY_LARGE * broadcast_bytes:
         return False
     row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(text_bytes(df)).alias("size")).first()
